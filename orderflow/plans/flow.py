@@ -22,13 +22,18 @@ from ..operators import states as st
 from ..operators import validate as va
 from ..session import pin_utc
 from ..sources.eventlog import derive_event_log
+from ..sources.tables import read_table
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
+
+
+UNIQUE_COLUMNS = ["event_id", "event_timestamp", "topic", "partition", "offset", "kafka_key",
+                  "event_type", "order_id", "customer_id", "payload"]
 
 
 class EventFlow:
@@ -60,8 +65,13 @@ class EventFlow:
 
     @cached_property
     def unique(self) -> DataFrame:
-        """Technical duplicates removed (one row per event_id)."""
-        return dd.dedup(self.timed)
+        """Technical duplicates removed (one row per event_id).
+
+        Only the columns later stages read go into the dedup (the raw text, the corrupt
+        column and the validation verdict stay behind): the kept-row struct is built inside
+        an aggregate, where the optimizer cannot prune it, and it is what crosses the shuffle.
+        """
+        return dd.dedup(self.timed.select(*UNIQUE_COLUMNS))
 
     @cached_property
     def domains(self):

@@ -66,8 +66,8 @@ def _iso_ms(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
-def _plus_seconds(ts: Column, seconds: Column) -> Column:
-    return ts + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+def _iso_seconds(epoch_seconds: Column) -> Column:
+    return _iso_ms(F.timestamp_seconds(epoch_seconds))
 
 
 def _object(*members: Column | None) -> Column:
@@ -93,30 +93,39 @@ def _envelope_head(event_id: Column, event_type: Column, event_time: Column,
 def derive_event_log(orders: DataFrame) -> DataFrame:
     """Topic rows ``(kafka_key, topic, partition, offset, raw_json)`` derived from ``orders``."""
     k = F.col("o_orderkey")
-    r = k % ANOMALY_MODULUS
     scenario = k % 20
-    failed = (scenario >= 15) & (scenario < 18)
-    rejected = scenario >= 18
-
-    order_id = F.concat(F.lit("ORD-"), F.lpad(k.cast("string"), 9, "0"))
-    customer_id = F.concat(F.lit("CUS-"), F.col("o_custkey").cast("string"))
-    price = F.col("o_totalprice").cast("string")
-
-    t0 = _plus_seconds(F.col("o_orderdate"), k % 86400)
     pay_gap = (F.when(k % 97 == 5, 960).when(k % 97 == 6, 900).when(k % 97 == 7, -1)
                .otherwise(2 + k % 7))
     inv_gap = F.when(k % 101 == 5, 901).when(k % 101 == 6, 900).otherwise(2 + k % 5)
-    has_inventory = ~failed & (k % 101 != 7)
+    # Shared sub-expressions, computed once per order in a projection before the explode.
+    t0_secs = F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + k % 86400
+    base = orders.select(
+        k.alias("k"),
+        (k % ANOMALY_MODULUS).alias("r"),
+        ((scenario >= 15) & (scenario < 18)).alias("failed"),
+        (scenario >= 18).alias("rejected"),
+        F.concat(F.lit("ORD-"), F.lpad(k.cast("string"), 9, "0")).alias("order_id"),
+        F.concat(F.lit("CUS-"), F.col("o_custkey").cast("string")).alias("customer_id"),
+        F.col("o_totalprice").cast("string").alias("price"),
+        t0_secs.alias("t0"),
+        (t0_secs + pay_gap).alias("t_pay"),
+        (t0_secs + pay_gap + inv_gap).alias("t_inv"),
+        (k % 101 != 7).alias("inv_present"),
+    )
+    k = F.col("k")
+    r = F.col("r")
+    failed, rejected = F.col("failed"), F.col("rejected")
+    order_id, customer_id, price = F.col("order_id"), F.col("customer_id"), F.col("price")
+    has_inventory = ~failed & F.col("inv_present")
     has_second = k % SECOND_PAYMENT_MODULUS == 5
-    t_pay = _plus_seconds(t0, pay_gap)
-    t_pay2 = _plus_seconds(t_pay, F.lit(1))
-    t_inv = _plus_seconds(t_pay, inv_gap)
+    t0, t_pay, t_inv = F.col("t0"), F.col("t_pay"), F.col("t_inv")
+    t_pay2 = t_pay + 1
 
     # ---- order event
     order_head = _envelope_head(
         F.concat(F.lit("O-"), k.cast("string")),
         F.lit(C.ORDER_CREATED),
-        F.when(r == 13, F.lit("not-a-time")).otherwise(_iso_ms(t0)),
+        F.when(r == 13, F.lit("not-a-time")).otherwise(_iso_seconds(t0)),
         F.when(r == 4, F.lit(2)).otherwise(F.lit(1)),
         order_id,
         F.when(r != 2, customer_id),
@@ -144,7 +153,7 @@ def derive_event_log(orders: DataFrame) -> DataFrame:
             F.when(r != 7, _field("currency", _q(CURRENCY))),
             F.when(failed & (r != 9), _field("reason", _q(PAYMENT_FAILED_REASON))),
         )
-        head = _envelope_head(event_id, pay_type, _iso_ms(ts), F.lit(1), order_id, customer_id)
+        head = _envelope_head(event_id, pay_type, _iso_seconds(ts), F.lit(1), order_id, customer_id)
         return F.concat(F.lit("{"), head, F.lit(',"payload":'), payload, F.lit("}"))
 
     # ---- inventory event
@@ -157,7 +166,7 @@ def derive_event_log(orders: DataFrame) -> DataFrame:
     )
     inv_json = F.concat(
         F.lit("{"),
-        _envelope_head(F.concat(F.lit("I-"), k.cast("string")), inv_type, _iso_ms(t_inv), F.lit(1),
+        _envelope_head(F.concat(F.lit("I-"), k.cast("string")), inv_type, _iso_seconds(t_inv), F.lit(1),
                        order_id, customer_id),
         F.lit(',"payload":'), inv_payload, F.lit("}"),
     )
@@ -186,8 +195,7 @@ def derive_event_log(orders: DataFrame) -> DataFrame:
         record(has_inventory, order_id, F.lit(C.TOPIC_INVENTORY), SLOT_INVENTORY, inv_json),
     )
     return (
-        orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-        .select(F.explode(records).alias("rec"))
+        base.select(F.explode(records).alias("rec"))
         .filter(F.col("rec.present"))
         .select("rec.kafka_key", "rec.topic", "rec.partition", "rec.offset", "rec.raw_json")
     )
