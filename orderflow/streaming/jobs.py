@@ -57,7 +57,7 @@ def validation_stream(topic_rows: DataFrame, rules=None) -> DataFrame:
 def run_validation(topic_rows: DataFrame, valid_path: str, dlq_path: str, checkpoint: str,
                    counts_path: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Job 1: classify every record; VALID -> forward log, INVALID -> dead letters."""
-    return _start(validation_stream(topic_rows), checkpoint,
+    return _start(observe_validation(validation_stream(topic_rows)), checkpoint,
                   sinks.route_batch(valid_path, dlq_path, counts_path), trigger=trigger,
                   name=None)
 
@@ -97,7 +97,8 @@ def run_business(records: DataFrame, states_path: str, checkpoint: str,
                  within: str = C.CORRELATION_WINDOW, lateness: str = C.WATERMARK_DELAY,
                  trigger: dict | None = None) -> StreamingQuery:
     """Job 3: correlate order -> payment -> inventory and publish state records."""
-    return _start(st.state_record(business_stream(records, within, lateness)), checkpoint,
+    states = observe_states(business_stream(records, within, lateness))
+    return _start(st.state_record(states), checkpoint,
                   sinks.forward_batch(states_path), trigger=trigger)
 
 
@@ -200,3 +201,65 @@ def dropped_by_watermark(query: StreamingQuery) -> int:
         for op in p.get("stateOperators", []):
             total += int(op.get("numRowsDroppedByWatermark", 0))
     return total
+
+
+# ----------------------------------------------------------------------------- observation
+def observe_validation(classified: DataFrame, name: str = "validation") -> DataFrame:
+    """Attach per-batch counters (valid / invalid / total) as observed metrics.
+
+    Replaces per-batch ``show``/``count`` inspection jobs: the counters ride along with the
+    query's own execution and appear in ``lastProgress["observedMetrics"][name]``.
+    """
+    return classified.observe(
+        name,
+        F.count_if(F.col("validation_status") == C.VALID).alias("valid"),
+        F.count_if(F.col("validation_status") == C.INVALID).alias("invalid"),
+        F.count(F.lit(1)).alias("total"))
+
+
+def observe_states(states: DataFrame, name: str = "states") -> DataFrame:
+    """Per-batch state counters, including the UNKNOWN monitor."""
+    return states.observe(
+        name,
+        F.count(F.lit(1)).alias("states"),
+        F.count_if(F.col("order_status") == C.UNKNOWN).alias("unknown"),
+        F.count_if(F.col("order_status") == C.COMPLETED).alias("completed"))
+
+
+def observed(query: StreamingQuery, name: str) -> dict:
+    """The latest observed metrics row ``name`` over the recorded progress."""
+    for progress in reversed(query.recentProgress or []):
+        value = (progress.get("observedMetrics") or {}).get(name)
+        if value:
+            return value.asDict() if hasattr(value, "asDict") else dict(value)
+    return {}
+
+
+# ----------------------------------------------------------------------------- extensions
+def business_dedup_stream(events: DataFrame, lateness: str = C.WATERMARK_DELAY) -> DataFrame:
+    """Business-level dedup on a stream: one event per (order_id, event_type, payment_id)
+    within the watermark (technical dedup is by event_id; this also drops re-sent business
+    facts with fresh ids)."""
+    keyed = events.withColumn("payment_id", F.col("payload.payment_id"))
+    return dd.dedup(keyed, keys=("order_id", "event_type", "payment_id"), lateness=lateness)
+
+
+def pending_stream(events: DataFrame, within: str = C.CORRELATION_WINDOW,
+                   lateness: str = C.WATERMARK_DELAY) -> DataFrame:
+    """Orders whose payment window closed without a payment, emitted as EXPIRED once the
+    watermark passes ``order_time + within``.
+
+    A left-outer interval join: the unmatched side is released by the watermark, so its state
+    stays bounded.  The watermark is set once on the unified event stream (``event_timestamp``)
+    before the split, so a quiet domain (no payments for a while) does not hold back the
+    other side's eviction, as it would with one watermark per side under the ``min`` policy.
+    """
+    timed = events.withWatermark("event_timestamp", lateness)
+    o = timed.filter(F.col("event_type") == C.ORDER_CREATED).select(
+        "order_id", F.col("event_timestamp").alias("order_time"))
+    p = timed.filter(F.col("event_type").isin(*C.PAYMENT_TYPES)).select(
+        "order_id", F.col("event_timestamp").alias("payment_time"))
+    joined = corr.interval_join(o, p, "order_id", "order_time", "payment_time", within, how="left")
+    return (joined.filter(F.col("payment_time").isNull())
+            .select("order_id", "order_time", F.lit("AWAITING_PAYMENT").alias("pending_reason"),
+                    F.lit("EXPIRED").alias("pending_status")))

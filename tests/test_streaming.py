@@ -136,3 +136,50 @@ def test_streaming_volume_and_completion(spark, tmp_root):
          .trigger(availableNow=True).start())
     jobs.run_to_end(q)
     assert spark.table("rate_test").first().completion_rate_pct == 33.33
+
+
+def _pay(event_id, t, order="ORD-1", etype="payment_authorized"):
+    return {"event_id": event_id, "event_type": etype,
+            "event_time": t.strftime("%Y-%m-%dT%H:%M:%S.000Z"), "schema_version": 1,
+            "order_id": order, "customer_id": "C",
+            "payload": {"payment_id": "PAY-" + event_id, "amount": 1.0, "currency": "MAD",
+                        "reason": "payment_declined"}}
+
+
+def test_out_of_order_payment_still_joins_and_states_are_observed(spark, tmp_root):
+    """The payment's file arrives before its order's file (both on time)."""
+    src, out = f"{tmp_root}/src", f"{tmp_root}/states"
+    t = datetime(2026, 10, 9, 1, 0, 0)
+    _kv_file(spark, src, "b1", [_pay("P1", t + timedelta(seconds=2), "ORD-1", "payment_failed")])
+    _kv_file(spark, src, "b2", [_event("O1", t, "ORD-1")])
+    q = jobs.run_to_end(jobs.run_business(tp.key_value_files(spark, src, max_files_per_trigger=1),
+                                          out, f"{tmp_root}/ck"))
+    states = st.parse_states(tp.key_value_files(spark, out, streaming=False)).collect()
+    assert [(r.order_id, r.order_status) for r in states] == [("ORD-1", "PAYMENT_FAILED")]
+    assert set(jobs.observed(q, "states")) >= {"states", "unknown"}
+
+
+def test_streaming_pending_orders_expire(spark, tmp_root):
+    src = f"{tmp_root}/src"
+    t = datetime(2026, 10, 9, 1, 0, 0)
+    _kv_file(spark, src, "b1", [_event("O1", t, "ORD-1"), _event("O2", t, "ORD-2"),
+                                _pay("P2", t + timedelta(seconds=5), "ORD-2")])
+    _kv_file(spark, src, "b2", [_event("O3", t + timedelta(hours=1), "ORD-3")])
+    _kv_file(spark, src, "b3", [_event("O4", t + timedelta(hours=2), "ORD-4")])
+    events = (tp.key_value_files(spark, src, max_files_per_trigger=1)
+              .select(F.from_json("value", "event_id string, event_type string, event_time string, "
+                                  "order_id string").alias("e")).select("e.*"))
+    from orderflow.operators.dedup import with_event_time
+    events = with_event_time(events)
+    q = (jobs.pending_stream(events).writeStream.outputMode("append").format("memory")
+         .queryName("pending_test").option("checkpointLocation", f"{tmp_root}/ck")
+         .trigger(availableNow=True).start())
+    jobs.run_to_end(q)
+    expired = sorted(r.order_id for r in spark.table("pending_test").collect())
+    assert expired == ["ORD-1", "ORD-3"]
+
+
+def test_kafka_option_map():
+    opts = tp.kafka_options("broker:9092", ["orders", "payments"], max_offsets_per_trigger=50)
+    assert opts == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "orders,payments",
+                    "startingOffsets": "earliest", "maxOffsetsPerTrigger": "50"}
