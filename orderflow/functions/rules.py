@@ -1,85 +1,80 @@
 """The validation rule table and its fold into one ``CASE WHEN`` column.
 
-Rules are data: ``(code, predicate)`` pairs in priority order.  ``classify_column`` folds them
-into a single ``when`` chain, so the first matching rule wins and the whole classification is
-one JVM-side expression inside whole-stage codegen.  A caller may pass a different list (e.g.
-with an extra rule appended) without touching the fold.
+Rules are data: ``(code, predicate)`` pairs in priority order, each predicate a SQL boolean
+expression over the parsed event columns.  ``classify_column`` folds them into a single
+``CASE WHEN p1 THEN code1 WHEN p2 THEN code2 ... END`` (the first matching rule wins), parsed
+once on the JVM side; the whole classification is one expression inside whole-stage codegen.
+A caller may pass a different list (e.g. with ``future_event_rule()`` appended) without
+touching the fold.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import contract as C
 
-Rule = tuple[str, Callable[[], Column]]
+Rule = tuple[str, str]
 
 
-def topic_type_allowed(topic: str = "topic", event_type: str = "event_type",
-                       allowed: dict | None = None) -> Column:
-    """True when the event type belongs to the topic it was read from."""
-    allowed = allowed or C.TOPIC_EVENT_TYPES
-    cond = F.lit(False)
-    for name, types in allowed.items():
-        cond = cond | ((F.col(topic) == name) & F.col(event_type).isin(*types))
-    return cond
+def _in(values: Sequence[str]) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-def _null_any(*names: str) -> Column:
-    cond = F.lit(False)
-    for n in names:
-        cond = cond | F.col(n).isNull()
-    return cond
+def topic_type_sql(topic: str = "topic", event_type: str = "event_type",
+                   allowed: dict | None = None) -> str:
+    """True when the event type belongs to the topic it was read from."""
+    allowed = allowed or C.TOPIC_EVENT_TYPES
+    return "(" + " OR ".join(f"({topic} = '{name}' AND {event_type} IN {_in(types)})"
+                             for name, types in allowed.items()) + ")"
 
 
-def _is(event_type: str | Sequence[str]) -> Column:
-    if isinstance(event_type, str):
-        return F.col("event_type") == event_type
-    return F.col("event_type").isin(*event_type)
+def topic_type_allowed(topic: str = "topic", event_type: str = "event_type",
+                       allowed: dict | None = None) -> Column:
+    return F.expr(topic_type_sql(topic, event_type, allowed))
 
 
 # Priority-ordered rules (first match wins).
 RULES: list[Rule] = [
-    (C.INVALID_JSON, lambda: F.col("corrupt_record").isNotNull()),
+    (C.INVALID_JSON, "corrupt_record IS NOT NULL"),
     (C.MISSING_REQUIRED_FIELD,
-     lambda: _null_any("event_id", "event_type", "event_time", "order_id", "customer_id", "payload")),
-    (C.INVALID_KAFKA_KEY,
-     lambda: F.col("kafka_key").isNull() | (F.col("kafka_key") != F.col("order_id"))),
+     "event_id IS NULL OR event_type IS NULL OR event_time IS NULL OR order_id IS NULL "
+     "OR customer_id IS NULL OR payload IS NULL"),
+    (C.INVALID_KAFKA_KEY, "kafka_key IS NULL OR kafka_key <> order_id"),
     (C.UNSUPPORTED_SCHEMA_VERSION,
-     lambda: F.col("schema_version").isNull()
-     | (F.col("schema_version") != C.SUPPORTED_SCHEMA_VERSION)),
-    (C.INVALID_TOPIC_EVENT_TYPE, lambda: ~topic_type_allowed()),
+     f"schema_version IS NULL OR schema_version <> {C.SUPPORTED_SCHEMA_VERSION}"),
+    (C.INVALID_TOPIC_EVENT_TYPE, f"NOT {topic_type_sql()}"),
     (C.INVALID_ORDER_PAYLOAD,
-     lambda: _is(C.ORDER_CREATED)
-     & (F.col("payload.total_amount").isNull() | (F.col("payload.total_amount") <= 0)
-        | F.col("payload.currency").isNull())),
+     f"event_type = '{C.ORDER_CREATED}' AND (payload.total_amount IS NULL "
+     "OR payload.total_amount <= 0 OR payload.currency IS NULL)"),
     (C.INVALID_PAYMENT_PAYLOAD,
-     lambda: _is(C.PAYMENT_TYPES)
-     & (F.col("payload.payment_id").isNull() | F.col("payload.amount").isNull()
-        | (F.col("payload.amount") <= 0) | F.col("payload.currency").isNull())),
+     f"event_type IN {_in(C.PAYMENT_TYPES)} AND (payload.payment_id IS NULL "
+     "OR payload.amount IS NULL OR payload.amount <= 0 OR payload.currency IS NULL)"),
     (C.INVALID_INVENTORY_PAYLOAD,
-     lambda: _is(C.INVENTORY_TYPES)
-     & (F.col("payload.sku").isNull() | F.col("payload.quantity").isNull()
-        | (F.col("payload.quantity") <= 0))),
+     f"event_type IN {_in(C.INVENTORY_TYPES)} AND (payload.sku IS NULL "
+     "OR payload.quantity IS NULL OR payload.quantity <= 0)"),
     (C.MISSING_PAYMENT_FAILURE_REASON,
-     lambda: _is(C.PAYMENT_FAILED) & F.col("payload.reason").isNull()),
+     f"event_type = '{C.PAYMENT_FAILED}' AND payload.reason IS NULL"),
     (C.MISSING_INVENTORY_REJECTION_REASON,
-     lambda: _is(C.INVENTORY_REJECTED) & F.col("payload.reason").isNull()),
+     f"event_type = '{C.INVENTORY_REJECTED}' AND payload.reason IS NULL"),
 ]
 
 RULE_CODES = [code for code, _ in RULES]
 
 
+def classify_sql(rules: Sequence[Rule] = RULES) -> str:
+    if not rules:
+        return "CAST(NULL AS string)"
+    whens = " ".join(f"WHEN ({predicate}) THEN '{code}'" for code, predicate in rules)
+    return f"CASE {whens} END"
+
+
 def classify_column(rules: Sequence[Rule] = RULES) -> Column:
     """The first failing rule's code, or NULL when every rule passes."""
-    chain = None
-    for code, predicate in rules:
-        chain = (F.when(predicate(), F.lit(code)) if chain is None
-                 else chain.when(predicate(), F.lit(code)))
-    return chain if chain is not None else F.lit(None).cast("string")
+    return F.expr(classify_sql(rules))
 
 
 def status_column(error: Column) -> Column:
@@ -93,5 +88,4 @@ def future_event_rule(tolerance: str = "1 hour") -> Rule:
     that would otherwise evict all state and make normal rows late.
     """
     return ("EVENT_TIME_IN_FUTURE",
-            lambda: F.try_to_timestamp(F.col("event_time"))
-            > F.current_timestamp() + F.expr(f"INTERVAL {tolerance}"))
+            f"try_to_timestamp(event_time) > current_timestamp() + INTERVAL {tolerance}")

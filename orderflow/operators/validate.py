@@ -29,7 +29,12 @@ def parse_envelope(raw: Column, permissive: bool = True) -> Column:
 
 
 def parse_events(topic_rows: DataFrame) -> DataFrame:
-    """Topic rows -> flattened envelope with provenance (key, topic, partition, offset, raw)."""
+    """Topic rows -> flattened envelope with provenance (key, topic, partition, offset, raw).
+
+    Note: a filter on parsed fields is pushed through this projection with ``from_json``
+    substituted into the predicate; codegen's subexpression elimination keeps the repeated
+    parse cheap (measured: a generator barrier that forbids the push costs more than it saves).
+    """
     parsed = topic_rows.select(*TOPIC_FIELDS, parse_envelope(F.col("raw_json")).alias("event"))
     return parsed.select(
         *TOPIC_FIELDS,

@@ -20,8 +20,7 @@ at the speed of the ``orders`` scan and grows with it.  All rules are modular ar
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from .. import contract as C
 
@@ -53,149 +52,107 @@ SLOT_ORDER, SLOT_ORDER_COPY, SLOT_PAYMENT, SLOT_PAYMENT_2, SLOT_INVENTORY = 0, 1
 OFFSET_STRIDE = 8
 
 
-def _q(text: Column | str) -> Column:
-    """A JSON string literal for a value known to need no escaping (ids, codes)."""
-    return F.concat(F.lit('"'), text if isinstance(text, Column) else F.lit(text), F.lit('"'))
+def _json_str(sql: str) -> str:
+    """SQL for a JSON string literal of a value known to need no escaping (ids, codes)."""
+    return f"""concat('"', {sql}, '"')"""
 
 
-def _field(name: str, value: Column) -> Column:
-    return F.concat(F.lit(f'"{name}":'), value)
+def _member(name: str, value_sql: str) -> str:
+    """SQL for ``"name":value``; NULL when the value is NULL (the key is then left out)."""
+    return f"""concat('"{name}":', {value_sql})"""
 
 
-def _iso_ms(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+def _iso(epoch_seconds_sql: str) -> str:
+    return f"date_format(timestamp_seconds({epoch_seconds_sql}), \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")"
 
 
-def _iso_seconds(epoch_seconds: Column) -> Column:
-    return _iso_ms(F.timestamp_seconds(epoch_seconds))
+def _document(*members: str) -> str:
+    """SQL for ``{m1,m2,...}``; NULL members are skipped by ``concat_ws``."""
+    return f"concat('{{', concat_ws(',', {', '.join(members)}), '}}')"
 
 
-def _object(*members: Column | None) -> Column:
-    """``{m1,m2,...}``; a NULL member is left out (like an absent key)."""
-    present = [m for m in members if m is not None]
-    return F.concat(F.lit("{"), F.concat_ws(",", *present), F.lit("}"))
-
-
-def _envelope_head(event_id: Column, event_type: Column, event_time: Column,
-                   schema_version: Column, order_id: Column, customer_id: Column) -> Column:
-    return F.concat_ws(
-        ",",
-        _field("event_id", _q(event_id)),
-        _field("event_type", _q(event_type)),
-        _field("event_time", _q(event_time)),
-        _field("schema_version", schema_version.cast("string")),
-        _field("order_id", _q(order_id)),
-        # concat_ws skips NULLs, so a NULL customer_id leaves the key out.
-        _field("customer_id", _q(customer_id)),
-    )
+def _head(event_id: str, event_type: str, event_time: str, version: str, customer: str) -> list[str]:
+    return [
+        _member("event_id", _json_str(event_id)),
+        _member("event_type", _json_str(event_type)),
+        _member("event_time", _json_str(event_time)),
+        _member("schema_version", version),
+        _member("order_id", _json_str("order_id")),
+        _member("customer_id", _json_str(customer)),
+    ]
 
 
 def derive_event_log(orders: DataFrame) -> DataFrame:
-    """Topic rows ``(kafka_key, topic, partition, offset, raw_json)`` derived from ``orders``."""
-    k = F.col("o_orderkey")
-    scenario = k % 20
-    pay_gap = (F.when(k % 97 == 5, 960).when(k % 97 == 6, 900).when(k % 97 == 7, -1)
-               .otherwise(2 + k % 7))
-    inv_gap = F.when(k % 101 == 5, 901).when(k % 101 == 6, 900).otherwise(2 + k % 5)
-    # Shared sub-expressions, computed once per order in a projection before the explode.
-    t0_secs = F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + k % 86400
-    base = orders.select(
-        k.alias("k"),
-        (k % ANOMALY_MODULUS).alias("r"),
-        ((scenario >= 15) & (scenario < 18)).alias("failed"),
-        (scenario >= 18).alias("rejected"),
-        F.concat(F.lit("ORD-"), F.lpad(k.cast("string"), 9, "0")).alias("order_id"),
-        F.concat(F.lit("CUS-"), F.col("o_custkey").cast("string")).alias("customer_id"),
-        F.col("o_totalprice").cast("string").alias("price"),
-        t0_secs.alias("t0"),
-        (t0_secs + pay_gap).alias("t_pay"),
-        (t0_secs + pay_gap + inv_gap).alias("t_inv"),
-        (k % 101 != 7).alias("inv_present"),
-    )
-    k = F.col("k")
-    r = F.col("r")
-    failed, rejected = F.col("failed"), F.col("rejected")
-    order_id, customer_id, price = F.col("order_id"), F.col("customer_id"), F.col("price")
-    has_inventory = ~failed & F.col("inv_present")
-    has_second = k % SECOND_PAYMENT_MODULUS == 5
-    t0, t_pay, t_inv = F.col("t0"), F.col("t_pay"), F.col("t_inv")
-    t_pay2 = t_pay + 1
-
-    # ---- order event
-    order_head = _envelope_head(
-        F.concat(F.lit("O-"), k.cast("string")),
-        F.lit(C.ORDER_CREATED),
-        F.when(r == 13, F.lit("not-a-time")).otherwise(_iso_seconds(t0)),
-        F.when(r == 4, F.lit(2)).otherwise(F.lit(1)),
-        order_id,
-        F.when(r != 2, customer_id),
-    )
-    order_payload = _object(
-        _field("total_amount", F.when(r == 6, F.lit("0.0")).otherwise(price)),
-        _field("currency", _q(CURRENCY)),
-    )
-    order_json = (
-        F.when(r == 12, F.lit(None).cast("string"))
-        .when(r == 1, F.concat(F.lit("{"), order_head, F.lit(',"payload":')))
-        .otherwise(F.concat(F.lit("{"), order_head, F.lit(',"payload":'), order_payload, F.lit("}")))
-    )
-    order_key = F.when(r == 3, F.concat(F.lit("BAD-"), k.cast("string"))).otherwise(order_id)
-    order_topic = F.when(r == 5, F.lit(C.TOPIC_PAYMENTS)).otherwise(F.lit(C.TOPIC_ORDERS))
-
-    # ---- payment event(s)
-    pay_type = F.when(failed, F.lit(C.PAYMENT_FAILED)).otherwise(F.lit(C.PAYMENT_AUTHORIZED))
-    payment_id = F.concat(F.lit("PAY-"), F.lpad(k.cast("string"), 9, "0"))
-
-    def payment_json(event_id: Column, pid: Column, ts: Column) -> Column:
-        payload = _object(
-            _field("payment_id", _q(pid)),
-            _field("amount", price),
-            F.when(r != 7, _field("currency", _q(CURRENCY))),
-            F.when(failed & (r != 9), _field("reason", _q(PAYMENT_FAILED_REASON))),
-        )
-        head = _envelope_head(event_id, pay_type, _iso_seconds(ts), F.lit(1), order_id, customer_id)
-        return F.concat(F.lit("{"), head, F.lit(',"payload":'), payload, F.lit("}"))
-
-    # ---- inventory event
-    inv_type = F.when(rejected, F.lit(C.INVENTORY_REJECTED)).otherwise(F.lit(C.INVENTORY_RESERVED))
-    quantity = F.when(r == 8, F.lit("0")).when(r == 11, F.lit('"1"')).otherwise(F.lit("1"))
-    inv_payload = _object(
-        _field("sku", _q(F.concat(F.lit("SKU-"), F.lpad((k % 100).cast("string"), 3, "0")))),
-        _field("quantity", quantity),
-        F.when(rejected & (r != 10), _field("reason", _q(INVENTORY_REJECTED_REASON))),
-    )
-    inv_json = F.concat(
-        F.lit("{"),
-        _envelope_head(F.concat(F.lit("I-"), k.cast("string")), inv_type, _iso_seconds(t_inv), F.lit(1),
-                       order_id, customer_id),
-        F.lit(',"payload":'), inv_payload, F.lit("}"),
+    """Topic rows ``(kafka_key, topic, partition, offset, raw_json)`` derived from ``orders``.
+
+    Two projections written as SQL expressions (each parsed once on the JVM side): the
+    per-order values, then one ``explode`` of the order's events, each a ``CASE WHEN present``
+    so a document is only built for an event that exists.
+    """
+    base = orders.selectExpr(
+        "o_orderkey AS k",
+        f"o_orderkey % {ANOMALY_MODULUS} AS r",
+        "o_orderkey % 20 >= 15 AND o_orderkey % 20 < 18 AS failed",
+        "o_orderkey % 20 >= 18 AS rejected",
+        "concat('ORD-', lpad(cast(o_orderkey AS string), 9, '0')) AS order_id",
+        "concat('CUS-', cast(o_custkey AS string)) AS customer_id",
+        "concat('PAY-', lpad(cast(o_orderkey AS string), 9, '0')) AS payment_id",
+        "cast(o_totalprice AS string) AS price",
+        "unix_seconds(cast(o_orderdate AS timestamp)) + o_orderkey % 86400 AS t0",
+        """CASE WHEN o_orderkey % 97 = 5 THEN 960 WHEN o_orderkey % 97 = 6 THEN 900
+                WHEN o_orderkey % 97 = 7 THEN -1 ELSE 2 + o_orderkey % 7 END AS pay_gap""",
+        """CASE WHEN o_orderkey % 101 = 5 THEN 901 WHEN o_orderkey % 101 = 6 THEN 900
+                ELSE 2 + o_orderkey % 5 END AS inv_gap""",
+        "o_orderkey % 101 <> 7 AS inv_present",
     )
 
-    partition = (k % 3).cast("int")
-    base_offset = k * OFFSET_STRIDE
-
-    def record(present: Column, key: Column, topic: Column, slot: int, raw: Column) -> Column:
-        return F.struct(
-            present.alias("present"),
-            key.alias("kafka_key"),
-            topic.alias("topic"),
-            partition.alias("partition"),
-            (base_offset + slot).cast("long").alias("offset"),
-            raw.alias("raw_json"),
-        )
-
-    records = F.array(
-        record(F.lit(True), order_key, order_topic, SLOT_ORDER, order_json),
-        record(k % DUPLICATE_MODULUS == 0, order_key, order_topic, SLOT_ORDER_COPY, order_json),
-        record(F.lit(True), order_id, F.lit(C.TOPIC_PAYMENTS), SLOT_PAYMENT,
-               payment_json(F.concat(F.lit("P-"), k.cast("string")), payment_id, t_pay)),
-        record(has_second, order_id, F.lit(C.TOPIC_PAYMENTS), SLOT_PAYMENT_2,
-               payment_json(F.concat(F.lit("P2-"), k.cast("string")),
-                            F.concat(payment_id, F.lit("-B")), t_pay2)),
-        record(has_inventory, order_id, F.lit(C.TOPIC_INVENTORY), SLOT_INVENTORY, inv_json),
-    )
-    return (
-        base.select(F.explode(records).alias("rec"))
-        .filter(F.col("rec.present"))
-        .select("rec.kafka_key", "rec.topic", "rec.partition", "rec.offset", "rec.raw_json")
-    )
+    order_doc_head = _head(
+        "concat('O-', cast(k AS string))", f"'{C.ORDER_CREATED}'",
+        f"CASE WHEN r = 13 THEN 'not-a-time' ELSE {_iso('t0')} END",
+        "CASE WHEN r = 4 THEN '2' ELSE '1' END",
+        "CASE WHEN r <> 2 THEN customer_id END")
+    order_json = f"""CASE WHEN r = 12 THEN CAST(NULL AS string)
+        WHEN r = 1 THEN concat('{{', concat_ws(',', {', '.join(order_doc_head)}), ',"payload":')
+        ELSE concat('{{', concat_ws(',', {', '.join(order_doc_head)}), ',"payload":',
+                    {_document(_member('total_amount', "CASE WHEN r = 6 THEN '0.0' ELSE price END"),
+                               _member('currency', _json_str(f"'{CURRENCY}'")))}, '}}') END"""
+    order_key = "CASE WHEN r = 3 THEN concat('BAD-', cast(k AS string)) ELSE order_id END"
+    order_topic = f"CASE WHEN r = 5 THEN '{C.TOPIC_PAYMENTS}' ELSE '{C.TOPIC_ORDERS}' END"
+
+    pay_type = f"CASE WHEN failed THEN '{C.PAYMENT_FAILED}' ELSE '{C.PAYMENT_AUTHORIZED}' END"
+
+    def payment_json(prefix: str, pid: str, seconds: str) -> str:
+        head = _head(f"concat('{prefix}', cast(k AS string))", pay_type, _iso(seconds), "'1'",
+                     "customer_id")
+        payload = _document(
+            _member("payment_id", _json_str(pid)),
+            _member("amount", "price"),
+            f"CASE WHEN r <> 7 THEN {_member('currency', _json_str(repr(CURRENCY)))} END",
+            f"CASE WHEN failed AND r <> 9 THEN {_member('reason', _json_str(repr(PAYMENT_FAILED_REASON)))} END")
+        return f"""concat('{{', concat_ws(',', {', '.join(head)}), ',"payload":', {payload}, '}}')"""
+
+    inv_type = f"CASE WHEN rejected THEN '{C.INVENTORY_REJECTED}' ELSE '{C.INVENTORY_RESERVED}' END"
+    inv_head = _head("concat('I-', cast(k AS string))", inv_type, _iso("t0 + pay_gap + inv_gap"),
+                     "'1'", "customer_id")
+    inv_payload = _document(
+        _member("sku", _json_str("concat('SKU-', lpad(cast(k % 100 AS string), 3, '0'))")),
+        _member("quantity", """CASE WHEN r = 8 THEN '0' WHEN r = 11 THEN '"1"' ELSE '1' END"""),
+        f"CASE WHEN rejected AND r <> 10 THEN {_member('reason', _json_str(repr(INVENTORY_REJECTED_REASON)))} END")
+    inv_json = f"""concat('{{', concat_ws(',', {', '.join(inv_head)}), ',"payload":', {inv_payload}, '}}')"""
+
+    def record(present: str, key: str, topic: str, slot: int, raw: str) -> str:
+        return (f"CASE WHEN {present} THEN named_struct('kafka_key', {key}, 'topic', {topic}, "
+                f"'partition', cast(k % 3 AS int), 'offset', cast(k * {OFFSET_STRIDE} + {slot} AS bigint), "
+                f"'raw_json', {raw}) END")
+
+    records = ", ".join([
+        record("true", order_key, order_topic, SLOT_ORDER, order_json),
+        record(f"k % {DUPLICATE_MODULUS} = 0", order_key, order_topic, SLOT_ORDER_COPY, order_json),
+        record("true", "order_id", f"'{C.TOPIC_PAYMENTS}'", SLOT_PAYMENT,
+               payment_json("P-", "payment_id", "t0 + pay_gap")),
+        record(f"k % {SECOND_PAYMENT_MODULUS} = 5", "order_id", f"'{C.TOPIC_PAYMENTS}'", SLOT_PAYMENT_2,
+               payment_json("P2-", "concat(payment_id, '-B')", "t0 + pay_gap + 1")),
+        record("NOT failed AND inv_present", "order_id", f"'{C.TOPIC_INVENTORY}'", SLOT_INVENTORY,
+               inv_json),
+    ])
+    return (base.selectExpr(f"inline(filter(array({records}), e -> e IS NOT NULL))"))
