@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 def target_parallelism(spark: SparkSession) -> int:
     """Task slots worth filling: the default parallelism (total executor cores)."""
-    return max(int(spark.sparkContext.defaultParallelism),
-               int(spark.conf.get("spark.sql.shuffle.partitions")) if spark.conf.get(
-                   "spark.sql.shuffle.partitions", None) else 1)
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "1") or 1)
+    try:
+        cores = int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect session
+        cores = 1
+    return max(cores, shuffle)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -21,7 +24,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     shuffle).  Only the partition count is inspected; no job runs.
     """
     want = min_partitions or target_parallelism(df.sparkSession)
-    have = df.rdd.getNumPartitions()
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - Spark Connect has no RDD view; keep the scan as is
+        return df
     return df.repartition(want) if have < want else df
 
 
