@@ -25,7 +25,8 @@ HEADLINE = [
     "status_counts",          # flagship: the whole pipeline to the state counts
     "validation_counts",      # parse + classify only
     "deduplicated_events",    # event time + dedup
-    "correlated",             # two interval joins
+    "correlated",             # two interval joins (inner + left, batch shape)
+    "correlated_branches",    # the same in the two-branch stream shape (three joins)
     "history_table",          # states + ids + keyed upsert read
     "completion_rate",
     "window_counts_by_order",

@@ -139,6 +139,13 @@ def correlated(spark, sf_dir):
     return EventFlow(spark, sf_dir).correlated()
 
 
+@query
+def correlated_branches(spark, sf_dir):
+    """The same correlation in the two-branch shape streams use (failed payments bypass the
+    second join; authorized ones join inventory; union by name)."""
+    return EventFlow(spark, sf_dir).correlated(shape="branches")
+
+
 @query
 def order_states(spark, sf_dir):
     return EventFlow(spark, sf_dir).states
