@@ -292,6 +292,7 @@ WHERE op.payment_status = 'payment_authorized'""")
 
 ORACLE["correlated"] = _q("SELECT * FROM correlated")
 ORACLE["correlated_branches"] = _q("SELECT * FROM correlated")
+ORACLE["correlated_chained"] = _q("SELECT * FROM correlated")
 ORACLE["order_states"] = _q("SELECT * FROM states")
 
 ORACLE["status_counts"] = _q("""

@@ -146,6 +146,13 @@ def correlated_branches(spark, sf_dir):
     return EventFlow(spark, sf_dir).correlated(shape="branches")
 
 
+@query
+def correlated_chained(spark, sf_dir):
+    """The same correlation in the stream shape: one order->payment join, one join to
+    inventory results plus failed-payment markers."""
+    return EventFlow(spark, sf_dir).correlated(shape="chained")
+
+
 @query
 def order_states(spark, sf_dir):
     return EventFlow(spark, sf_dir).states

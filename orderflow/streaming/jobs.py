@@ -89,7 +89,7 @@ def business_stream(records: DataFrame, within: str = C.CORRELATION_WINDOW,
     events = dd.with_event_time(events).filter(F.col("event_id").isNotNull()
                                                 & F.col("order_id").isNotNull())
     o, p, i = corr.split_domains(events)
-    correlated = corr.correlate(o, p, i, within=within, lateness=lateness, shape="branches")
+    correlated = corr.correlate(o, p, i, within=within, lateness=lateness, shape="chained")
     return st.order_status(correlated)
 
 
