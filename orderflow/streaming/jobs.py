@@ -182,6 +182,15 @@ def volume_stream(records: DataFrame, width: str = C.VOLUME_WINDOW,
     return me.order_volume(orders, width=width, lateness=lateness)
 
 
+def run_volume(records: DataFrame, metrics_path: str, checkpoint: str,
+               width: str = C.VOLUME_WINDOW, lateness: str = C.WATERMARK_DELAY,
+               trigger: dict | None = None) -> StreamingQuery:
+    """Order volume per window, update mode, stored as durable metric rows."""
+    return _start(volume_stream(records, width, lateness), checkpoint,
+                  sinks.upsert_metrics(metrics_path, "order_volume_5m"), mode="update",
+                  trigger=trigger)
+
+
 def completion_stream(states: DataFrame) -> DataFrame:
     """Running completion rate over the state stream: a stateful global aggregate kept in the
     checkpoint (survives restarts), emitted in update mode."""

@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import contract as C
 from ..operators import states as st
 from ..operators import validate as va
 
@@ -85,9 +84,27 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return st.upsert_view(spark.read.option("recursiveFileLookup", "true").parquet(path))
 
 
-def memory_sink_rows(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
+def upsert_metrics(path: str, metric_name: str) -> Callable[[DataFrame, int], None]:
+    """Durable metric rows from an update-mode window aggregate.
+
+    Each micro-batch writes the windows it updated, tagged with the batch id, to its own
+    folder (replays overwrite it); ``read_metrics`` keeps the latest value per
+    ``(metric_name, window_start, window_end)``.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        value = [c for c in batch.columns if c not in ("window_start", "window_end")][0]
+        (batch.select(F.lit(metric_name).alias("metric_name"), "window_start", "window_end",
+                      F.col(value).cast("double").alias("metric_value"),
+                      F.lit(batch_id).cast("long").alias("batch_id"))
+         .write.mode("overwrite").parquet(batch_path(f"{path}/{metric_name}", batch_id)))
+
+    return run
 
 
-__all__ = ["batch_path", "write_topic", "route_batch", "forward_batch", "upsert_history",
-           "read_history", "C"]
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Latest value per (metric_name, window_start, window_end): one aggregate, no window."""
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    latest = F.max_by(F.col("metric_value"), F.col("batch_id"))
+    return (rows.groupBy("metric_name", "window_start", "window_end")
+            .agg(latest.alias("metric_value")))

@@ -197,3 +197,24 @@ def test_history_upsert_is_replay_safe(spark, tmp_root):
     sink(batch.limit(1), 1)  # a later batch re-delivering one state
     hist = sinks.read_history(spark, f"{tmp_root}/hist")
     assert sorted(r.order_id for r in hist.collect()) == ["ORD-1", "ORD-2"]
+
+
+def test_durable_volume_metrics_equal_batch(spark, tmp_root):
+    """Volume windows updated over several micro-batches; the latest value per window equals
+    the batch aggregate (no late rows: files in event-time order)."""
+    from orderflow.operators import metrics as me
+    src = f"{tmp_root}/src"
+    t = datetime(2026, 10, 9, 1, 0, 0)
+    batches = [[_event(f"O{b}{j}", t + timedelta(minutes=2 * b, seconds=20 * j), f"ORD-{b}{j}")
+                for j in range(3)] for b in range(4)]
+    for b, events in enumerate(batches):
+        _kv_file(spark, src, f"b{b}", events)
+    q = jobs.run_volume(tp.key_value_files(spark, src, max_files_per_trigger=1),
+                        f"{tmp_root}/metrics", f"{tmp_root}/ck")
+    jobs.run_to_end(q)
+    got = {(r.window_start, r.metric_value) for r in sinks.read_metrics(spark, f"{tmp_root}/metrics").collect()}
+    rows = [(e["event_time"],) for evs in batches for e in evs]
+    df = spark.createDataFrame(rows, "event_time string").selectExpr(
+        "try_to_timestamp(event_time) AS event_timestamp")
+    want = {(r.window_start, float(r.order_count)) for r in me.order_volume(df).collect()}
+    assert got == want and len(got) >= 2
