@@ -77,11 +77,6 @@ class EventFlow:
     def domains(self):
         return corr.split_domains(self.unique)
 
-    @cached_property
-    def raw_domains(self):
-        """Domain split of timed valid events *before* dedup (the side metrics jobs read)."""
-        return corr.split_domains(self.timed, by_topic=True)
-
     def correlated(self, shape: str | None = None) -> DataFrame:
         o, p, i = self.domains
         return corr.correlate(o, p, i, shape=shape)
