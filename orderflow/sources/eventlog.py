@@ -52,45 +52,32 @@ SLOT_ORDER, SLOT_ORDER_COPY, SLOT_PAYMENT, SLOT_PAYMENT_2, SLOT_INVENTORY = 0, 1
 OFFSET_STRIDE = 8
 
 
-def _json_str(sql: str) -> str:
-    """SQL for a JSON string literal of a value known to need no escaping (ids, codes)."""
-    return f"""concat('"', {sql}, '"')"""
-
-
-def _member(name: str, value_sql: str) -> str:
-    """SQL for ``"name":value``; NULL when the value is NULL (the key is then left out)."""
-    return f"""concat('"{name}":', {value_sql})"""
-
-
 def _iso(epoch_seconds_sql: str) -> str:
     return f"date_format(timestamp_seconds({epoch_seconds_sql}), \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")"
 
 
-def _document(*members: str) -> str:
-    """SQL for ``{m1,m2,...}``; NULL members are skipped by ``concat_ws``."""
-    return f"concat('{{', concat_ws(',', {', '.join(members)}), '}}')"
+def _doc(*parts: str) -> str:
+    """One flat ``concat`` of literal pieces and value expressions (a single allocation per
+    document; optional members are ``CASE ... ELSE ''`` pieces)."""
+    return "concat(" + ", ".join(parts) + ")"
 
 
-def _head(event_id: str, event_type: str, event_time: str, version: str, customer: str) -> list[str]:
-    return [
-        _member("event_id", _json_str(event_id)),
-        _member("event_type", _json_str(event_type)),
-        _member("event_time", _json_str(event_time)),
-        _member("schema_version", version),
-        _member("order_id", _json_str("order_id")),
-        _member("customer_id", _json_str(customer)),
-    ]
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "\\'") + "'"
 
 
 def derive_event_log(orders: DataFrame) -> DataFrame:
     """Topic rows ``(kafka_key, topic, partition, offset, raw_json)`` derived from ``orders``.
 
     Two projections written as SQL expressions (each parsed once on the JVM side): the
-    per-order values, then one ``explode`` of the order's events, each a ``CASE WHEN present``
-    so a document is only built for an event that exists.
+    per-order values, then one ``inline`` of the order's events, each a ``CASE WHEN present``
+    so a document is only built for an event that exists.  Documents are compact JSON with a
+    fixed key order: envelope (event_id, event_type, event_time, schema_version, order_id,
+    customer_id) then payload.
     """
     base = orders.selectExpr(
         "o_orderkey AS k",
+        "cast(o_orderkey AS string) AS ks",
         f"o_orderkey % {ANOMALY_MODULUS} AS r",
         "o_orderkey % 20 >= 15 AND o_orderkey % 20 < 18 AS failed",
         "o_orderkey % 20 >= 18 AS rejected",
@@ -106,39 +93,43 @@ def derive_event_log(orders: DataFrame) -> DataFrame:
         "o_orderkey % 101 <> 7 AS inv_present",
     )
 
-    order_doc_head = _head(
-        "concat('O-', cast(k AS string))", f"'{C.ORDER_CREATED}'",
-        f"CASE WHEN r = 13 THEN 'not-a-time' ELSE {_iso('t0')} END",
-        "CASE WHEN r = 4 THEN '2' ELSE '1' END",
-        "CASE WHEN r <> 2 THEN customer_id END")
-    order_json = f"""CASE WHEN r = 12 THEN CAST(NULL AS string)
-        WHEN r = 1 THEN concat('{{', concat_ws(',', {', '.join(order_doc_head)}), ',"payload":')
-        ELSE concat('{{', concat_ws(',', {', '.join(order_doc_head)}), ',"payload":',
-                    {_document(_member('total_amount', "CASE WHEN r = 6 THEN '0.0' ELSE price END"),
-                               _member('currency', _json_str(f"'{CURRENCY}'")))}, '}}') END"""
-    order_key = "CASE WHEN r = 3 THEN concat('BAD-', cast(k AS string)) ELSE order_id END"
-    order_topic = f"CASE WHEN r = 5 THEN '{C.TOPIC_PAYMENTS}' ELSE '{C.TOPIC_ORDERS}' END"
-
-    pay_type = f"CASE WHEN failed THEN '{C.PAYMENT_FAILED}' ELSE '{C.PAYMENT_AUTHORIZED}' END"
-
-    def payment_json(prefix: str, pid: str, seconds: str) -> str:
-        head = _head(f"concat('{prefix}', cast(k AS string))", pay_type, _iso(seconds), "'1'",
-                     "customer_id")
-        payload = _document(
-            _member("payment_id", _json_str(pid)),
-            _member("amount", "price"),
-            f"CASE WHEN r <> 7 THEN {_member('currency', _json_str(repr(CURRENCY)))} END",
-            f"CASE WHEN failed AND r <> 9 THEN {_member('reason', _json_str(repr(PAYMENT_FAILED_REASON)))} END")
-        return f"""concat('{{', concat_ws(',', {', '.join(head)}), ',"payload":', {payload}, '}}')"""
-
-    inv_type = f"CASE WHEN rejected THEN '{C.INVENTORY_REJECTED}' ELSE '{C.INVENTORY_RESERVED}' END"
-    inv_head = _head("concat('I-', cast(k AS string))", inv_type, _iso("t0 + pay_gap + inv_gap"),
-                     "'1'", "customer_id")
-    inv_payload = _document(
-        _member("sku", _json_str("concat('SKU-', lpad(cast(k % 100 AS string), 3, '0'))")),
-        _member("quantity", """CASE WHEN r = 8 THEN '0' WHEN r = 11 THEN '"1"' ELSE '1' END"""),
-        f"CASE WHEN rejected AND r <> 10 THEN {_member('reason', _json_str(repr(INVENTORY_REJECTED_REASON)))} END")
-    inv_json = f"""concat('{{', concat_ws(',', {', '.join(inv_head)}), ',"payload":', {inv_payload}, '}}')"""
+    def envelope(event_id_prefix: str, event_type: str, event_time: str, version: str,
+                 customer: str) -> list[str]:
+        return [_lit('{"event_id":"' + event_id_prefix), "ks",
+                _lit('","event_type":"'), event_type,
+                _lit('","event_time":"'), event_time,
+                _lit('","schema_version":'), version,
+                _lit(',"order_id":"'), "order_id", _lit('"'), customer,
+                _lit(',"payload":')]
+
+    order_json = f"""CASE WHEN r = 12 THEN CAST(NULL AS string) ELSE {_doc(
+        *envelope("O-", _lit(C.ORDER_CREATED),
+                  f"CASE WHEN r = 13 THEN 'not-a-time' ELSE {_iso('t0')} END",
+                  "CASE WHEN r = 4 THEN '2' ELSE '1' END",
+                  """CASE WHEN r = 2 THEN '' ELSE concat(',"customer_id":"', customer_id, '"') END"""),
+        f"""CASE WHEN r = 1 THEN '' ELSE concat('{{"total_amount":',
+            CASE WHEN r = 6 THEN '0.0' ELSE price END, {_lit(',"currency":"' + CURRENCY + '"}}')}) END""")} END"""
+    order_key = "CASE WHEN r = 3 THEN concat('BAD-', ks) ELSE order_id END"
+    order_topic = f"CASE WHEN r = 5 THEN {_lit(C.TOPIC_PAYMENTS)} ELSE {_lit(C.TOPIC_ORDERS)} END"
+
+    pay_type = f"CASE WHEN failed THEN {_lit(C.PAYMENT_FAILED)} ELSE {_lit(C.PAYMENT_AUTHORIZED)} END"
+    customer = """concat(',"customer_id":"', customer_id, '"')"""
+
+    def payment_json(prefix: str, id_suffix: str, seconds: str) -> str:
+        return _doc(
+            *envelope(prefix, pay_type, _iso(seconds), "'1'", customer),
+            _lit('{"payment_id":"'), "payment_id", _lit(id_suffix), _lit('","amount":'), "price",
+            f"""CASE WHEN r = 7 THEN '' ELSE {_lit(',"currency":"' + CURRENCY + '"')} END""",
+            f"""CASE WHEN failed AND r <> 9 THEN {_lit(',"reason":"' + PAYMENT_FAILED_REASON + '"')} ELSE '' END""",
+            _lit("}}"))
+
+    inv_type = f"CASE WHEN rejected THEN {_lit(C.INVENTORY_REJECTED)} ELSE {_lit(C.INVENTORY_RESERVED)} END"
+    inv_json = _doc(
+        *envelope("I-", inv_type, _iso("t0 + pay_gap + inv_gap"), "'1'", customer),
+        _lit('{"sku":"SKU-'), "lpad(cast(k % 100 AS string), 3, '0')", _lit('","quantity":'),
+        """CASE WHEN r = 8 THEN '0' WHEN r = 11 THEN '"1"' ELSE '1' END""",
+        f"""CASE WHEN rejected AND r <> 10 THEN {_lit(',"reason":"' + INVENTORY_REJECTED_REASON + '"')} ELSE '' END""",
+        _lit("}}"))
 
     def record(present: str, key: str, topic: str, slot: int, raw: str) -> str:
         return (f"CASE WHEN {present} THEN named_struct('kafka_key', {key}, 'topic', {topic}, "
@@ -148,11 +139,11 @@ def derive_event_log(orders: DataFrame) -> DataFrame:
     records = ", ".join([
         record("true", order_key, order_topic, SLOT_ORDER, order_json),
         record(f"k % {DUPLICATE_MODULUS} = 0", order_key, order_topic, SLOT_ORDER_COPY, order_json),
-        record("true", "order_id", f"'{C.TOPIC_PAYMENTS}'", SLOT_PAYMENT,
-               payment_json("P-", "payment_id", "t0 + pay_gap")),
-        record(f"k % {SECOND_PAYMENT_MODULUS} = 5", "order_id", f"'{C.TOPIC_PAYMENTS}'", SLOT_PAYMENT_2,
-               payment_json("P2-", "concat(payment_id, '-B')", "t0 + pay_gap + 1")),
-        record("NOT failed AND inv_present", "order_id", f"'{C.TOPIC_INVENTORY}'", SLOT_INVENTORY,
+        record("true", "order_id", _lit(C.TOPIC_PAYMENTS), SLOT_PAYMENT,
+               payment_json("P-", "", "t0 + pay_gap")),
+        record(f"k % {SECOND_PAYMENT_MODULUS} = 5", "order_id", _lit(C.TOPIC_PAYMENTS), SLOT_PAYMENT_2,
+               payment_json("P2-", "-B", "t0 + pay_gap + 1")),
+        record("NOT failed AND inv_present", "order_id", _lit(C.TOPIC_INVENTORY), SLOT_INVENTORY,
                inv_json),
     ])
-    return (base.selectExpr(f"inline(filter(array({records}), e -> e IS NOT NULL))"))
+    return base.selectExpr(f"inline(filter(array({records}), e -> e IS NOT NULL))")
