@@ -218,3 +218,16 @@ def test_durable_volume_metrics_equal_batch(spark, tmp_root):
         "try_to_timestamp(event_time) AS event_timestamp")
     want = {(r.window_start, float(r.order_count)) for r in me.order_volume(df).collect()}
     assert got == want and len(got) >= 2
+
+
+def test_periodic_trigger(spark, tmp_root):
+    src, out = f"{tmp_root}/src", f"{tmp_root}/unique"
+    t = datetime(2026, 10, 9, 1, 0, 0)
+    _kv_file(spark, src, "b1", [_event("P1", t), _event("P1", t), _event("P2", t)])
+    q = jobs.run_dedup(tp.key_value_files(spark, src), out, f"{tmp_root}/ck",
+                       trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert tp.key_value_files(spark, out, streaming=False).count() == 2
