@@ -60,7 +60,7 @@ def local_session(app: str = "orderflow", cores: int | str = "*", shuffle_partit
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", UTC)
-        .config("spark.driver.memory", os.environ.get("ORDERFLOW_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("ORDERFLOW_DRIVER_MEMORY", "16g"))
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
