@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def target_parallelism(spark: SparkSession) -> int:
-    """Task slots worth filling: the default parallelism (total executor cores)."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "1") or 1)
+    """Task slots worth filling: the default parallelism (total executor cores).
+
+    Not the shuffle-partition count, which is sized for shuffled data and may be far larger
+    than the cores (a small table would be cut into many tiny tasks).
+    """
     try:
-        cores = int(spark.sparkContext.defaultParallelism)
+        return max(1, int(spark.sparkContext.defaultParallelism))
     except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect session
-        cores = 1
-    return max(cores, shuffle)
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "1") or 1))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
