@@ -52,11 +52,19 @@ def route_batch(valid_path: str, dlq_path: str, counts_path: str | None = None,
 
 
 def forward_batch(target: str) -> Callable[[DataFrame, int], None]:
-    """Forward ``(key, value)`` rows of each micro-batch to ``target`` (skip empty batches)."""
+    """Forward ``(key, value)`` rows of each micro-batch to ``target`` (skip empty batches).
+
+    The batch is persisted for the emptiness check and the write: run twice, a batch that
+    comes out of a stateful operator would execute that operator twice.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            write_topic(batch.select("key", "value"), target, batch_id)
+        rows = batch.select("key", "value").persist()
+        try:
+            if not rows.isEmpty():
+                write_topic(rows, target, batch_id)
+        finally:
+            rows.unpersist()
 
     return run
 
