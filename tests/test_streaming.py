@@ -231,3 +231,19 @@ def test_periodic_trigger(spark, tmp_root):
     finally:
         q.stop()
     assert tp.key_value_files(spark, out, streaming=False).count() == 2
+
+
+def test_decode_binary_kafka_records(spark):
+    rows = [(bytearray(b"ORD-1"), bytearray(b'{"event_id":"E"}'), "orders", 2, 7)]
+    raw = spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset long")
+    got = tp.decode_kafka(raw).first()
+    assert (got.kafka_key, got.raw_json, got.topic, got.partition, got.offset) == \
+        ("ORD-1", '{"event_id":"E"}', "orders", 2, 7)
+
+
+def test_table_topics(spark):
+    rows = [("ORD-1", "orders", 0, 1, "{}")]
+    spark.createDataFrame(rows, "kafka_key string, topic string, partition int, offset long, raw_json string") \
+        .createOrReplaceTempView("topic_rows_fixture")
+    assert tp.table_topics(spark, "topic_rows_fixture").columns == \
+        ["kafka_key", "topic", "partition", "offset", "raw_json"]
