@@ -117,7 +117,9 @@ def pending_orders(orders: DataFrame, payments: DataFrame, inventory: DataFrame,
 
     The watermark is a scalar subquery (one value), not a collect or a cross join.
     """
-    stateless = orders.join(correlated.select("order_id"), "order_id", "left_anti")
+    # distinct first: combined map-side, so an order with many state rows crosses the shuffle
+    # once per task, not once per row
+    stateless = orders.join(correlated.select("order_id").distinct(), "order_id", "left_anti")
     matched = (corr.order_payments(orders, payments, within)
                .filter(F.col("payment_status") == C.PAYMENT_AUTHORIZED)
                .groupBy("order_id").agg(F.max("payment_time").alias("last_payment_time")))
