@@ -50,9 +50,21 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 
 def dedup(events: DataFrame, keys: Sequence[str] = ("event_id",), ts: str = "event_timestamp",
-          lateness: str = C.WATERMARK_DELAY, order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
-    """Drop technical duplicates by ``keys``; streaming frames use the watermark."""
+          lateness: str = C.WATERMARK_DELAY, order: Sequence[str] = DEFAULT_ORDER,
+          spread: int | None = None) -> DataFrame:
+    """Drop technical duplicates by ``keys``; streaming frames use the watermark.
+
+    ``spread`` (streams only): a first ``dropDuplicatesWithinWatermark`` on ``keys`` + a salt
+    taken from the source partition (``spark_partition_id() % spread``; a replayed micro-batch
+    reads the same splits, so the salt is deterministic) spreads the copies of a hot key over
+    up to ``spread`` state partitions; the second, on ``keys`` alone, then sees at most
+    ``spread`` copies of any key within the watermark.  Still exactly one row per key.
+    """
     if events.isStreaming:
-        return (events.withWatermark(ts, lateness)
-                .dropDuplicatesWithinWatermark(list(keys)))
+        w = events.withWatermark(ts, lateness)
+        if spread and spread > 1:
+            w = (w.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(spread)))
+                 .dropDuplicatesWithinWatermark(list(keys) + ["_salt"])
+                 .drop("_salt"))
+        return w.dropDuplicatesWithinWatermark(list(keys))
     return keep_first(events, keys, order)

@@ -63,19 +63,22 @@ def run_validation(topic_rows: DataFrame, valid_path: str, dlq_path: str, checkp
 
 
 # ----------------------------------------------------------------------------- stage 2
-def dedup_stream(records: DataFrame, lateness: str = C.WATERMARK_DELAY) -> DataFrame:
-    """Forwarded ``(key, value)`` -> event id / time by JSON path -> watermarked dedup."""
+def dedup_stream(records: DataFrame, lateness: str = C.WATERMARK_DELAY,
+                 spread: int | None = None) -> DataFrame:
+    """Forwarded ``(key, value)`` -> event id / time by JSON path -> watermarked dedup
+    (``spread`` > 1: two-level dedup that splits the copies of a hot event id)."""
     keyed = dd.with_event_time(dd.extract_event_keys(records.select(
         F.col("key").alias("kafka_key"), F.col("value").alias("raw_json")), "raw_json"))
-    return dd.dedup(keyed, lateness=lateness).select(
+    return dd.dedup(keyed, lateness=lateness, spread=spread).select(
         F.col("kafka_key").alias("key"), F.col("raw_json").alias("value"), "event_id",
         "event_timestamp")
 
 
 def run_dedup(records: DataFrame, unique_path: str, checkpoint: str,
-              lateness: str = C.WATERMARK_DELAY, trigger: dict | None = None) -> StreamingQuery:
+              lateness: str = C.WATERMARK_DELAY, trigger: dict | None = None,
+              spread: int | None = None) -> StreamingQuery:
     """Job 2: drop technical duplicates by event_id under the watermark."""
-    return _start(dedup_stream(records, lateness), checkpoint,
+    return _start(dedup_stream(records, lateness, spread), checkpoint,
                   sinks.forward_batch(unique_path), trigger=trigger)
 
 
@@ -150,11 +153,14 @@ class PipelinePaths:
 
 
 def run_pipeline(spark: SparkSession, topic_rows: DataFrame, root: str | None = None,
-                 max_files_per_trigger: int | None = None) -> PipelinePaths:
+                 max_files_per_trigger: int | None = None,
+                 dedup_spread: int | None = 8) -> PipelinePaths:
     """Run the four stages in order, each draining its input (``availableNow``).
 
     ``root`` defaults to a fresh folder under the session's shared checkpoint folder; re-running
     with the same ``root`` resumes from the checkpoints (no new input -> no new output).
+    ``dedup_spread`` splits the copies of a hot event id over that many state partitions
+    before the final dedup (None: single-level dedup).
     """
     pin_utc(spark)
     paths = PipelinePaths(root or scratch_path(spark, "pipeline"))
@@ -162,7 +168,7 @@ def run_pipeline(spark: SparkSession, topic_rows: DataFrame, root: str | None =
                               paths.checkpoint("validation"), paths.counts))
     run_to_end(run_dedup(tp.key_value_files(spark, paths.valid,
                                             max_files_per_trigger=max_files_per_trigger),
-                         paths.unique, paths.checkpoint("deduplication")))
+                         paths.unique, paths.checkpoint("deduplication"), spread=dedup_spread))
     run_to_end(run_business(tp.key_value_files(spark, paths.unique,
                                                max_files_per_trigger=max_files_per_trigger),
                             paths.states, paths.checkpoint("business")))

@@ -247,3 +247,20 @@ def test_table_topics(spark):
         .createOrReplaceTempView("topic_rows_fixture")
     assert tp.table_topics(spark, "topic_rows_fixture").columns == \
         ["kafka_key", "topic", "partition", "offset", "raw_json"]
+
+
+def test_two_level_dedup_of_a_hot_id(spark, tmp_root):
+    """Many copies of one id spread over several input files in one micro-batch, plus a copy
+    in a later batch: exactly one row out, as with the single-level dedup."""
+    src, out = f"{tmp_root}/src", f"{tmp_root}/unique"
+    t = datetime(2026, 10, 9, 1, 0, 0)
+    for i in range(4):
+        _kv_file(spark, src, f"a{i}", [_event("HOT", t)] * 50 + [_event(f"N{i}", t)])
+    q = jobs.run_to_end(jobs.run_dedup(tp.key_value_files(spark, src), out, f"{tmp_root}/ck",
+                                       spread=4))
+    _kv_file(spark, src, "late_copy", [_event("HOT", t), _event("N9", t)])
+    jobs.run_to_end(jobs.run_dedup(tp.key_value_files(spark, src), out, f"{tmp_root}/ck", spread=4))
+    ids = sorted(r.key for r in tp.key_value_files(spark, out, streaming=False)
+                 .select(F.get_json_object("value", "$.event_id").alias("key")).collect())
+    assert ids == ["HOT", "N0", "N1", "N2", "N3", "N9"]
+    assert len(q.lastProgress["stateOperators"]) == 2
