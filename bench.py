@@ -57,7 +57,8 @@ def stream_bench(spark, stream_dir: str) -> dict:
             topics.file_topics(spark, source), paths.valid, paths.dead_letters,
             paths.checkpoint("validation"))),
         ("dedup", paths.valid, lambda: jobs.run_dedup(topics.key_value_files(spark, paths.valid),
-                                                      paths.unique, paths.checkpoint("dedup"))),
+                                                      paths.unique, paths.checkpoint("dedup"),
+                                                      spread=8)),
         ("business", paths.unique, lambda: jobs.run_business(
             topics.key_value_files(spark, paths.unique), paths.states,
             paths.checkpoint("business"))),
