@@ -108,23 +108,24 @@ def reconcile(classified: DataFrame, unique: DataFrame, states: DataFrame) -> Da
 
 
 def pending_orders(orders: DataFrame, payments: DataFrame, inventory: DataFrame,
-                   correlated: DataFrame, events: DataFrame,
-                   within: str = C.CORRELATION_WINDOW,
+                   events: DataFrame, within: str = C.CORRELATION_WINDOW,
                    lateness: str = C.WATERMARK_DELAY) -> DataFrame:
     """Orders without any state: awaiting a payment or an inventory result, and whether the
     wait is over (EXPIRED: the matching window closed before the watermark, i.e. the latest
     event time minus the allowed lateness) or not (PENDING).
 
-    The watermark is a scalar subquery (one value), not a collect or a cross join.
+    One pass of the correlation joins (``payment_outcomes``), one aggregate per order, one
+    left join back to the orders; the watermark is a scalar subquery (one value), not a
+    collect or a cross join.
     """
-    # distinct first: combined map-side, so an order with many state rows crosses the shuffle
-    # once per task, not once per row
-    stateless = orders.join(correlated.select("order_id").distinct(), "order_id", "left_anti")
-    matched = (corr.order_payments(orders, payments, within)
-               .filter(F.col("payment_status") == C.PAYMENT_AUTHORIZED)
-               .groupBy("order_id").agg(F.max("payment_time").alias("last_payment_time")))
+    outcomes = (corr.payment_outcomes(orders, payments, inventory, within)
+                .groupBy("order_id")
+                .agg(F.max(F.col("has_state").cast("int")).alias("_has_state"),
+                     F.max(F.when(F.col("payment_status") == C.PAYMENT_AUTHORIZED,
+                                  F.col("payment_time"))).alias("last_payment_time")))
     watermark = events.agg(F.max("event_timestamp")).scalar() - interval(lateness)
-    out = stateless.join(matched, "order_id", "left")
+    out = (orders.join(outcomes, "order_id", "left")
+           .filter(F.coalesce(F.col("_has_state"), F.lit(0)) == 0))
     awaiting_inventory = F.col("last_payment_time").isNotNull()
     deadline = F.when(awaiting_inventory, F.col("last_payment_time") + interval(within)) \
         .otherwise(F.col("event_timestamp") + interval(within))

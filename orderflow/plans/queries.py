@@ -269,7 +269,7 @@ def reconcile(spark, sf_dir):
 def pending_orders(spark, sf_dir):
     flow = EventFlow(spark, sf_dir)
     o, p, i = flow.domains
-    return au.pending_orders(o, p, i, flow.correlated(), flow.unique)
+    return au.pending_orders(o, p, i, flow.unique)
 
 
 @query
