@@ -37,7 +37,7 @@ def topic_type_allowed(topic: str = "topic", event_type: str = "event_type",
     return F.expr(topic_type_sql(topic, event_type, allowed))
 
 
-# Priority-ordered rules (first match wins).
+# --- Fixed values: the validation rules, in priority order (first match wins) --------
 RULES: list[Rule] = [
     (C.INVALID_JSON, "corrupt_record IS NOT NULL"),
     (C.MISSING_REQUIRED_FIELD,
