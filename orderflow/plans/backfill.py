@@ -65,9 +65,25 @@ def run_backfill(spark: SparkSession, topic_rows: DataFrame, root: str | None =
     (history.withColumn("order_bucket", order_bucket("order_id", buckets))
      .hint("rebalance", "order_bucket")
      .write.mode("overwrite").partitionBy("order_bucket").parquet(t.path("history")))
+    write_report(spark, t)
     return t
 
 
+def write_report(spark: SparkSession, t: BackfillTables) -> None:
+    """Row counts per stage as ``(stage, row_count)`` rows, computed from the written tables
+    (no stage is recomputed)."""
+    validated = read_table(spark, t, "validated")
+    rows = validated.select(F.expr(
+        "stack(3, 'topic_rows', 1L, 'valid_events', "
+        f"CASE WHEN validation_status = '{C.VALID}' THEN 1L ELSE 0L END, 'invalid_events', "
+        f"CASE WHEN validation_status = '{C.INVALID}' THEN 1L ELSE 0L END) AS (stage, n)"))
+    for name in ("unique", "states", "history"):
+        rows = rows.unionByName(read_table(spark, t, name)
+                                .select(F.lit(f"{name}_rows").alias("stage"), F.lit(1).cast("long").alias("n")))
+    (rows.groupBy("stage").agg(F.sum("n").alias("row_count"))
+     .write.mode("overwrite").parquet(t.path("report")))
+
+
 def read_table(spark: SparkSession, tables: BackfillTables, name: str) -> DataFrame:
     return spark.read.parquet(tables.path(name))
 

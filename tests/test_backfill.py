@@ -19,5 +19,8 @@ def test_backfill_history_and_lookup(spark, tmp_root):
     assert {r.order_id for r in found.collect()} == {some}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_bucket" in plan and "PushedFilters" in plan
+    report = {r.stage: r.row_count for r in backfill.read_table(spark, tables, "report").collect()}
+    assert report["history_rows"] == want.count()
+    assert report["topic_rows"] == report["valid_events"] + report["invalid_events"]
     dl = backfill.read_table(spark, tables, "validated").filter("validation_status = 'INVALID'")
     assert dl.count() == flow.classified.filter("validation_status = 'INVALID'").count()
