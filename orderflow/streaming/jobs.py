@@ -120,6 +120,7 @@ class PipelinePaths:
 
     def __post_init__(self):
         self.root = self.root.rstrip("/")
+        self.observed: dict = {}
 
     def log(self, name: str) -> str:
         return f"{self.root}/logs/{name}"
@@ -164,14 +165,16 @@ def run_pipeline(spark: SparkSession, topic_rows: DataFrame, root: str | None =
     """
     pin_utc(spark)
     paths = PipelinePaths(root or scratch_path(spark, "pipeline"))
-    run_to_end(run_validation(topic_rows, paths.valid, paths.dead_letters,
-                              paths.checkpoint("validation"), paths.counts))
+    q = run_to_end(run_validation(topic_rows, paths.valid, paths.dead_letters,
+                                  paths.checkpoint("validation"), paths.counts))
+    paths.observed["validation"] = observed_total(q, "validation")
     run_to_end(run_dedup(tp.key_value_files(spark, paths.valid,
                                             max_files_per_trigger=max_files_per_trigger),
                          paths.unique, paths.checkpoint("deduplication"), spread=dedup_spread))
-    run_to_end(run_business(tp.key_value_files(spark, paths.unique,
-                                               max_files_per_trigger=max_files_per_trigger),
-                            paths.states, paths.checkpoint("business")))
+    q = run_to_end(run_business(tp.key_value_files(spark, paths.unique,
+                                                   max_files_per_trigger=max_files_per_trigger),
+                                paths.states, paths.checkpoint("business")))
+    paths.observed["states"] = observed_total(q, "states")
     run_to_end(run_history(tp.key_value_files(spark, paths.states,
                                               max_files_per_trigger=max_files_per_trigger),
                            paths.history, paths.checkpoint("history")))
@@ -241,6 +244,17 @@ def observe_states(states: DataFrame, name: str = "states") -> DataFrame:
         F.count_if(F.col("order_status") == C.COMPLETED).alias("completed"))
 
 
+def observed_total(query: StreamingQuery, name: str) -> dict:
+    """Observed counters ``name`` summed over the run's recorded micro-batches."""
+    total: dict = {}
+    for progress in query.recentProgress or []:
+        value = (progress.get("observedMetrics") or {}).get(name)
+        if value:
+            for k, v in (value.asDict() if hasattr(value, "asDict") else dict(value)).items():
+                total[k] = total.get(k, 0) + (v or 0)
+    return total
+
+
 def observed(query: StreamingQuery, name: str) -> dict:
     """The latest observed metrics row ``name`` over the recorded progress."""
     for progress in reversed(query.recentProgress or []):

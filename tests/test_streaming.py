@@ -51,6 +51,9 @@ def test_pipeline_equals_batch_and_restart_is_quiet(spark, tmp_root):
 
     dlq = tp.key_value_files(spark, paths.dead_letters, streaming=False)
     assert dlq.count() == flow.classified.filter("validation_status = 'INVALID'").count()
+    assert paths.observed["validation"]["total"] == flow.topic_rows.count()
+    assert paths.observed["validation"]["invalid"] == dlq.count()
+    assert paths.observed["states"]["unknown"] == 0
     codes = {json.loads(r.value)["error_reason"] for r in dlq.collect()}
     assert "INVALID_JSON" in codes and "INVALID_KAFKA_KEY" in codes
 
