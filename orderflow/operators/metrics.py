@@ -87,12 +87,17 @@ def metric_rows(orders: DataFrame, payments: DataFrame, states_with_time: DataFr
     the window of the order time).  ``states_with_time`` needs ``order_status`` and a
     timestamp column ``order_ts``.
     """
-    per_minute = window_counts(orders, ts, C.MINUTE_WINDOW, (), None, "v").select(
+    minute_counts = window_counts(orders, ts, C.MINUTE_WINDOW, (), None, "v")
+    per_minute = minute_counts.select(
         F.lit("orders_per_minute").alias("metric_name"), "window_start", "window_end",
         F.col("v").cast("double").alias("metric_value"))
-    volume = window_counts(orders, ts, C.VOLUME_WINDOW, (), None, "v").select(
-        F.lit("order_volume_5m").alias("metric_name"), "window_start", "window_end",
-        F.col("v").cast("double").alias("metric_value"))
+    # roll the 5-minute volume up from the per-minute counts (epoch-aligned minutes nest in
+    # 5-minute windows): one pass over the orders instead of two
+    w5 = F.window(F.col("window_start"), C.VOLUME_WINDOW)
+    volume = (minute_counts.groupBy(w5.alias("w")).agg(F.sum("v").alias("v"))
+              .select(F.lit("order_volume_5m").alias("metric_name"),
+                      F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      F.col("v").cast("double").alias("metric_value")))
     failure = payment_failure_rate(payments, ts, C.RATE_WINDOW, None).select(
         F.lit("payment_failure_rate_5m").alias("metric_name"), "window_start", "window_end",
         F.col("failure_rate_pct").alias("metric_value"))
