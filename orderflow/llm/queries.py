@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.llm import mixing, token_counts, token_files
+from orderflow.llm import decontamination, mixing, token_counts, token_files, toxicity
 from orderflow.llm.base import table
 from orderflow.session import scratch_path
 
@@ -21,6 +21,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op1(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op3(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a cache of its own for each call, so every distinct text is encoded, stored and joined back
     return token_counts.op4(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"),
@@ -32,8 +36,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                            scratch_path(spark, "token-files"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.op8(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op4_token_counts, op7_token_files]
+    found = [op1_mixing, op3_toxicity, op4_token_counts, op7_token_files, op8_decontamination]
     return {f.__name__: f for f in found}
 
 
