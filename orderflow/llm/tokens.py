@@ -13,8 +13,8 @@ from itertools import chain, repeat
 
 import numpy as np
 
-#: Chunks kept per worker; the memory is emptied when it is full (about 250 bytes a chunk).
-KEPT_CHUNKS = 1_000_000
+#: Chunks kept per worker; the memory is emptied when it is full (about 300 bytes a chunk).
+KEPT_CHUNKS = 700_000
 #: Pieces kept between batches, likewise.
 KEPT_PIECES = 150_000
 #: Texts are encoded together up to this many characters.
