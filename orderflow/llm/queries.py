@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.llm import decontamination, mixing, token_counts, token_files, toxicity
+from orderflow.llm import decontamination, mixing, near_copies, token_counts, token_files, toxicity
 from orderflow.llm.base import table
 from orderflow.session import scratch_path
 
@@ -31,6 +31,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                             scratch_path(spark, "token-cache"))
 
 
+def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.op6(table(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op7(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
                            scratch_path(spark, "token-files"))
@@ -41,7 +45,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op3_toxicity, op4_token_counts, op7_token_files, op8_decontamination]
+    found = [op1_mixing, op3_toxicity, op4_token_counts, op6_near_copies, op7_token_files, op8_decontamination]
     return {f.__name__: f for f in found}
 
 
