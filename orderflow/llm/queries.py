@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.llm import decontamination, mixing, near_copies, token_counts, token_files, toxicity
+from orderflow.llm import decontamination, lm, mixing, near_copies, token_counts, token_files, toxicity
 from orderflow.llm.base import table
 from orderflow.session import scratch_path
 
@@ -44,8 +44,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.op8(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op3_toxicity, op4_token_counts, op6_near_copies, op7_token_files, op8_decontamination]
+    found = [op1_mixing, op3_toxicity, op4_token_counts, op6_near_copies, op7_token_files, op8_decontamination,
+             op10_log_bilinear]
     return {f.__name__: f for f in found}
 
 
