@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.llm import decontamination, lm, mixing, near_copies, token_counts, token_files, toxicity
+from orderflow.llm import (decontamination, embedding_dedup, lm, mixing, near_copies, token_counts, token_files,
+                           toxicity)
 from orderflow.llm.base import table
 from orderflow.session import scratch_path
 
@@ -31,6 +32,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                             scratch_path(spark, "token-cache"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.op5(table(spark, sf_dir, "embeddings"))
+
+
 def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.op6(table(spark, sf_dir, "documents"))
 
@@ -49,8 +54,8 @@ def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op3_toxicity, op4_token_counts, op6_near_copies, op7_token_files, op8_decontamination,
-             op10_log_bilinear]
+    found = [op1_mixing, op3_toxicity, op4_token_counts, op5_embedding_dedup, op6_near_copies,
+             op7_token_files, op8_decontamination, op10_log_bilinear]
     return {f.__name__: f for f in found}
 
 
