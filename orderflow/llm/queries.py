@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.llm import (decontamination, embedding_dedup, lm, mixing, near_copies, token_counts, token_files,
-                           toxicity)
+from orderflow.llm import (decontamination, embedding_dedup, html_text, lm, mixing, near_copies, pii,
+                           token_counts, token_files, toxicity)
 from orderflow.llm.base import table
 from orderflow.session import scratch_path
 
@@ -22,6 +22,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op1(table(spark, sf_dir, "documents"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.op2(table(spark, sf_dir, "pages"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op3(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,13 +53,17 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.op8(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op9(table(spark, sf_dir, "documents"))
+
+
 def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op3_toxicity, op4_token_counts, op5_embedding_dedup, op6_near_copies,
-             op7_token_files, op8_decontamination, op10_log_bilinear]
+    found = [op1_mixing, op2_html_text, op3_toxicity, op4_token_counts, op5_embedding_dedup, op6_near_copies,
+             op7_token_files, op8_decontamination, op9_pii, op10_log_bilinear]
     return {f.__name__: f for f in found}
 
 
