@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.base import written
@@ -330,9 +330,10 @@ def masked(docs: DataFrame, model: SemiMarkov) -> DataFrame:
 
 def op9(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base), base_sha256, spans, n_added of every document row."""
-    counts = [F.size(F.filter("base_spans", lambda s, k=k: s.startswith(f"{k}:"))).cast("long").alias(f"n_{k}")
-              for k in KINDS]
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base_spans", lambda s: s.startswith(f"{kind}:"))).cast("long").alias(f"n_{kind}")
+
     return find_spans(docs, fit(docs), ["doc_id"]).select(
-        "doc_id", *counts, F.sha2(F.array_join("base_spans", ","), 256).alias("base_sha256"),
+        "doc_id", *map(count, KINDS), F.sha2(F.array_join("base_spans", ","), 256).alias("base_sha256"),
         F.array_join("spans", ",").alias("spans"),
         (F.size("spans") - F.size("base_spans")).cast("long").alias("n_added"))
