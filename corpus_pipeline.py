@@ -8,12 +8,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.llm import mixing, token_files
+from orderflow.llm import decontamination, mixing, near_copies, token_files, toxicity
 from orderflow.llm.base import table, written
 from orderflow.llm.queries import vocabulary
 from orderflow.session import scratch_path
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model does not take for toxic."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_copies.without_copies(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mixed_documents(docs)
@@ -24,7 +39,8 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return token_files.op7(docs, vocabulary("byte_bpe_50k.json"), scratch_path(spark, "pipeline-tokens"))
 
 
-STAGES = [("mixing", mix_sources), ("tokens", token_output)]
+STAGES = [("toxicity", drop_toxic), ("near_copies", drop_near_copies), ("decontamination", drop_benchmark),
+          ("mixing", mix_sources), ("tokens", token_output)]
 
 #: No SQL for the pipeline: fitted models, sketches and token files are beyond it.
 ORACLE_SQL = None
