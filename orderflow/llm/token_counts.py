@@ -92,8 +92,9 @@ def token_counts(docs: DataFrame, path: str, cache: str) -> DataFrame:
     fresh = (missing.mapInArrow(encoded_counts(path), "digest binary, n_tokens long")
              .dropDuplicates(["digest"]))  # a row repeated under one id was encoded twice
     fresh.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
-    counts = (spark.read.schema(CACHE_SCHEMA).parquet(cache).filter(F.col("tokenizer") == version)
-              .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
+    # written, so that the join's shuffle of a digest with many rows can be split
+    counts = written(spark.read.schema(CACHE_SCHEMA).parquet(cache).filter(F.col("tokenizer") == version)
+                     .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "token-found")
     return rows.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
 
 
