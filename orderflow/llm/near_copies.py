@@ -10,8 +10,9 @@ which is the plain Jaccard similarity where no shingle repeats.
 Equal word sequences form one class first.  Classes that share a band of registers are candidates:
 in every bucket each class is verified exactly against the bucket's first and last class.  Where a
 bucket still spans several components, every class outside its largest component is compared with
-all the bucket's classes by signature, and those that may reach the threshold are verified exactly
-too; so no pair of one bucket goes untested, yet pairs that are already connected are never listed.
+all the bucket's classes by signature, and pairs that may reach the threshold are verified exactly,
+group by group; only links that join components leave a group.  So no pair of one bucket goes
+untested, and none is listed.
 
 Defined cases: a null or wordless text is no copy of anything; a text shorter than a shingle is a
 copy of texts with the same words; texts of any length are used whole; repeated rows are copies;
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.base import shuffle_width, text_key, written
@@ -228,49 +229,129 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             .select("leader", "part", "node", "text").mapInArrow(compared, "a binary, b binary"))
 
 
+def _agreeing(asked: np.ndarray, row: np.ndarray, band: int) -> np.ndarray:
+    """Which asked signatures may reach the threshold with ``row`` and share no band before ``band``."""
+    same = asked == row
+    near = np.flatnonzero(same.sum(axis=1) >= LEAST_ESTIMATE * REGISTERS)
+    first = same[near].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+    return near[first >= band]
+
+
+class _Group:
+    """The rows of one (key, block, chunk): those asked for, and the components joined so far."""
+
+    def __init__(self) -> None:
+        self.asked: list[tuple] = []
+        self.rows: np.ndarray | None = None
+        self.parent: dict[bytes, bytes] = {}
+
+    def root(self, component: bytes) -> bytes:
+        while component in self.parent:
+            component = self.parent[component]
+        return component
+
+    def partners(self, band: int, node: bytes, component: bytes, packed: bytes) -> list[tuple]:
+        """The asked rows that ``node`` should be compared with."""
+        if self.rows is None:
+            self.rows = np.array([np.frombuffer(p, np.uint16) for _, _, p, *_ in self.asked]).reshape(-1, REGISTERS)
+        found = _agreeing(self.rows, np.frombuffer(packed, np.uint16), band)
+        return [self.asked[i] for i in found.tolist() if self.root(self.asked[i][1]) != self.root(component)]
+
+
+CLOSE = "key long, band int, block int, chunk int, ask boolean, node binary"
+
+
 def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, block), those asked for first -> pairs that may reach the threshold."""
-    least = int(np.ceil(LEAST_ESTIMATE * REGISTERS))
-    group, asked, seen = None, [], None
+    """Rows sorted by (key, block, chunk), those asked for first -> the rows that have a partner to compare."""
+    place, group = None, _Group()
+    for batch in batches:
+        out = []
+        for key, band, block, chunk, ask, node, component, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            if place != (key, block, chunk):
+                place, group, told = (key, block, chunk), _Group(), set()
+            if ask:
+                group.asked.append((node, component, packed))
+                continue
+            found = group.partners(band, node, component, packed)
+            if found:
+                out.append((key, band, block, chunk, False, node))
+                out += [(key, band, block, chunk, True, n) for n, *_ in found if n not in told]
+                told.update(n for n, *_ in found)
+        columns = list(zip(*out)) or [[]] * 6
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)],
+                                         names=["key", "band", "block", "chunk", "ask", "node"])
+
+
+def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``alike`` with their texts, sorted likewise -> verified links between components.
+
+    A link is handed on only if it joins components that the group has not joined yet, so a group
+    gives fewer links than it has rows.
+    """
+    place, group = None, _Group()
     for batch in batches:
         a, b = [], []
-        for key, block, ask, node, component, packed in zip(*(c.to_pylist() for c in batch.columns)):
-            if group != (key, block):
-                group, asked, seen = (key, block), [], None
-            row = np.frombuffer(packed, np.uint16)
+        for key, band, block, chunk, ask, node, component, packed, text in zip(
+                *(c.to_pylist() for c in batch.columns[:-1]), byte_texts(batch)):
+            if place != (key, block, chunk):
+                place, group = (key, block, chunk), _Group()
             if ask:
-                asked.append((node, component, row))
+                group.asked.append((node, component, packed, _shingled(text)))
                 continue
-            if seen is None:
-                seen = np.array([r for _, _, r in asked]).reshape(-1, REGISTERS)
-            for i in np.flatnonzero((seen == row).sum(axis=1) >= least).tolist() if len(seen) else ():
-                if asked[i][1] != component:
-                    a.append(min(node, asked[i][0]))
-                    b.append(max(node, asked[i][0]))
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())],
-                                         names=["leader", "node"])
-
-
-def open_pairs(members: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (leader, node) of one bucket that are in different components and alike by signature."""
+            own = None
+            for other, its, _, weights in group.partners(band, node, component, packed):
+                if group.root(its) == group.root(component):
+                    continue
+                own = own or _shingled(text)
+                if probability_jaccard(own, weights) >= SIMILARITY:
+                    group.parent[group.root(its)] = group.root(component)
+                    a.append(other)
+                    b.append(node)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+
+def open_links(members: DataFrame, links: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified links (a, b) between the components that still share a bucket.
+
+    Every class outside a bucket's largest component is asked for against all the bucket's classes,
+    in groups of at most about ``GROUP`` by ``GROUP``; a pair is compared in its first common bucket
+    only.  First by signature, which leaves the rows that may have a link; their texts follow.
+    """
     width = shuffle_width(members.sparkSession)
     found = components(links, "copy-groups")
     placed = written(members.join(found, "node", "left")
                      .withColumn("component", F.coalesce("component", F.col("node"))), "copy-members")
     sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     buckets = (sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
-                                        F.count(F.lit(1)).alias("components"), F.sum("n").alias("n"))
+                                        F.count(F.lit(1)).alias("components"), F.max("n").alias("most"),
+                                        F.sum("n").alias("n"))
                .filter("components > 1")
-               .select("key", "largest", F.ceil(F.col("n") / GROUP).cast("int").alias("blocks")))
+               .select("key", "largest", F.ceil(F.col("n") / GROUP).cast("int").alias("blocks"),
+                       F.ceil((F.col("n") - F.col("most")) / GROUP).cast("int").alias("chunks")))
     rows = placed.join(buckets, "key").join(classes.select("node", "signature"), "node")
-    asked = rows.filter("component != largest").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("ask", F.lit(True))
-    others = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
-        "ask", F.lit(False))
-    columns = ["key", "block", "ask", "node", "component", "signature"]
-    return (asked.select(columns).union(others.select(columns)).repartition(width, "key", "block")
-            .sortWithinPartitions("key", "block", F.desc("ask"))
-            .mapInArrow(alike, "leader binary, node binary").distinct())
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    def one(count: str) -> Column:
+        return F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
+
+    asked = (rows.filter("component != largest").withColumn("chunk", one("chunks"))
+             .withColumn("block", every("blocks")).withColumn("ask", F.lit(True)))
+    others = (rows.withColumn("block", one("blocks")).withColumn("chunk", every("chunks"))
+              .withColumn("ask", F.lit(False)))
+
+    def grouped(frame: DataFrame, columns: list[str]) -> DataFrame:
+        return (frame.repartition(width, "key", "block", "chunk")
+                .sortWithinPartitions("key", "block", "chunk", F.desc("ask")).select(columns))
+
+    first = ["key", "band", "block", "chunk", "ask", "node"]
+    close = written(grouped(asked.unionByName(others), [*first, "component", "signature"]).mapInArrow(alike, CLOSE),
+                    "copy-close")
+    known = placed.select("node", "component").distinct().join(classes.select("node", "signature"), "node")
+    compared_rows = close.join(known, "node").join(texts, "node")
+    return grouped(compared_rows, [*first, "component", "signature", "text"]).mapInArrow(joined, "a binary, b binary")
 
 
 def copy_groups(docs: DataFrame) -> DataFrame:
@@ -281,7 +362,7 @@ def copy_groups(docs: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("home"),
         F.first("bands").alias("bands"), F.first("signature").alias("signature"))
     classes = written(classes, "copy-classes")
-    exploded = classes.select("node", F.explode("bands").alias("key"))
+    exploded = classes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = exploded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi")
     members = written(exploded.join(buckets, "key"), "copy-buckets")
     pairs = written(
@@ -296,8 +377,7 @@ def copy_groups(docs: DataFrame) -> DataFrame:
               & (F.col("text_key") == F.col("_key")))
         .select("node", "text").dropDuplicates(["node"]), "copy-texts")
     links = written(verified(pairs, texts), "copy-links")
-    rest = written(open_pairs(members.select("key", "node"), links, classes), "copy-open")
-    more = verified(rest.join(pairs, ["leader", "node"], "left_anti"), texts)
+    more = written(open_links(members.select("key", "band", "node"), links, classes, texts), "copy-more")
     found = components(links.union(more), "copy-components")
     rows = sketch.groupBy("doc_id", "text_key", "node").agg(F.count(F.lit(1)).alias("rows"))
     return written(rows.join(found, "node", "left")
