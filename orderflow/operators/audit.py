@@ -38,9 +38,9 @@ def audit_event_log(classified: DataFrame) -> DataFrame:
     unsupported schema version, event time text not in UTC ``Z`` form, surplus copies of an
     event id, and orders seen with more than one customer.
 
-    One scan: a single GROUPING SETS aggregate over ``()``, ``(event_id)`` and
-    ``(order_id, customer_id)`` (partial aggregation per grouping set before its one shuffle);
-    the three reports are small follow-up aggregates over that one grouped result.
+    One scan and one shuffle of the whole log: a GROUPING SETS aggregate over ``(event_id)`` and
+    ``(order_id)`` (partial aggregation per grouping set before the shuffle), then one conditional
+    aggregate over its groups that gives all counts at once.
     """
     parsed = F.col("corrupt_record").isNull() & F.col("raw_json").isNotNull()
     envelope_missing = (F.col("event_id").isNull() | F.col("event_type").isNull()
@@ -59,22 +59,20 @@ def audit_event_log(classified: DataFrame) -> DataFrame:
     }
     rows = classified.select("event_id", "order_id", "customer_id",
                              *[F.coalesce(c, F.lit(False)).cast("long").alias(n) for n, c in flags.items()])
-    grouped = (rows.groupingSets([[], ["event_id"], ["order_id", "customer_id"]],
-                                 "event_id", "order_id", "customer_id")
+    grouped = (rows.groupingSets([["event_id"], ["order_id"]], "event_id", "order_id")
                .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n"),
+                    F.min("customer_id").alias("least"), F.max("customer_id").alias("most"),
                     *[F.sum(n).alias(n) for n in flags]))
-    # grouping_id bits follow (event_id, order_id, customer_id); a set bit = not grouped
-    total = grouped.filter(F.col("gid") == 7).select(*[F.col(n).cast("long").alias(n) for n in flags])
-    dup = (grouped.filter((F.col("gid") == 3) & F.col("event_id").isNotNull())
-           .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("surplus_event_copies")))
-    cust = (grouped.filter((F.col("gid") == 4) & F.col("order_id").isNotNull()
-                           & F.col("customer_id").isNotNull())
-            .groupBy("order_id").agg(F.count(F.lit(1)).alias("c"))
-            .agg(F.count_if(F.col("c") > 1).alias("orders_with_many_customers")))
-    return (_long_form(total, list(flags), "check_name", "violations")
-            .unionByName(_long_form(dup, ["surplus_event_copies"], "check_name", "violations"))
-            .unionByName(_long_form(cust, ["orders_with_many_customers"], "check_name",
-                                    "violations")))
+    # grouping_id bits follow (event_id, order_id); a set bit = not grouped by it
+    by_event, by_order = F.col("gid") == 1, F.col("gid") == 2
+    surplus = F.sum(F.when(by_event & F.col("event_id").isNotNull(), F.col("n") - 1))
+    report = grouped.agg(
+        *[F.coalesce(F.sum(F.when(by_event, F.col(n))), F.lit(0)).cast("long").alias(n) for n in flags],
+        F.coalesce(surplus, F.lit(0)).cast("long").alias("surplus_event_copies"),
+        F.count_if(by_order & F.col("order_id").isNotNull() & (F.col("least") != F.col("most")))
+        .alias("orders_with_many_customers"))
+    return _long_form(report, [*flags, "surplus_event_copies", "orders_with_many_customers"],
+                      "check_name", "violations")
 
 
 def reconcile(classified: DataFrame, unique: DataFrame, states: DataFrame) -> DataFrame:

@@ -68,3 +68,12 @@ def dedup(events: DataFrame, keys: Sequence[str] = ("event_id",), ts: str = "eve
                  .drop("_salt"))
         return w.dropDuplicatesWithinWatermark(list(keys))
     return keep_first(events, keys, order)
+
+
+# A business fact: an order has one event of a type per payment, and per SKU for inventory.
+BUSINESS_KEY = ("order_id", "event_type", "payment_id", "sku")
+
+
+def with_business_key(events: DataFrame) -> DataFrame:
+    """Events + the payload's ``payment_id`` and ``sku`` (NULL where a type has none)."""
+    return events.withColumns({"payment_id": F.col("payload.payment_id"), "sku": F.col("payload.sku")})

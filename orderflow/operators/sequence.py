@@ -1,89 +1,36 @@
 """Position of each row inside its key, in a given order -- without one task per key.
 
-``row_number() OVER (PARTITION BY key ORDER BY ...)`` sends every row of a key to one task;
-with a key holding a third of the data that task holds a third of the data.  Here:
-
-1. ``repartitionByRange(n, key, *order)`` samples the composite sort key, so a hot key is
-   split across several range partitions by its order columns; rows are then sorted inside
-   each partition;
-2. a vectorised pass (``mapInPandas``) numbers rows within each (partition, key) run,
-   carrying the run across Arrow batches -- O(1) state per task;
-3. the result is checkpointed to the shared checkpoint folder (a stable, lineage-free input
-   for the steps below; partition ids must not change between them);
-4. only the first and last key of a sorted partition can continue in another partition, so
-   the per-partition boundary table has at most ``2 n`` rows -- a proven bound, which is what
-   lets it be broadcast; a running sum over it gives each (partition, key) its offset;
-5. position = offset + position within the run.
+``row_number() OVER (PARTITION BY key ORDER BY ...)`` sends every row of a key to one task; with a
+key holding a third of the data that task holds a third of the data.  Here the rows are numbered
+inside (key, time bucket), which cuts a hot key by time, and the numbers are moved up by the rows in
+the key's earlier buckets: one row per (key, bucket), summed along the key.  All JVM operators, lazy,
+and nothing is written.  Only rows of one key within one bucket still meet in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
-
-from ..session import checkpoint_root
-
-PID, LOCAL = "_pid", "_local"
 
-
-def _local_positions(key: str):
-    def run(batches):
-        last_pid, last_key, last_pos = None, None, 0
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{LOCAL: pd.Series([], dtype="int64")})
-                continue
-            # new run where (pid, key) changes from the previous row (or previous batch)
-            pid, k = pdf[PID], pdf[key]
-            prev_pid = pid.shift(1)
-            prev_key = k.shift(1)
-            prev_pid.iloc[0] = last_pid if last_pid is not None else -1
-            prev_key.iloc[0] = last_key
-            starts = (pid != prev_pid) | (k != prev_key) | (k.isna() != prev_key.isna())
-            if last_pid is not None and not starts.iloc[0]:
-                base = last_pos
-            else:
-                base = 0
-            run_id = starts.cumsum()
-            pos = pdf.groupby(run_id, sort=False).cumcount() + 1
-            # the first run continues the previous batch's run when it did not start here
-            if base:
-                pos = pos.where(run_id != run_id.iloc[0], pos + base)
-            out = pdf.assign(**{LOCAL: pos.astype("int64")})
-            last_pid, last_key, last_pos = pid.iloc[-1], k.iloc[-1], int(out[LOCAL].iloc[-1])
-            yield out
-    return run
+BUCKET, EARLIER = "_bucket", "_earlier"
 
 
 def sequence_within(df: DataFrame, key: str, order: Sequence[str], name: str = "seq",
-                    partitions: int | None = None) -> DataFrame:
+                    bucket_seconds: int = 3600) -> DataFrame:
     """``df`` + ``name``: 1-based position of each row within its ``key`` by ``order``.
 
-    ``order`` must be a total order inside a key (add a unique column as the last tie-break).
+    ``order`` must be a total order inside a key (add a unique column as the last tie-break) and
+    begin with a timestamp; NULL keys form one key, NULL times come first.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_root(spark)
-    ranged = (df.repartitionByRange(n, F.col(key), *[F.col(c) for c in order])
-              .sortWithinPartitions(key, *order)
-              .withColumn(PID, F.spark_partition_id()))
-    schema = StructType(ranged.schema.fields + [StructField(LOCAL, LongType(), False)])
-    local = ranged.mapInPandas(_local_positions(key), schema).checkpoint(eager=True)
-
-    bounds = local.groupBy(PID).agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
-    edge_keys = (bounds.select(PID, F.col("_first").alias(key))
-                 .union(bounds.select(PID, F.col("_last").alias(key))).distinct())
-    # rows of (partition, key) runs at a partition edge; at most 2 n of them
-    edge_counts = (local.join(F.broadcast(edge_keys), [PID, key], "left_semi")
-                   .groupBy(PID, key).agg(F.max(LOCAL).alias("_run")))
-    w = Window.partitionBy(key).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (edge_counts.withColumn("_offset", F.coalesce(F.sum("_run").over(w), F.lit(0)))
-               .select(PID, key, "_offset"))
-    return (local.join(F.broadcast(offsets), [PID, key], "left")
-            .withColumn(name, F.col(LOCAL) + F.coalesce(F.col("_offset"), F.lit(0)))
-            .drop(PID, LOCAL, "_offset")
-            .select(*df.columns, name))
+    bucketed = df.withColumn(BUCKET, F.floor(F.unix_micros(F.col(order[0])) / F.lit(bucket_seconds * 1_000_000)))
+    counts = bucketed.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("_rows"))
+    along = (Window.partitionBy(key).orderBy(F.col(BUCKET).asc_nulls_first())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    earlier = counts.select(F.col(key).alias("_key"), F.col(BUCKET).alias("_at"),
+                            F.coalesce(F.sum("_rows").over(along), F.lit(0)).alias(EARLIER))
+    inside = Window.partitionBy(key, BUCKET).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return (bucketed.withColumn(name, F.row_number().over(inside))
+            .join(earlier, F.col(key).eqNullSafe(F.col("_key")) & F.col(BUCKET).eqNullSafe(F.col("_at")))
+            .select(*df.columns, (F.col(name) + F.col(EARLIER)).cast("long").alias(name)))

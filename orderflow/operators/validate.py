@@ -68,19 +68,21 @@ def valid_records(classified: DataFrame) -> DataFrame:
                                            F.col("raw_json").alias("value"))
 
 
-def dead_letter_fields(classified: DataFrame, with_time: bool = True) -> DataFrame:
-    """Rejected rows as columns of the dead-letter record."""
+def _dead_letter_columns(with_time: bool) -> list:
+    """Columns of the dead-letter record, in order, from a classified row."""
     cols = [
-        F.col("kafka_key").alias("key"),
         F.col("raw_json").alias("original_message"),
         F.col("validation_error").alias("error_reason"),
         F.col("topic").alias("source_topic"),
         F.col("partition").alias("source_partition"),
         F.col("offset").alias("source_offset"),
     ]
-    if with_time:
-        cols.append(F.current_timestamp().alias("rejected_at"))
-    return invalid_events(classified).select(*cols)
+    return cols + ([F.current_timestamp().alias("rejected_at")] if with_time else [])
+
+
+def dead_letter_fields(classified: DataFrame, with_time: bool = True) -> DataFrame:
+    """Rejected rows as columns of the dead-letter record."""
+    return invalid_events(classified).select(F.col("kafka_key").alias("key"), *_dead_letter_columns(with_time))
 
 
 def dead_letter_records(classified: DataFrame, with_time: bool = True) -> DataFrame:
@@ -88,9 +90,18 @@ def dead_letter_records(classified: DataFrame, with_time: bool = True) -> DataFr
 
     ``to_json`` drops NULL fields, so a NULL original message has no ``original_message`` key.
     """
-    fields = dead_letter_fields(classified, with_time)
-    body = [c for c in fields.columns if c != "key"]
-    return fields.select("key", F.to_json(F.struct(*body)).alias("value"))
+    return invalid_events(classified).select(
+        F.col("kafka_key").alias("key"), F.to_json(F.struct(*_dead_letter_columns(with_time))).alias("value"))
+
+
+def routed_records(classified: DataFrame) -> DataFrame:
+    """Every row as ``(key, value, route)``: a VALID one forwarded as it came, an INVALID one as its
+    dead-letter document.  One narrow projection for both routes."""
+    valid = F.col("validation_status") == C.VALID
+    return classified.select(
+        F.col("kafka_key").alias("key"),
+        F.when(valid, F.col("raw_json")).otherwise(F.to_json(F.struct(*_dead_letter_columns(True)))).alias("value"),
+        F.col("validation_status").alias("route"))
 
 
 def validation_counts(classified: DataFrame) -> DataFrame:

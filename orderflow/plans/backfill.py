@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contract as C
@@ -20,16 +20,8 @@ from ..operators import dedup as dd
 from ..operators import states as st
 from ..operators import validate as va
 from ..session import pin_utc, scratch_path
-
-HISTORY_BUCKETS = 64
-UNIQUE_COLUMNS = ["event_id", "event_timestamp", "topic", "partition", "offset", "kafka_key",
-                  "event_type", "order_id", "customer_id", "payload"]
-
-
-def order_bucket(order_id: Column | str, buckets: int = HISTORY_BUCKETS) -> Column:
-    c = F.col(order_id) if isinstance(order_id, str) else order_id
-    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
-
+from . import history as hi
+from .flow import UNIQUE_COLUMNS
 
 @dataclass
 class BackfillTables:
@@ -40,7 +32,7 @@ class BackfillTables:
 
 
 def run_backfill(spark: SparkSession, topic_rows: DataFrame, root: str | None = None,
-                 buckets: int = HISTORY_BUCKETS) -> BackfillTables:
+                 buckets: int = hi.BUCKETS) -> BackfillTables:
     """validated + dead letters -> unique events -> states -> keyed history, as tables."""
     pin_utc(spark)
     t = BackfillTables(root or scratch_path(spark, "backfill"))
@@ -50,21 +42,18 @@ def run_backfill(spark: SparkSession, topic_rows: DataFrame, root: str | None =
                        "customer_id", "payload", "validation_error", "validation_status")
      .write.mode("overwrite").partitionBy("validation_status").parquet(t.path("validated")))
     validated = spark.read.parquet(t.path("validated"))
+    (va.dead_letter_records(validated.filter(F.col("validation_status") == C.INVALID))
+     .write.mode("overwrite").parquet(t.path("dead_letters")))
     # stage 2: valid rows only (partition pruning on validation_status), dedup
     timed = dd.with_event_time(validated.filter(F.col("validation_status") == C.VALID))
     dd.dedup(timed.select(*UNIQUE_COLUMNS)).write.mode("overwrite").parquet(t.path("unique"))
     unique = spark.read.parquet(t.path("unique"))
     # stage 3: correlate and derive states
     o, p, i = corr.split_domains(unique)
-    states = st.order_status(corr.correlate(o, p, i))
+    states = st.order_status(corr.correlate(o, p, i), with_decision=True)
     states.write.mode("overwrite").parquet(t.path("states"))
-    # stage 4: keyed history, one row per (order_id, state_id), bucketed folders by order_id
-    history = st.upsert_view(st.history_rows(spark.read.parquet(t.path("states"))))
-    # REBALANCE (not REPARTITION): AQE may split a bucket that a hot order makes large and
-    # merge small ones, so one folder's files are written by several tasks when needed
-    (history.withColumn("order_bucket", order_bucket("order_id", buckets))
-     .hint("rebalance", "order_bucket")
-     .write.mode("overwrite").partitionBy("order_bucket").parquet(t.path("history")))
+    # stage 4: keyed history, one row per (order_id, state_id), bucketed by order_id
+    hi.write(st.upsert_view(st.history_rows(spark.read.parquet(t.path("states")))), t.path("history"), buckets)
     write_report(spark, t)
     return t
 
@@ -88,11 +77,6 @@ def read_table(spark: SparkSession, tables: BackfillTables, name: str) -> DataFr
     return spark.read.parquet(tables.path(name))
 
 
-def lookup(spark: SparkSession, tables: BackfillTables, order_id: str,
-           buckets: int = HISTORY_BUCKETS) -> DataFrame:
-    """Point lookup: the bucket of a literal key is constant-folded, so the predicate prunes to
-    one partition folder; the key equality is pushed into the parquet scan."""
-    return (read_table(spark, tables, "history")
-            .filter((F.col("order_bucket") == order_bucket(F.lit(order_id), buckets))
-                    & (F.col("order_id") == order_id))
-            .select("order_id", "order_status", "state_id"))
+def lookup(spark: SparkSession, tables: BackfillTables, order_id: str) -> DataFrame:
+    """Point lookup in the written history (``plans.history``)."""
+    return hi.lookup(spark, tables.path("history"), order_id)

@@ -87,7 +87,7 @@ class EventFlow:
 
     @cached_property
     def history(self) -> DataFrame:
-        return st.history_rows(self.states)
+        return st.history_rows(st.order_status(self.correlated(), with_decision=True))
 
     def expected_states(self) -> DataFrame:
         """The load mix as an expectations table, derived from ``orders`` by the same rule."""

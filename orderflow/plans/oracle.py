@@ -2,8 +2,8 @@
 
 An independent re-statement of each query in plain SQL over the same parquet tables: the event
 log is derived from ``orders`` with string concatenation, validated with DuckDB's JSON
-functions, de-duplicated with ``row_number()`` and correlated with the two-branch inner-join
-shape (failed payments + authorized payments joined to inventory), i.e. not the Spark plan.
+functions, de-duplicated with ``row_number()`` and correlated by two inner joins
+(failed payments + authorized payments joined to inventory), i.e. not the Spark plan.
 """
 
 from __future__ import annotations
@@ -28,11 +28,13 @@ base AS (
 b2 AS (
   SELECT *, (sc >= 15 AND sc < 18) AS failed, (sc >= 18) AS rejected,
          t0 + to_seconds(pay_gap) AS tp, t0 + to_seconds(pay_gap + 1) AS tp2,
-         t0 + to_seconds(pay_gap + inv_gap) AS ti, CAST(k % 3 AS INTEGER) AS part
+         t0 + to_seconds(pay_gap + inv_gap) AS ti, t0 + to_seconds(pay_gap + 60) AS ta,
+         (sc >= 15 AND sc < 18 AND k % 29 = 4) AS recovers, CAST(k % 3 AS INTEGER) AS part
   FROM base
 ),
 ohead AS (
-  SELECT *, '"event_id":"O-' || k || '","event_type":"order_created","event_time":"'
+  SELECT *, '"event_id":"O-' || k || '","event_type":"' || (CASE WHEN r = 14 THEN 'order_updated' ELSE 'order_created' END)
+            || '","event_time":"'
             || (CASE WHEN r = 13 THEN 'not-a-time' ELSE strftime(t0, {TS_FMT}) END)
             || '","schema_version":' || (CASE WHEN r = 4 THEN '2' ELSE '1' END)
             || ',"order_id":"' || oid || '"'
@@ -42,38 +44,43 @@ ohead AS (
 log AS (
   SELECT CASE WHEN r = 3 THEN 'BAD-' || k ELSE oid END AS kafka_key,
          CASE WHEN r = 5 THEN 'payments' ELSE 'orders' END AS topic,
-         part AS "partition", k * 8 + s.slot AS "offset",
+         part AS "partition", k * 16 + s.slot AS "offset",
          CASE WHEN r = 12 THEN NULL
               WHEN r = 1 THEN '{{' || hd || ',"payload":'
               ELSE '{{' || hd || ',"payload":{{"total_amount":'
-                   || (CASE WHEN r = 6 THEN '0.0' ELSE price END) || ',"currency":"MAD"}}}}' END
+                   || (CASE WHEN r = 6 THEN '0.0' WHEN r = 15 THEN '12500000.5' ELSE price END) || ',"currency":"MAD"}}}}' END
            AS raw_json
   FROM ohead, (VALUES (0), (1)) s(slot)
   WHERE s.slot = 0 OR k % 50 = 0
   UNION ALL
-  SELECT oid, 'payments', part, k * 8 + s.slot,
-         '{{"event_id":"' || (CASE WHEN s.slot = 2 THEN 'P-' ELSE 'P2-' END) || k
-         || '","event_type":"' || (CASE WHEN failed THEN 'payment_failed' ELSE 'payment_authorized' END)
-         || '","event_time":"' || strftime(CASE WHEN s.slot = 2 THEN tp ELSE tp2 END, {TS_FMT})
-         || '","schema_version":1,"order_id":"' || oid || '","customer_id":"' || cid
-         || '","payload":{{"payment_id":"' || pid || (CASE WHEN s.slot = 3 THEN '-B' ELSE '' END)
+  SELECT oid, 'payments', part, k * 16 + s.slot,
+         '{{"event_id":"' || s.prefix || k
+         || '","event_type":"' || (CASE WHEN failed AND s.slot <> 6 THEN 'payment_failed' ELSE 'payment_authorized' END)
+         || '","event_time":"' || strftime(CASE s.slot WHEN 2 THEN tp WHEN 6 THEN ta ELSE tp2 END, {TS_FMT})
+         || '","schema_version":1,"order_id":"' || oid || '","customer_id":"'
+         || (CASE WHEN s.slot = 5 AND k % 2 = 1 THEN 'ALT-' ELSE '' END) || cid
+         || '","payload":{{"payment_id":"' || pid || s.suffix
          || '","amount":' || price
          || (CASE WHEN r = 7 THEN '' ELSE ',"currency":"MAD"' END)
-         || (CASE WHEN failed AND r <> 9 THEN ',"reason":"payment_declined"' ELSE '' END)
+         || (CASE WHEN failed AND s.slot <> 6 AND r <> 9 THEN ',"reason":"payment_declined"' ELSE '' END)
          || '}}}}'
-  FROM b2, (VALUES (2), (3)) s(slot)
-  WHERE s.slot = 2 OR k % 103 = 5
+  FROM b2, (VALUES (2, 'P-', ''), (3, 'P2-', '-B'), (5, 'PR-', ''), (6, 'PA-', '-C')) s(slot, prefix, suffix)
+  WHERE s.slot = 2 OR (s.slot = 3 AND k % 103 = 5) OR (s.slot = 5 AND k % 107 = 3) OR (s.slot = 6 AND recovers)
   UNION ALL
-  SELECT oid, 'inventory-events', part, k * 8 + 4,
-         '{{"event_id":"I-' || k || '","event_type":"'
+  SELECT oid, 'inventory-events', part, k * 16 + s.slot,
+         '{{"event_id":"' || s.prefix || k || '","event_type":"'
          || (CASE WHEN rejected THEN 'inventory_rejected' ELSE 'inventory_reserved' END)
-         || '","event_time":"' || strftime(ti, {TS_FMT})
+         || '","event_time":"' || strftime(CASE s.slot WHEN 4 THEN ti WHEN 7 THEN ta + to_seconds(2)
+                                           ELSE ti + to_seconds(1) END, {TS_FMT})
          || '","schema_version":1,"order_id":"' || oid || '","customer_id":"' || cid
-         || '","payload":{{"sku":"SKU-' || lpad(CAST(k % 100 AS VARCHAR), 3, '0') || '","quantity":'
+         || '","payload":{{"sku":"SKU-'
+         || lpad(CAST((CASE WHEN s.slot = 8 THEN k + 1 ELSE k END) % 100 AS VARCHAR), 3, '0') || '","quantity":'
          || (CASE WHEN r = 8 THEN '0' WHEN r = 11 THEN '"1"' ELSE '1' END)
          || (CASE WHEN rejected AND r <> 10 THEN ',"reason":"insufficient_stock"' ELSE '' END)
          || '}}}}'
-  FROM b2 WHERE NOT failed AND k % 101 <> 7
+  FROM b2, (VALUES (4, 'I-'), (7, 'IA-'), (8, 'I2-')) s(slot, prefix)
+  WHERE (s.slot = 7 AND recovers)
+     OR (NOT failed AND k % 101 <> 7 AND (s.slot = 4 OR (s.slot = 8 AND k % 113 = 6)))
 )"""
 
 # Permissive parse: malformed text -> all fields NULL; a wrong-typed field -> corrupt,
@@ -191,6 +198,7 @@ correlated AS (
 ),
 states AS (
   SELECT order_id, customer_id, order_amount, order_time, payment_status, inventory_status,
+         coalesce(inventory_time, payment_time) AS decided_at,
          CASE WHEN payment_status = 'payment_failed' THEN 'PAYMENT_FAILED'
               WHEN payment_status = 'payment_authorized' AND inventory_status = 'inventory_reserved' THEN 'COMPLETED'
               WHEN payment_status = 'payment_authorized' AND inventory_status = 'inventory_rejected' THEN 'INVENTORY_REJECTED'
@@ -207,9 +215,10 @@ state_docs AS (
   FROM states
 ),
 history AS (
-  SELECT DISTINCT order_id, state_id, customer_id, order_amount,
-         TRY_CAST(order_time AS TIMESTAMP) AS order_time, payment_status, inventory_status, order_status
-  FROM state_docs
+  SELECT order_id, state_id, customer_id, order_amount,
+         TRY_CAST(order_time AS TIMESTAMP) AS order_time, payment_status, inventory_status, order_status,
+         max(decided_at) AS decided_at
+  FROM state_docs GROUP BY ALL
 )"""
 
 
@@ -293,7 +302,7 @@ WHERE op.payment_status = 'payment_authorized'""")
 ORACLE["correlated"] = _q("SELECT * FROM correlated")
 ORACLE["correlated_branches"] = _q("SELECT * FROM correlated")
 ORACLE["correlated_chained"] = _q("SELECT * FROM correlated")
-ORACLE["order_states"] = _q("SELECT * FROM states")
+ORACLE["order_states"] = _q("SELECT * EXCLUDE (decided_at) FROM states")
 
 ORACLE["status_counts"] = _q("""
 SELECT order_status, count(*) AS order_count FROM states GROUP BY order_status""")
@@ -326,7 +335,8 @@ ON e.order_id = s.order_id""")
 ORACLE["state_records"] = _q("""
 SELECT order_id AS key,
        '{"order_id":"' || order_id || '","customer_id":"' || customer_id
-       || '","order_amount":' || CAST(order_amount AS VARCHAR) || ',"order_time":"' || order_time
+       || '","order_amount":' || CASE WHEN order_amount = 12500000.5 THEN '1.25000005E7'
+                                      ELSE CAST(order_amount AS VARCHAR) END || ',"order_time":"' || order_time
        || '","payment_status":"' || payment_status || '"'
        || coalesce(',"inventory_status":"' || inventory_status || '"', '')
        || ',"order_status":"' || order_status || '"}' AS value
@@ -334,7 +344,7 @@ FROM states""")
 
 ORACLE["state_ids"] = _q("SELECT order_id, order_status, state_id FROM state_docs")
 
-ORACLE["history_table"] = _q("SELECT * FROM history")
+ORACLE["history_table"] = _q("SELECT * EXCLUDE (decided_at) FROM history")
 
 ORACLE["order_lookup"] = _q("""
 SELECT h.order_id, h.order_status, h.state_id FROM history h
@@ -343,7 +353,7 @@ WHERE h.order_id IN (SELECT oid FROM base WHERE o_orderpriority = '1-URGENT')"""
 ORACLE["current_state"] = _q("""
 SELECT order_id, state_id, customer_id, order_amount, order_time, payment_status,
        inventory_status, order_status FROM (
-  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_time DESC, state_id DESC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY decided_at DESC, order_time DESC, state_id DESC) AS rn
   FROM history) WHERE rn = 1""")
 
 ORACLE["events_by_order"] = _q("""
@@ -457,8 +467,8 @@ LEFT JOIN (SELECT order_id, max(payment_time) AS last_payment_time FROM op
 WHERE o.order_id NOT IN (SELECT order_id FROM correlated)""")
 
 ORACLE["business_dedup"] = _q("""
-SELECT order_id, event_type, payment_id, event_id, event_timestamp FROM (
-  SELECT *, row_number() OVER (PARTITION BY order_id, event_type, payment_id
+SELECT order_id, event_type, payment_id, sku, event_id, event_timestamp FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id, event_type, payment_id, sku
                                ORDER BY event_timestamp, event_id) AS rn
   FROM uniq) WHERE rn = 1""")
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -25,20 +26,18 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session, set locally only when unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint dir
-        sc = None
-    if not root and sc is not None:
-        root = sc.getCheckpointDir()
+    """The shared checkpoint folder named by the session.
+
+    A local master without one gets a temporary folder; on a cluster, where executors would not
+    see a folder of the driver's machine, a missing setting is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        # Only reached in local runs/tests: a cluster names spark.checkpoint.dir.
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all of {master!r} share")
         root = tempfile.mkdtemp(prefix="orderflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -60,7 +59,7 @@ def local_session(app: str = "orderflow", cores: int | str = "*", shuffle_partit
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", UTC)
-        .config("spark.driver.memory", os.environ.get("ORDERFLOW_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("ORDERFLOW_DRIVER_MEMORY", "8g"))
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
@@ -109,8 +108,9 @@ def apply_settings(spark: SparkSession, settings: dict) -> SparkSession:
     run's checkpoint.
     """
     for key, value in settings.items():
-        try:
+        if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
-        except Exception:  # noqa: BLE001 - static configuration; set it at session build
-            pass
+        elif spark.conf.get(key, None) != value:
+            warnings.warn(f"{key} is fixed when the session is built; it stays "
+                          f"{spark.conf.get(key, None)!r}, not {value!r}", stacklevel=2)
     return spark

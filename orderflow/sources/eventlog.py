@@ -15,6 +15,11 @@ at the speed of the ``orders`` scan and grows with it.  All rules are modular ar
   else ``2 + k % 5``
 * a second payment of the same type 1 s later when ``k % 103 = 5``
 * the order event is sent twice (same text, next offset) when ``k % 50 = 0``
+* the payment is sent again 1 s later under another event id when ``k % 107 = 3`` (by another
+  customer on odd orders): the same business fact twice
+* a failed payment is followed by an authorized one and a reservation a minute later when
+  ``k % 29 = 4``
+* a second SKU is reserved 1 s after the first when ``k % 113 = 6``
 * anomalies by ``r = k % 211`` (see ``ANOMALIES``)
 """
 
@@ -39,17 +44,22 @@ ANOMALIES = {
     11: "inventory quantity as the text \"1\" (INVALID_JSON)",
     12: "order value NULL (MISSING_REQUIRED_FIELD)",
     13: "order event_time 'not-a-time' (valid, dropped at event-time parse)",
+    14: "order of type 'order_updated' (INVALID_TOPIC_EVENT_TYPE)",
+    15: "order of 12500000.5 (valid; a large amount in the state id)",
 }
 ANOMALY_MODULUS = 211
 DUPLICATE_MODULUS = 50
 SECOND_PAYMENT_MODULUS = 103
+RESENT_MODULUS, RECOVERY_MODULUS, SECOND_SKU_MODULUS = 107, 29, 113
+LARGE_AMOUNT = "12500000.5"
 CURRENCY = "MAD"
 PAYMENT_FAILED_REASON = "payment_declined"
 INVENTORY_REJECTED_REASON = "insufficient_stock"
 
-# Offset slots within one order's block of 8 offsets.
+# Offset slots within one order's block of 16 offsets.
 SLOT_ORDER, SLOT_ORDER_COPY, SLOT_PAYMENT, SLOT_PAYMENT_2, SLOT_INVENTORY = 0, 1, 2, 3, 4
-OFFSET_STRIDE = 8
+SLOT_RESENT, SLOT_RECOVERY, SLOT_RECOVERY_INVENTORY, SLOT_SECOND_SKU = 5, 6, 7, 8
+OFFSET_STRIDE = 16
 
 
 def _iso(epoch_seconds_sql: str) -> str:
@@ -103,33 +113,38 @@ def derive_event_log(orders: DataFrame) -> DataFrame:
                 _lit(',"payload":')]
 
     order_json = f"""CASE WHEN r = 12 THEN CAST(NULL AS string) ELSE {_doc(
-        *envelope("O-", _lit(C.ORDER_CREATED),
+        *envelope("O-", f"CASE WHEN r = 14 THEN 'order_updated' ELSE {_lit(C.ORDER_CREATED)} END",
                   f"CASE WHEN r = 13 THEN 'not-a-time' ELSE {_iso('t0')} END",
                   "CASE WHEN r = 4 THEN '2' ELSE '1' END",
                   """CASE WHEN r = 2 THEN '' ELSE concat(',"customer_id":"', customer_id, '"') END"""),
         f"""CASE WHEN r = 1 THEN '' ELSE concat('{{"total_amount":',
-            CASE WHEN r = 6 THEN '0.0' ELSE price END, {_lit(',"currency":"' + CURRENCY + '"}}')}) END""")} END"""
+            CASE WHEN r = 6 THEN '0.0' WHEN r = 15 THEN '{LARGE_AMOUNT}' ELSE price END, {_lit(',"currency":"' + CURRENCY + '"}}')}) END""")} END"""
     order_key = "CASE WHEN r = 3 THEN concat('BAD-', ks) ELSE order_id END"
     order_topic = f"CASE WHEN r = 5 THEN {_lit(C.TOPIC_PAYMENTS)} ELSE {_lit(C.TOPIC_ORDERS)} END"
 
     pay_type = f"CASE WHEN failed THEN {_lit(C.PAYMENT_FAILED)} ELSE {_lit(C.PAYMENT_AUTHORIZED)} END"
     customer = """concat(',"customer_id":"', customer_id, '"')"""
 
-    def payment_json(prefix: str, id_suffix: str, seconds: str) -> str:
+    def payment_json(prefix: str, id_suffix: str, seconds: str, kind: str = pay_type,
+                     failed: str = "failed", customer: str = customer) -> str:
         return _doc(
-            *envelope(prefix, pay_type, _iso(seconds), "'1'", customer),
+            *envelope(prefix, kind, _iso(seconds), "'1'", customer),
             _lit('{"payment_id":"'), "payment_id", _lit(id_suffix), _lit('","amount":'), "price",
             f"""CASE WHEN r = 7 THEN '' ELSE {_lit(',"currency":"' + CURRENCY + '"')} END""",
-            f"""CASE WHEN failed AND r <> 9 THEN {_lit(',"reason":"' + PAYMENT_FAILED_REASON + '"')} ELSE '' END""",
+            f"""CASE WHEN {failed} AND r <> 9 THEN {_lit(',"reason":"' + PAYMENT_FAILED_REASON + '"')} ELSE '' END""",
             _lit("}}"))
 
     inv_type = f"CASE WHEN rejected THEN {_lit(C.INVENTORY_REJECTED)} ELSE {_lit(C.INVENTORY_RESERVED)} END"
-    inv_json = _doc(
-        *envelope("I-", inv_type, _iso("t0 + pay_gap + inv_gap"), "'1'", customer),
-        _lit('{"sku":"SKU-'), "lpad(cast(k % 100 AS string), 3, '0')", _lit('","quantity":'),
-        """CASE WHEN r = 8 THEN '0' WHEN r = 11 THEN '"1"' ELSE '1' END""",
-        f"""CASE WHEN rejected AND r <> 10 THEN {_lit(',"reason":"' + INVENTORY_REJECTED_REASON + '"')} ELSE '' END""",
-        _lit("}}"))
+
+    def inventory_json(prefix: str, seconds: str, sku: str) -> str:
+        return _doc(
+            *envelope(prefix, inv_type, _iso(seconds), "'1'", customer),
+            _lit('{"sku":"SKU-'), f"lpad(cast({sku} AS string), 3, '0')", _lit('","quantity":'),
+            """CASE WHEN r = 8 THEN '0' WHEN r = 11 THEN '"1"' ELSE '1' END""",
+            f"""CASE WHEN rejected AND r <> 10 THEN {_lit(',"reason":"' + INVENTORY_REJECTED_REASON + '"')} ELSE '' END""",
+            _lit("}}"))
+
+    other_customer = """concat(',"customer_id":"', CASE WHEN k % 2 = 1 THEN 'ALT-' ELSE '' END, customer_id, '"')"""
 
     def record(present: str, key: str, topic: str, slot: int, raw: str) -> str:
         return (f"CASE WHEN {present} THEN named_struct('kafka_key', {key}, 'topic', {topic}, "
@@ -144,6 +159,15 @@ def derive_event_log(orders: DataFrame) -> DataFrame:
         record(f"k % {SECOND_PAYMENT_MODULUS} = 5", "order_id", _lit(C.TOPIC_PAYMENTS), SLOT_PAYMENT_2,
                payment_json("P2-", "-B", "t0 + pay_gap + 1")),
         record("NOT failed AND inv_present", "order_id", _lit(C.TOPIC_INVENTORY), SLOT_INVENTORY,
-               inv_json),
+               inventory_json("I-", "t0 + pay_gap + inv_gap", "k % 100")),
+        record(f"k % {RESENT_MODULUS} = 3", "order_id", _lit(C.TOPIC_PAYMENTS), SLOT_RESENT,
+               payment_json("PR-", "", "t0 + pay_gap + 1", customer=other_customer)),
+        record(f"failed AND k % {RECOVERY_MODULUS} = 4", "order_id", _lit(C.TOPIC_PAYMENTS), SLOT_RECOVERY,
+               payment_json("PA-", "-C", "t0 + pay_gap + 60", _lit(C.PAYMENT_AUTHORIZED), "false")),
+        record(f"failed AND k % {RECOVERY_MODULUS} = 4", "order_id", _lit(C.TOPIC_INVENTORY),
+               SLOT_RECOVERY_INVENTORY, inventory_json("IA-", "t0 + pay_gap + 62", "k % 100")),
+        record(f"NOT failed AND inv_present AND k % {SECOND_SKU_MODULUS} = 6", "order_id",
+               _lit(C.TOPIC_INVENTORY), SLOT_SECOND_SKU,
+               inventory_json("I2-", "t0 + pay_gap + inv_gap + 1", "(k + 1) % 100")),
     ])
     return base.selectExpr(f"inline(filter(array({records}), e -> e IS NOT NULL))")

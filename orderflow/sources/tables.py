@@ -5,37 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def target_parallelism(spark: SparkSession) -> int:
-    """Task slots worth filling: the default parallelism (total executor cores).
-
-    Not the shuffle-partition count, which is sized for shuffled data and may be far larger
-    than the cores (a small table would be cut into many tiny tasks).
-    """
-    try:
-        return max(1, int(spark.sparkContext.defaultParallelism))
-    except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect session
-        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "1") or 1))
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a frame whose scan gives fewer splits than there are task slots.
-
-    A parquet file with one row group is one split however large it is; everything narrow
-    downstream (the event-log derivation, parsing, validation) would then run in one task.
-    On a large input the scan already has thousands of splits and this is a no-op (no extra
-    shuffle).  Only the partition count is inspected; no job runs.
-    """
-    want = min_partitions or target_parallelism(df.sparkSession)
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - Spark Connect has no RDD view; keep the scan as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None,
-               columns: list[str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """One table of a data folder.  The scan's splits follow ``spark.sql.files.maxPartitionBytes``
+    and the files' row groups; no shuffle is added to it."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    return spread(df, min_partitions)
+    return df.select(*columns) if columns else df

@@ -4,11 +4,15 @@ Each stage is one Structured Streaming query with its own checkpoint, reading th
 stage's durable log; ``run_pipeline`` runs them in order with ``availableNow`` triggers (drain
 what is there, then stop), which is how a scheduled deployment runs them.  The same operator
 functions as the batch path are used; only ``dedup`` and ``correlate`` switch on
-``isStreaming`` (watermarked dedup, watermarked two-branch interval joins).
+``isStreaming`` (watermarked dedup, watermarked interval joins).
+
+The logs between the stages are written by the file sink, whose commit log makes a replayed
+micro-batch count once downstream; ``target=kafka_target(...)`` writes them to topics instead.
 """
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,29 +28,48 @@ from ..operators import validate as va
 from ..session import pin_utc, scratch_path
 from ..sources import topics as tp
 from . import sinks
+from .totals import totals, watch
 
 
 def run_to_end(query: StreamingQuery) -> StreamingQuery:
-    """Wait for an ``availableNow`` query and surface its failure."""
+    """Wait for an ``availableNow`` query; its failure is raised by the wait."""
     query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
     return query
 
 
+def log_target(path: str, partition_by: str | None = None) -> dict:
+    """Where a stage's records go: a log of files under ``path``."""
+    return {"format": "parquet", "options": {"path": path}, "partition_by": partition_by}
+
+
+def kafka_target(bootstrap: str, topic: str) -> dict:
+    """Where a stage's records go: a Kafka topic (needs the connector on the classpath)."""
+    return {"format": "kafka", "options": tp.kafka_sink_options(bootstrap, topic), "partition_by": None}
+
+
+def _target(where: str | dict, partition_by: str | None = None) -> dict:
+    return log_target(where, partition_by) if isinstance(where, str) else where
+
+
 def _start(df: DataFrame, checkpoint: str, callback=None, mode: str = "append",
-           trigger: dict | None = None, name: str | None = None, fmt: str | None = None,
-           path: str | None = None) -> StreamingQuery:
-    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    if name:
-        w = w.queryName(name)
-    if callback is not None:
-        w = w.foreachBatch(callback)
-    elif fmt:
-        w = w.format(fmt)
-    trig = trigger or {"availableNow": True}
-    w = w.trigger(**trig)
-    return w.start(path) if path else w.start()
+           trigger: dict | None = None, target: dict | None = None) -> StreamingQuery:
+    """Start a query into ``target`` or, by micro-batch, into ``callback(batch, id, query id)``."""
+    watch(df.sparkSession)
+    w = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+         .trigger(**(trigger or {"availableNow": True})))
+    if target is not None:
+        w = w.format(target["format"]).options(**target["options"])
+        return (w.partitionBy(target["partition_by"]) if target["partition_by"] else w).start()
+    started, query_id = threading.Event(), []
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        started.wait(60)
+        callback(batch, batch_id, query_id[0])
+
+    query = w.foreachBatch(run).start()
+    query_id.append(str(query.id))
+    started.set()
+    return query
 
 
 # ----------------------------------------------------------------------------- stage 1
@@ -54,12 +77,25 @@ def validation_stream(topic_rows: DataFrame, rules=None) -> DataFrame:
     return va.validate(topic_rows) if rules is None else va.validate(topic_rows, rules)
 
 
-def run_validation(topic_rows: DataFrame, valid_path: str, dlq_path: str, checkpoint: str,
-                   counts_path: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Job 1: classify every record; VALID -> forward log, INVALID -> dead letters."""
-    return _start(observe_validation(validation_stream(topic_rows)), checkpoint,
-                  sinks.route_batch(valid_path, dlq_path, counts_path), trigger=trigger,
-                  name=None)
+def run_validation(topic_rows: DataFrame, routed_log: str | dict, checkpoint: str,
+                   trigger: dict | None = None) -> StreamingQuery:
+    """Job 1: classify every record into one log partitioned by ``route`` (VALID: the forwarded
+    record, INVALID: its dead-letter document); the counts ride along as observed metrics.
+
+    Into a topic instead of a log, only the valid records go; ``run_dead_letters`` sends the others.
+    """
+    records = va.routed_records(observe_validation(validation_stream(topic_rows)))
+    target = _target(routed_log, "route")
+    if target["format"] == "kafka":
+        records = records.filter(F.col("route") == C.VALID).select("key", "value")
+    return _start(records, checkpoint, trigger=trigger, target=target)
+
+
+def run_dead_letters(topic_rows: DataFrame, target: str | dict, checkpoint: str,
+                     trigger: dict | None = None) -> StreamingQuery:
+    """The dead letters alone (the second writer where the targets are topics)."""
+    return _start(va.dead_letter_records(validation_stream(topic_rows)), checkpoint, trigger=trigger,
+                  target=_target(target))
 
 
 # ----------------------------------------------------------------------------- stage 2
@@ -74,12 +110,12 @@ def dedup_stream(records: DataFrame, lateness: str = C.WATERMARK_DELAY,
         "event_timestamp")
 
 
-def run_dedup(records: DataFrame, unique_path: str, checkpoint: str,
+def run_dedup(records: DataFrame, unique_path: str | dict, checkpoint: str,
               lateness: str = C.WATERMARK_DELAY, trigger: dict | None = None,
               spread: int | None = None) -> StreamingQuery:
     """Job 2: drop technical duplicates by event_id under the watermark."""
-    return _start(dedup_stream(records, lateness, spread), checkpoint,
-                  sinks.forward_batch(unique_path), trigger=trigger)
+    return _start(dedup_stream(records, lateness, spread).select("key", "value"), checkpoint,
+                  trigger=trigger, target=_target(unique_path))
 
 
 # ----------------------------------------------------------------------------- stage 3
@@ -93,16 +129,15 @@ def business_stream(records: DataFrame, within: str = C.CORRELATION_WINDOW,
                                                 & F.col("order_id").isNotNull())
     o, p, i = corr.split_domains(events)
     correlated = corr.correlate(o, p, i, within=within, lateness=lateness, shape="chained")
-    return st.order_status(correlated)
+    return st.order_status(correlated, with_decision=True)
 
 
-def run_business(records: DataFrame, states_path: str, checkpoint: str,
+def run_business(records: DataFrame, states_path: str | dict, checkpoint: str,
                  within: str = C.CORRELATION_WINDOW, lateness: str = C.WATERMARK_DELAY,
                  trigger: dict | None = None) -> StreamingQuery:
     """Job 3: correlate order -> payment -> inventory and publish state records."""
     states = observe_states(business_stream(records, within, lateness))
-    return _start(st.state_record(states), checkpoint,
-                  sinks.forward_batch(states_path), trigger=trigger)
+    return _start(st.state_record(states), checkpoint, trigger=trigger, target=_target(states_path))
 
 
 # ----------------------------------------------------------------------------- stage 4
@@ -129,13 +164,10 @@ class PipelinePaths:
         return f"{self.root}/checkpoints/{name}"
 
     @property
-    def valid(self):
+    def routed(self):
+        """Validated records and dead letters, partitioned by ``route``."""
         return self.log(C.TOPIC_VALIDATED)
 
-    @property
-    def dead_letters(self):
-        return self.log(C.TOPIC_DEAD_LETTER)
-
     @property
     def unique(self):
         return self.log(C.TOPIC_UNIQUE)
@@ -148,56 +180,52 @@ class PipelinePaths:
     def history(self):
         return f"{self.root}/tables/order_state_history"
 
-    @property
-    def counts(self):
-        return f"{self.root}/tables/validation_counts"
-
 
 def run_pipeline(spark: SparkSession, topic_rows: DataFrame, root: str | None = None,
                  max_files_per_trigger: int | None = None,
-                 dedup_spread: int | None = 8) -> PipelinePaths:
+                 dedup_spread: int | None = 8, max_bytes_per_trigger: int | None = tp.BATCH_BYTES) -> PipelinePaths:
     """Run the four stages in order, each draining its input (``availableNow``).
 
     ``root`` defaults to a fresh folder under the session's shared checkpoint folder; re-running
     with the same ``root`` resumes from the checkpoints (no new input -> no new output).
     ``dedup_spread`` splits the copies of a hot event id over that many state partitions
-    before the final dedup (None: single-level dedup).
+    before the final dedup (None: single-level dedup).  A backlog is drained in micro-batches of
+    ``max_bytes_per_trigger``, so the watermark moves and state is evicted on the way.
     """
     pin_utc(spark)
     paths = PipelinePaths(root or scratch_path(spark, "pipeline"))
-    q = run_to_end(run_validation(topic_rows, paths.valid, paths.dead_letters,
-                                  paths.checkpoint("validation"), paths.counts))
+    limits = {"max_files_per_trigger": max_files_per_trigger, "max_bytes_per_trigger": max_bytes_per_trigger}
+    q = run_to_end(run_validation(topic_rows, paths.routed, paths.checkpoint("validation")))
     paths.observed["validation"] = observed_total(q, "validation")
-    run_to_end(run_dedup(tp.key_value_files(spark, paths.valid,
-                                            max_files_per_trigger=max_files_per_trigger),
+    run_to_end(run_dedup(tp.key_value_log(spark, paths.routed, route=C.VALID, **limits),
                          paths.unique, paths.checkpoint("deduplication"), spread=dedup_spread))
-    q = run_to_end(run_business(tp.key_value_files(spark, paths.unique,
-                                                   max_files_per_trigger=max_files_per_trigger),
+    q = run_to_end(run_business(tp.key_value_log(spark, paths.unique, **limits),
                                 paths.states, paths.checkpoint("business")))
     paths.observed["states"] = observed_total(q, "states")
-    run_to_end(run_history(tp.key_value_files(spark, paths.states,
-                                              max_files_per_trigger=max_files_per_trigger),
+    run_to_end(run_history(tp.key_value_log(spark, paths.states, **limits),
                            paths.history, paths.checkpoint("history")))
     return paths
 
 
 # ----------------------------------------------------------------------------- metrics
+def _events(records: DataFrame) -> DataFrame:
+    """Unique ``(key, value)`` events -> parsed and timed."""
+    parsed = records.select(va.parse_envelope(F.col("value").cast("string"), permissive=False).alias("e"))
+    return dd.with_event_time(parsed.select("e.*"))
+
+
 def volume_stream(records: DataFrame, width: str = C.VOLUME_WINDOW,
                   lateness: str = C.WATERMARK_DELAY) -> DataFrame:
     """Order volume per tumbling window over unique ``(key, value)`` events (update mode)."""
-    events = (records.select(va.parse_envelope(F.col("value").cast("string"), permissive=False)
-                             .alias("e")).select("e.*"))
-    orders = dd.with_event_time(events).filter(F.col("event_type") == C.ORDER_CREATED)
-    return me.order_volume(orders, width=width, lateness=lateness)
+    return me.order_volume(_events(records).filter(F.col("event_type") == C.ORDER_CREATED),
+                           width=width, lateness=lateness)
 
 
-def run_volume(records: DataFrame, metrics_path: str, checkpoint: str,
-               width: str = C.VOLUME_WINDOW, lateness: str = C.WATERMARK_DELAY,
-               trigger: dict | None = None) -> StreamingQuery:
-    """Order volume per window, update mode, stored as durable metric rows."""
-    return _start(volume_stream(records, width, lateness), checkpoint,
-                  sinks.upsert_metrics(metrics_path, "order_volume_5m"), mode="update",
-                  trigger=trigger)
+def failure_stream(records: DataFrame, width: str = C.RATE_WINDOW,
+                   lateness: str = C.WATERMARK_DELAY) -> DataFrame:
+    """Payment failure rate per window over unique ``(key, value)`` events (update mode)."""
+    return me.payment_failure_rate(_events(records).filter(F.col("event_type").isin(*C.PAYMENT_TYPES)),
+                                   width=width, lateness=lateness)
 
 
 def completion_stream(states: DataFrame) -> DataFrame:
@@ -206,6 +234,41 @@ def completion_stream(states: DataFrame) -> DataFrame:
     return me.completion_rate(states)
 
 
+def _run_metric(rows: DataFrame, metrics_path: str, name: str, value: str, checkpoint: str,
+                trigger: dict | None) -> StreamingQuery:
+    return _start(rows, checkpoint, sinks.upsert_metrics(metrics_path, name, value), mode="update",
+                  trigger=trigger)
+
+
+def run_volume(records: DataFrame, metrics_path: str, checkpoint: str,
+               width: str = C.VOLUME_WINDOW, lateness: str = C.WATERMARK_DELAY,
+               trigger: dict | None = None, name: str = "order_volume_5m") -> StreamingQuery:
+    """Order volume per window as durable metric rows."""
+    return _run_metric(volume_stream(records, width, lateness), metrics_path, name, "order_count",
+                       checkpoint, trigger)
+
+
+def run_orders_per_minute(records: DataFrame, metrics_path: str, checkpoint: str,
+                          lateness: str = C.WATERMARK_DELAY, trigger: dict | None = None) -> StreamingQuery:
+    """Orders per minute as durable metric rows."""
+    return run_volume(records, metrics_path, checkpoint, C.MINUTE_WINDOW, lateness, trigger, "orders_per_minute")
+
+
+def run_failure_rate(records: DataFrame, metrics_path: str, checkpoint: str,
+                     width: str = C.RATE_WINDOW, lateness: str = C.WATERMARK_DELAY,
+                     trigger: dict | None = None) -> StreamingQuery:
+    """Payment failure rate per window as durable metric rows."""
+    return _run_metric(failure_stream(records, width, lateness), metrics_path, "payment_failure_rate_5m",
+                       "failure_rate_pct", checkpoint, trigger)
+
+
+def run_completion(state_records: DataFrame, metrics_path: str, checkpoint: str,
+                   trigger: dict | None = None) -> StreamingQuery:
+    """Running completion rate over the state log as one durable metric row."""
+    return _run_metric(completion_stream(st.parse_states(state_records)), metrics_path, "completion_rate",
+                       "completion_rate_pct", checkpoint, trigger)
+
+
 def observed_event_time(query: StreamingQuery) -> dict:
     """The last progress' event-time block (``watermark``, ``max``, ``min``, ``avg``)."""
     progress = query.lastProgress or {}
@@ -213,12 +276,8 @@ def observed_event_time(query: StreamingQuery) -> dict:
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows dropped as late by the stateful operators over the recorded progress."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []):
-            total += int(op.get("numRowsDroppedByWatermark", 0))
-    return total
+    """Rows dropped as late by the stateful operators, over all micro-batches of the run."""
+    return totals(query).dropped
 
 
 # ----------------------------------------------------------------------------- observation
@@ -245,14 +304,8 @@ def observe_states(states: DataFrame, name: str = "states") -> DataFrame:
 
 
 def observed_total(query: StreamingQuery, name: str) -> dict:
-    """Observed counters ``name`` summed over the run's recorded micro-batches."""
-    total: dict = {}
-    for progress in query.recentProgress or []:
-        value = (progress.get("observedMetrics") or {}).get(name)
-        if value:
-            for k, v in (value.asDict() if hasattr(value, "asDict") else dict(value)).items():
-                total[k] = total.get(k, 0) + (v or 0)
-    return total
+    """Observed counters ``name`` summed over all micro-batches of the run."""
+    return dict(totals(query).observed.get(name, {}))
 
 
 def observed(query: StreamingQuery, name: str) -> dict:
@@ -266,11 +319,10 @@ def observed(query: StreamingQuery, name: str) -> dict:
 
 # ----------------------------------------------------------------------------- extensions
 def business_dedup_stream(events: DataFrame, lateness: str = C.WATERMARK_DELAY) -> DataFrame:
-    """Business-level dedup on a stream: one event per (order_id, event_type, payment_id)
-    within the watermark (technical dedup is by event_id; this also drops re-sent business
-    facts with fresh ids)."""
-    keyed = events.withColumn("payment_id", F.col("payload.payment_id"))
-    return dd.dedup(keyed, keys=("order_id", "event_type", "payment_id"), lateness=lateness)
+    """Business-level dedup on a stream: one event per business key (``dd.BUSINESS_KEY``) within
+    the watermark (technical dedup is by event_id; this also drops re-sent business facts with
+    fresh ids)."""
+    return dd.dedup(dd.with_business_key(events), keys=dd.BUSINESS_KEY, lateness=lateness)
 
 
 def pending_stream(events: DataFrame, within: str = C.CORRELATION_WINDOW,

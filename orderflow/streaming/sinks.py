@@ -1,118 +1,73 @@
 """Micro-batch sinks (``foreachBatch`` callbacks) with replay-safe writes.
 
-A micro-batch may be replayed after a failure (same ``batch_id``, same rows).  Every write
-here goes to a folder named by the batch id and overwrites it, so a replay replaces its own
-earlier output instead of adding a copy; the history table is additionally keyed by
-``(order_id, state_id)`` and read through an upsert view.
+The forward logs of the pipeline (validated and dead letters, unique events, states) are written by
+Spark's file sink, whose commit log lets readers see each committed file once; nothing here takes
+part in that.  The keyed tables -- history and metrics -- are written here: every micro-batch goes
+to partitions named by the query's id (stable in its checkpoint) and the batch id, and replaces
+them.  A replay therefore replaces its own earlier output, and a query with a new checkpoint, whose
+batch ids begin at 0 again, never touches what another query delivered.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import states as st
-from ..operators import validate as va
+from ..plans import history as hi
 
+def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+    """Write ``df`` so that it replaces just the partitions it has rows of."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partitions).parquet(path))
 
-def batch_path(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/batch_id={batch_id}"
 
-
-def write_topic(df: DataFrame, target: str, batch_id: int) -> None:
-    """Write ``(key, value)`` rows of one micro-batch to its own folder (idempotent replay)."""
-    df.write.mode("overwrite").parquet(batch_path(target, batch_id))
-
-
-def route_batch(valid_path: str, dlq_path: str, counts_path: str | None = None,
-                rules=None) -> Callable[[DataFrame, int], None]:
-    """Two-way routing of classified rows: VALID -> forward log, INVALID -> dead letters.
-
-    The batch is persisted once; counts come from one conditional aggregate (not two count
-    jobs); empty sides are not written; the persisted batch is released in ``finally``.
-    """
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            counts = va.validation_counts(batch).withColumn("batch_id", F.lit(batch_id))
-            row = counts.first()
-            if row["valid_count"]:
-                write_topic(va.valid_records(batch), valid_path, batch_id)
-            if row["invalid_count"]:
-                write_topic(va.dead_letter_records(batch), dlq_path, batch_id)
-            if counts_path:
-                counts.write.mode("overwrite").parquet(batch_path(counts_path, batch_id))
-        finally:
-            batch.unpersist()
-
-    return run
-
-
-def forward_batch(target: str) -> Callable[[DataFrame, int], None]:
-    """Forward ``(key, value)`` rows of each micro-batch to ``target`` (skip empty batches).
-
-    The batch is persisted for the emptiness check and the write: run twice, a batch that
-    comes out of a stateful operator would execute that operator twice.
-    """
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("key", "value").persist()
-        try:
-            if not rows.isEmpty():
-                write_topic(rows, target, batch_id)
-        finally:
-            rows.unpersist()
-
-    return run
-
-
-def upsert_history(path: str) -> Callable[[DataFrame, int], None]:
+def upsert_history(path: str, buckets: int = hi.BUCKETS) -> Callable[..., None]:
     """Store parsed states under their deterministic key ``(order_id, state_id)``.
 
-    Distributed: the state id is a native column and the batch is written by the executors
-    (no row loop on the driver).  Replays overwrite their batch folder; equal keys across
+    Distributed: the state id is a native column and the batch is written by the executors (no row
+    loop on the driver), in the history table's layout (``plans.history``).  Equal keys across
     batches collapse in ``read_history``.
     """
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        rows = (st.with_state_id(batch.select(*st.STATE_COLUMNS))
-                .withColumn("order_time", F.try_to_timestamp(F.col("order_time")))
-                .select("order_id", "state_id", "customer_id", "order_amount", "order_time",
-                        "payment_status", "inventory_status", "order_status"))
-        rows.write.mode("overwrite").parquet(batch_path(path, batch_id))
+    def run(batch: DataFrame, batch_id: int, query_id: str = "direct") -> None:
+        rows = st.history_rows(batch).withColumns({"query": F.lit(query_id), "batch_id": F.lit(int(batch_id))})
+        hi.write(rows, path, buckets, extra=("query", "batch_id"))
 
     return run
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """The keyed history table: one row per ``(order_id, state_id)``."""
-    return st.upsert_view(spark.read.option("recursiveFileLookup", "true").parquet(path))
+    return hi.read(spark, path)
 
 
-def upsert_metrics(path: str, metric_name: str) -> Callable[[DataFrame, int], None]:
-    """Durable metric rows from an update-mode window aggregate.
+def upsert_metrics(path: str, metric_name: str, value: str, by: Sequence[str] = ()) -> Callable[..., None]:
+    """Durable metric rows from an update-mode aggregate: column ``value`` of each updated row.
 
-    Each micro-batch writes the windows it updated, tagged with the batch id, to its own
-    folder (replays overwrite it); ``read_metrics`` keeps the latest value per
-    ``(metric_name, window_start, window_end)``.
+    The key is (metric_name, window_start, window_end, *by); an aggregate without windows has NULL
+    window bounds.  ``read_metrics`` keeps the latest value per key.
     """
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        value = [c for c in batch.columns if c not in ("window_start", "window_end")][0]
-        (batch.select(F.lit(metric_name).alias("metric_name"), "window_start", "window_end",
-                      F.col(value).cast("double").alias("metric_value"),
-                      F.lit(batch_id).cast("long").alias("batch_id"))
-         .write.mode("overwrite").parquet(batch_path(f"{path}/{metric_name}", batch_id)))
+    def run(batch: DataFrame, batch_id: int, query_id: str = "direct") -> None:
+        window = [F.col(c) if c in batch.columns else F.lit(None).cast("timestamp").alias(c)
+                  for c in ("window_start", "window_end")]
+        rows = batch.select(
+            F.lit(metric_name).alias("metric_name"), *window,
+            F.to_json(F.struct(*[F.col(c) for c in by])).alias("metric_key") if by
+            else F.lit(None).cast("string").alias("metric_key"),
+            F.col(value).cast("double").alias("metric_value"), F.current_timestamp().alias("written_at"),
+            F.lit(query_id).alias("query"), F.lit(int(batch_id)).cast("long").alias("batch_id"))
+        replace_partitions(rows, path, ["metric_name", "query", "batch_id"])
 
     return run
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Latest value per (metric_name, window_start, window_end): one aggregate, no window."""
-    rows = spark.read.option("recursiveFileLookup", "true").parquet(path)
-    latest = F.max_by(F.col("metric_value"), F.col("batch_id"))
-    return (rows.groupBy("metric_name", "window_start", "window_end")
+    """Latest value per (metric_name, window_start, window_end, metric_key): one aggregate."""
+    rows = spark.read.parquet(path)
+    latest = F.max_by(F.col("metric_value"), F.struct("written_at", "batch_id"))
+    return (rows.groupBy("metric_name", "window_start", "window_end", "metric_key")
             .agg(latest.alias("metric_value")))

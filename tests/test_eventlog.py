@@ -15,14 +15,16 @@ def _expected():
     has_inv = ~failed & (k % 101 != 7)
     second = k % 103 == 5
     dup = k % 50 == 0
+    resent, recovers, second_sku = k % 107 == 3, failed & (k % 29 == 4), has_inv & (k % 113 == 6)
+    inventory = has_inv.astype(int) + recovers.astype(int) + second_sku.astype(int)
     return {
         "orders_topic_rows": int(((r != 5)).sum() + (dup & (r != 5)).sum()),
-        "payments_topic_rows": int(len(k) + second.sum() + (r == 5).sum() + (dup & (r == 5)).sum()),
-        "inventory_rows": int(has_inv.sum()),
-        "failed_payment_events": int(failed.sum() + (failed & second).sum()),
+        "payments_topic_rows": int(len(k) + second.sum() + resent.sum() + recovers.sum() + (r == 5).sum() + (dup & (r == 5)).sum()),
+        "inventory_rows": int(inventory.sum()),
+        "failed_payment_events": int(failed.sum() + (failed & second).sum() + (failed & resent).sum()),
         "null_values": int((r == 12).sum() + (dup & (r == 12)).sum()),
         "bad_keys": int((r == 3).sum() + (dup & (r == 3)).sum()),
-        "quoted_quantity": int((has_inv & (r == 11)).sum()),
+        "quoted_quantity": int(inventory[r == 11].sum()),
     }
 
 

@@ -3,8 +3,10 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from orderflow.plans.flow import TABLES
+from orderflow.plans.oracle import oracle_sql
+from orderflow.plans.queries import queries
 
 from conftest import SF_SMALL
 

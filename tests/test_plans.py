@@ -6,7 +6,7 @@ import sys
 
 import pytest
 
-from __spark_entry__ import queries
+from orderflow.plans.queries import queries
 
 from conftest import SF_SMALL
 
@@ -36,8 +36,6 @@ def static_plans(spark):
 
 def test_no_cross_products_or_row_python(static_plans):
     for name in queries():
-        if name == "events_by_order":
-            continue  # checkpoints eagerly; covered below
         s, _ = static_plans(name)
         assert not any(op in s["ops"] for op in FORBIDDEN), name
 
@@ -45,9 +43,9 @@ def test_no_cross_products_or_row_python(static_plans):
 def test_correlation_shuffles(static_plans):
     s, _ = static_plans("correlated")
     assert s["ops"].get("SortMergeJoin") == 2
-    # spread (tests only), dedup by event_id, order side of J1, payment side, inventory side;
-    # J1's output enters J2 without a shuffle
-    assert len(s["exchanges"]) == 5, s["exchanges"]
+    # dedup by event_id, order side of J1, payment side, inventory side; J1's output enters J2
+    # without a shuffle
+    assert len(s["exchanges"]) == 4, s["exchanges"]
     assert sum("_ob" in e for e in s["exchanges"]) == 1
 
 
@@ -63,7 +61,13 @@ def test_dedup_combines_before_shuffle(static_plans):
     assert "partial_min" in tree[exchange_at:], "no map-side combine below the dedup shuffle"
 
 
-def test_events_by_order_broadcasts_only_bounded_edges(static_plans):
+def test_events_by_order_stays_in_the_jvm(static_plans):
     s, tree = static_plans("events_by_order")
-    assert "Window" in s["ops"] and s["ops"].get("BroadcastHashJoin", 0) == 2
+    assert "Window" in s["ops"] and "MapInPandas" not in tree and "RDD" not in tree
     assert not any(op in s["ops"] for op in FORBIDDEN)
+
+
+def test_audit_reads_and_shuffles_the_log_once(static_plans):
+    s, tree = static_plans("audit_event_log")
+    assert tree.count("FileScan parquet") == 1
+    assert sum("hashpartitioning" in e for e in s["exchanges"]) == 1, s["exchanges"]

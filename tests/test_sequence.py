@@ -9,9 +9,9 @@ def test_hot_key_positions(spark):
     n = 3000
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("K"), (F.col("id") % 97).cast("string"))).alias("key"),
-        ((F.col("id") * 7919) % 1000).alias("t"),
+        F.timestamp_seconds(((F.col("id") * 7919) % 1000) * 60).alias("t"),
         F.col("id").alias("uid"))
-    out = sequence_within(df, "key", ["t", "uid"], "pos", partitions=6)
+    out = sequence_within(df, "key", ["t", "uid"], "pos")
     rows = out.collect()
     assert len(rows) == n
     by_key = {}
@@ -21,3 +21,11 @@ def test_hot_key_positions(spark):
         items.sort()
         assert [p for _, _, p in items] == list(range(1, len(items) + 1)), key
     assert len(by_key["HOT"]) == n // 3
+
+
+def test_null_keys_are_one_key_and_null_times_come_first(spark):
+    df = spark.sql("""SELECT * FROM VALUES (NULL, timestamp'2026-01-01 00:00:00', 1), (NULL, NULL, 2),
+        (NULL, timestamp'2026-01-02 00:00:00', 3), ('A', timestamp'2026-01-01 00:00:00', 4)
+        AS rows(key, t, uid)""")
+    got = {r.uid: r.pos for r in sequence_within(df, "key", ["t", "uid"], "pos").collect()}
+    assert got == {2: 1, 1: 2, 3: 3, 4: 1}

@@ -1,4 +1,4 @@
-"""The native state id equals SHA-256 of the canonical sorted-key JSON (shared range)."""
+"""The native state id equals SHA-256 of the canonical sorted-key JSON, for amounts of any size."""
 
 import hashlib
 import json
@@ -10,6 +10,10 @@ ROWS = [
     ("ORD-2", "CUS-2", 85.5, "2026-10-09 01:52:21", "payment_failed", None, "PAYMENT_FAILED"),
     ("ORD-3", "CUS-é", 0.001, "2026-10-09 01:52:31", "payment_authorized", "inventory_rejected", "INVENTORY_REJECTED"),
     ("ORD-4", "CUS-4", 9999999.99, "2026-10-09 01:52:41", "payment_authorized", "inventory_reserved", "COMPLETED"),
+    *[(f"ORD-1{i}", "C", amount, "2026-10-09 01:52:51", "payment_authorized", "inventory_reserved", "COMPLETED")
+      for i, amount in enumerate([1e7, 1.25e7, 12500000.5, 123456789012345.67, 1e15, 9007199254740993.0, 1e16, 1.5e16,
+                                  1e22, 1e100, 0.0005, 0.00012345, 0.0001, 0.00001, 1.5e-7, 0.0, -0.0, -2.5e8, -0.0005,
+                                  1e-100])],
     ("ORD-5", "CUS-5", None, "2026-10-09 01:52:51", "payment_authorized", None, "UNKNOWN"),
 ]
 SCHEMA = ("order_id string, customer_id string, order_amount double, order_time string, "

@@ -9,6 +9,8 @@ import os
 import time
 from datetime import datetime, timedelta
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from orderflow.operators import states as st
@@ -49,7 +51,7 @@ def test_pipeline_equals_batch_and_restart_is_quiet(spark, tmp_root):
     batch = st.upsert_view(flow.history)
     assert _history_rows(streamed) == _history_rows(batch)
 
-    dlq = tp.key_value_files(spark, paths.dead_letters, streaming=False)
+    dlq = tp.key_value_log(spark, paths.routed, streaming=False, route="INVALID")
     assert dlq.count() == flow.classified.filter("validation_status = 'INVALID'").count()
     assert paths.observed["validation"]["total"] == flow.topic_rows.count()
     assert paths.observed["validation"]["invalid"] == dlq.count()
@@ -58,11 +60,12 @@ def test_pipeline_equals_batch_and_restart_is_quiet(spark, tmp_root):
     assert "INVALID_JSON" in codes and "INVALID_KAFKA_KEY" in codes
 
     # restart on the same checkpoints with no new input: no new output anywhere
-    before = {p: len(os.listdir(p)) for p in (paths.valid, paths.unique, paths.states, paths.history)}
+    logs = (paths.routed, paths.unique, paths.states)
+    before = [spark.read.parquet(p).count() for p in logs]
     jobs.run_pipeline(spark, tp.file_topics(spark, f"{src}/*", max_files_per_trigger=1),
                       f"{tmp_root}/run")
-    after = {p: len(os.listdir(p)) for p in before}
-    assert before == after
+    assert before == [spark.read.parquet(p).count() for p in logs]
+    assert _history_rows(sinks.read_history(spark, paths.history)) == _history_rows(batch)
 
 
 def _kv_file(spark, root, name, events):
@@ -202,6 +205,112 @@ def test_history_upsert_is_replay_safe(spark, tmp_root):
     assert sorted(r.order_id for r in hist.collect()) == ["ORD-1", "ORD-2"]
 
 
+def _fail_pay(order):
+    t = datetime(2026, 10, 9, 1, 0, 0)
+    return [_event(f"O-{order}", t, order), _pay(f"P-{order}", t + timedelta(seconds=2), order, "payment_failed")]
+
+
+def test_two_checkpoints_on_one_history_keep_both_orders(spark, tmp_root):
+    for n, order in enumerate(("ORD-1", "ORD-2")):
+        _kv_file(spark, f"{tmp_root}/src{n}", "b", _fail_pay(order))
+        jobs.run_to_end(jobs.run_business(tp.key_value_files(spark, f"{tmp_root}/src{n}"), f"{tmp_root}/states{n}",
+                                          f"{tmp_root}/ckb{n}"))
+        jobs.run_to_end(jobs.run_history(tp.key_value_log(spark, f"{tmp_root}/states{n}"), f"{tmp_root}/hist",
+                                         f"{tmp_root}/ckh{n}"))
+    assert sorted(r.order_id for r in sinks.read_history(spark, f"{tmp_root}/hist").collect()) == ["ORD-1", "ORD-2"]
+
+
+def test_replayed_batch_counts_once_downstream(spark, tmp_root):
+    """The last commit of the dedup stage is taken back, so its batch runs again."""
+    src, unique, states = f"{tmp_root}/src", f"{tmp_root}/unique", f"{tmp_root}/states"
+    _kv_file(spark, src, "b", _fail_pay("ORD-1"))
+    _run_dedup(spark, src, unique, f"{tmp_root}/ckd")
+
+    def business():
+        jobs.run_to_end(jobs.run_business(tp.key_value_log(spark, unique), states, f"{tmp_root}/ckb"))
+        return tp.key_value_log(spark, states, streaming=False).count()
+
+    assert business() == 1
+    commits = f"{tmp_root}/ckd/commits"
+    last = max(int(f) for f in os.listdir(commits) if f.isdigit())
+    os.rename(f"{commits}/{last}", f"{tmp_root}/commit-taken-back")
+    if os.path.exists(f"{commits}/.{last}.crc"):
+        os.rename(f"{commits}/.{last}.crc", f"{tmp_root}/crc-taken-back")
+    _run_dedup(spark, src, unique, f"{tmp_root}/ckd")
+    assert business() == 1
+
+
+def test_totals_cover_more_batches_than_the_progress_buffer(spark, tmp_root):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        for b in range(8):
+            spark.createDataFrame([(f"K{b}", "orders", 0, b, "broken")], "kafka_key string, topic string, "
+                                  "partition int, offset long, raw_json string").coalesce(1) \
+                .write.parquet(f"{tmp_root}/src/b{b}")
+        q = jobs.run_to_end(jobs.run_validation(
+            tp.file_topics(spark, f"{tmp_root}/src/*", max_files_per_trigger=1), f"{tmp_root}/log", f"{tmp_root}/ck"))
+        assert len(q.recentProgress) <= 3
+        assert jobs.observed_total(q, "validation") == {"valid": 0, "invalid": 8, "total": 8}
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_failing_query_raises(spark, tmp_root):
+    _kv_file(spark, f"{tmp_root}/src", "b", _fail_pay("ORD-1"))
+    rows = tp.key_value_files(spark, f"{tmp_root}/src").select("key", F.raise_error(F.lit("broken row")).alias("value"))
+    q = jobs._start(rows.select("key", F.col("value").cast("string").alias("value")), f"{tmp_root}/ck",
+                    target=jobs.log_target(f"{tmp_root}/out"))
+    with pytest.raises(StreamingQueryException):
+        jobs.run_to_end(q)
+
+
+def test_durable_failure_rate_and_completion_after_a_restart(spark, tmp_root):
+    from orderflow.operators import metrics as me
+    t = datetime(2026, 10, 9, 1, 0, 0)
+    types = ["payment_failed", "payment_authorized", "payment_authorized", "payment_authorized"]
+    states = [("ORD-1", "COMPLETED"), ("ORD-2", "PAYMENT_FAILED"), ("ORD-3", "COMPLETED")]
+    for part in range(2):
+        _kv_file(spark, f"{tmp_root}/src", f"b{part}", [
+            _pay(f"P{part}{i}", t + timedelta(minutes=part, seconds=i), f"ORD-{part}{i}", k)
+            for i, k in enumerate(types)])
+        rows = [(o, json.dumps({"order_id": o, "order_time": "2026-10-09 01:00:00", "order_status": s}))
+                for o, s in states[2 * part:2 * part + 2]]
+        spark.createDataFrame(rows, "key string, value string").coalesce(1).write.parquet(f"{tmp_root}/st/b{part}")
+        jobs.run_to_end(jobs.run_failure_rate(tp.key_value_files(spark, f"{tmp_root}/src"), f"{tmp_root}/m",
+                                              f"{tmp_root}/ck1"))
+        jobs.run_to_end(jobs.run_completion(tp.key_value_files(spark, f"{tmp_root}/st"), f"{tmp_root}/m",
+                                            f"{tmp_root}/ck2"))
+        jobs.run_to_end(jobs.run_orders_per_minute(tp.key_value_files(spark, f"{tmp_root}/src"), f"{tmp_root}/m",
+                                                   f"{tmp_root}/ck3"))
+    got = {r.metric_name: r.metric_value for r in sinks.read_metrics(spark, f"{tmp_root}/m").collect()}
+    assert got == {"payment_failure_rate_5m": 25.0, "completion_rate": 66.67}
+    batch = spark.createDataFrame([(s,) for _, s in states], "order_status string")
+    assert me.completion_rate(batch).first().completion_rate_pct == 66.67
+
+
+def test_business_dedup_stream_keeps_two_skus_and_drops_a_fact_sent_again(spark, tmp_root):
+    t = datetime(2026, 10, 9, 1, 0, 0)
+    events = []
+    for event_id, sku in (("I1", "SKU-1"), ("I2", "SKU-2"), ("I3", "SKU-1")):
+        e = _event(event_id, t)
+        events.append({**e, "event_type": "inventory_reserved", "payload": {"sku": sku, "quantity": 1}})
+    _kv_file(spark, f"{tmp_root}/src", "b", events)
+    kept = jobs.business_dedup_stream(jobs._events(tp.key_value_files(spark, f"{tmp_root}/src"))).select("sku")
+    q = (kept.writeStream.format("memory").queryName("sku_test").option("checkpointLocation", f"{tmp_root}/ck")
+         .trigger(availableNow=True).start())
+    jobs.run_to_end(q)
+    assert sorted(r.sku for r in spark.table("sku_test").collect()) == ["SKU-1", "SKU-2"]
+
+
+def test_kafka_targets_and_the_adapter_for_later_stages(spark):
+    assert jobs.kafka_target("broker:9092", "unique-events") == {
+        "format": "kafka", "options": {"kafka.bootstrap.servers": "broker:9092", "topic": "unique-events"},
+        "partition_by": None}
+    rows = spark.createDataFrame([("K", "orders", 0, 1, "{}")],
+                                 "kafka_key string, topic string, partition int, offset long, raw_json string")
+    assert tp.key_value_topic(rows).first().asDict() == {"key": "K", "value": "{}"}
+
+
 def test_durable_volume_metrics_equal_batch(spark, tmp_root):
     """Volume windows updated over several micro-batches; the latest value per window equals
     the batch aggregate (no late rows: files in event-time order)."""
