@@ -30,7 +30,7 @@ HEADLINE = [
     "validation_counts",      # parse + classify only
     "deduplicated_events",    # event time + dedup
     "correlated",             # two interval joins (inner + left, batch shape)
-    "correlated_branches",    # the same in the two-branch stream shape (three joins)
+    "correlated_chained",     # the same in the stream shape (two inner joins, markers)
     "history_table",          # states + ids + keyed upsert read
     "completion_rate",
     "window_counts_by_order",
@@ -54,24 +54,21 @@ def stream_bench(spark, stream_dir: str) -> dict:
     source = f"{root}/source"
     stages = [
         ("validation", source, lambda: jobs.run_validation(
-            topics.file_topics(spark, source), paths.valid, paths.dead_letters,
-            paths.checkpoint("validation"))),
-        ("dedup", paths.valid, lambda: jobs.run_dedup(topics.key_value_files(spark, paths.valid),
-                                                      paths.unique, paths.checkpoint("dedup"),
-                                                      spread=8)),
+            topics.file_topics(spark, source), paths.routed, paths.checkpoint("validation"))),
+        ("dedup", paths.routed, lambda: jobs.run_dedup(
+            topics.key_value_log(spark, paths.routed, route="VALID"), paths.unique,
+            paths.checkpoint("dedup"), spread=8)),
         ("business", paths.unique, lambda: jobs.run_business(
-            topics.key_value_files(spark, paths.unique), paths.states,
-            paths.checkpoint("business"))),
+            topics.key_value_log(spark, paths.unique), paths.states, paths.checkpoint("business"))),
         ("history", paths.states, lambda: jobs.run_history(
-            topics.key_value_files(spark, paths.states), paths.history,
-            paths.checkpoint("history"))),
+            topics.key_value_log(spark, paths.states), paths.history, paths.checkpoint("history"))),
     ]
     for name, input_path, start in stages:
         t0 = time.perf_counter()
         q = jobs.run_to_end(start())
         secs = time.perf_counter() - t0
         # input rows counted once (a source read by several branches reports each read)
-        rows = spark.read.option("recursiveFileLookup", "true").parquet(input_path).count()
+        rows = spark.read.parquet(input_path).count()
         state = sum(op.get("numRowsTotal", 0) for p in q.recentProgress[-1:]
                     for op in p.get("stateOperators", []))
         out[name] = {"sec": round(secs, 3), "input_rows": rows,
@@ -116,10 +113,8 @@ def main() -> None:
     for store in (cold, timings):
         timed(store, "pipeline_backfill",
               lambda: backfill.run_backfill(spark, topic_rows, scratch_path(spark, "bench-backfill")))
-    # streaming stages: the whole sf0.01 folder by default (one stream-stream join batch costs
-    # about 20 s there on local[8]); BENCH_STREAM_SF_DIR picks another folder
-    stream_dir = os.environ.get("BENCH_STREAM_SF_DIR",
-                                re.sub(r"sf[0-9.]+$", "sf0.01", sf_dir))
+    # streaming stages over the same folder; BENCH_STREAM_SF_DIR picks another one
+    stream_dir = os.environ.get("BENCH_STREAM_SF_DIR", sf_dir)
     streaming: dict = {}
     if not os.environ.get("BENCH_SKIP_STREAMING"):
         try:

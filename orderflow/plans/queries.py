@@ -19,6 +19,7 @@ from ..operators import metrics as me
 from ..operators import sequence as sq
 from ..operators import states as st
 from ..operators import validate as va
+from ..session import scratch_path
 from . import backfill
 from . import history as hi
 from .flow import EventFlow
@@ -200,10 +201,11 @@ def history_table(spark, sf_dir):
 def order_lookup(spark, sf_dir):
     """Point lookups by partition key, for the keys of every urgent order (a semi-join)."""
     flow = EventFlow(spark, sf_dir)
-    tables = backfill.run_backfill(spark, flow.topic_rows)  # the written, bucketed history
+    path = scratch_path(spark, "lookup-history")  # the written, bucketed history
+    hi.write(st.upsert_view(flow.history), path, buckets=8)
     keys = flow.table("orders").filter(F.col("o_orderpriority") == "1-URGENT").select(
         F.concat(F.lit("ORD-"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0")).alias("order_id"))
-    return st.lookup_many(hi.read(spark, tables.path("history")), keys)
+    return st.lookup_many(hi.read(spark, path), keys)
 
 
 @query
