@@ -34,6 +34,11 @@ def text_key(column: str = "text") -> Column:
     return F.when(F.col(column).isNull(), F.lit(-1)).otherwise(F.xxhash64(F.col(column)))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs`` as one struct column ``row``, so that no name of its columns can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def running_total(df: DataFrame, order: list[Column], value: str, total: str, name: str) -> DataFrame:
     """Add ``total``: the sum of ``value`` over all rows before this one in the global ``order``.
 

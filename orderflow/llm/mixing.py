@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import running_total, text_key, written
+from orderflow.llm.base import packed, running_total, text_key, written
 
 #: One step of the shuffle order: rows per (source, step) stay near this many.
 ROWS_PER_STEP = 20_000
@@ -123,17 +123,13 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     A pass that the mix serves in part is kept whole if at least half of it is served, so
     documents stay whole.  All columns of ``docs`` are kept; the order is that of the input.
     """
-    plan = mix(docs, **parameters).filter("served > 0").select(
-        F.col("doc_id").alias("__mix_id"), F.col("source_key").alias("__mix_source"),
-        F.col("text_key").alias("__mix_text"),
-        F.round(F.col("served") / (F.col("size") * F.col("copies"))).cast("int").alias("__mix_times"))
-    plan = plan.filter("__mix_times > 0")
-    keyed = docs.withColumns({"__mix_key": text_key(), "__mix_from": source_key()})
-    same = (F.col("doc_id").eqNullSafe(F.col("__mix_id")) & (F.col("__mix_from") == F.col("__mix_source"))
-            & (F.col("__mix_key") == F.col("__mix_text")))
-    rows = keyed.join(plan.hint("shuffle_hash"), same).withColumn(
-        "__mix_times", F.explode(F.sequence(F.lit(1), F.col("__mix_times"))))
-    return rows.select(*docs.columns)
+    times = F.round(F.col("served") / (F.col("size") * F.col("copies"))).cast("int")
+    plan = mix(docs, **parameters).filter("served > 0").select("doc_id", "source_key", "text_key", times.alias("times"))
+    rows = packed(docs).select("row", text_key("row.text").alias("text"), source_key("row.source").alias("source"))
+    same = (F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("source") == F.col("source_key"))
+            & (F.col("text") == F.col("text_key")))
+    taken = rows.join(plan.filter("times > 0").hint("shuffle_hash"), same)
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 
 
 def op1(docs: DataFrame, **parameters) -> DataFrame:

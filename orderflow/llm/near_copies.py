@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import shuffle_width, text_key, written
+from orderflow.llm.base import packed, shuffle_width, text_key, written
 from orderflow.llm.components import components
 from orderflow.llm.words import byte_texts, words
 
@@ -407,15 +407,13 @@ def near_copies(docs: DataFrame) -> DataFrame:
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near copies, all columns kept."""
     found = written(near_copies(docs).filter("kept"), "copy-kept")
-    kept = found.select(F.col("doc_id").alias("__copy_id"), F.col("text_key").alias("__copy_key"),
-                        ((F.col("rows") > 1) & ~F.col("wordless")).alias("__copy_many"))
-    rows = docs.withColumn("__copy_text", text_key()).join(
-        kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__copy_id"))
-        & (F.col("__copy_text") == F.col("__copy_key")))
+    kept = found.select("doc_id", "text_key", ((F.col("rows") > 1) & ~F.col("wordless")).alias("many"))
+    rows = packed(docs).withColumn("key", text_key("row.text")).join(
+        kept.hint("shuffle_hash"), F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")))
     if found.filter("rows > 1 and not wordless").isEmpty():
-        return rows.select(*docs.columns)
-    once = rows.filter("__copy_many").dropDuplicates(["__copy_id", "__copy_key"])
-    return rows.filter("not __copy_many").union(once).select(*docs.columns)
+        return rows.select("row.*")
+    once = rows.filter("many").groupBy("doc_id", "text_key").agg(F.any_value("row").alias("row"))
+    return rows.filter("not many").select("row").union(once.select("row")).select("row.*")
 
 
 def op6(docs: DataFrame) -> DataFrame:
