@@ -67,5 +67,55 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+#: Links by a comparison of all pairs, components by their closure.
+OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), sound AS (
+  SELECT vec_id, e FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+)
+SELECT v.vec_id, coalesce(l.n, 0) AS n_links, least(v.vec_id, coalesce(r.m, v.vec_id)) AS component_id,
+       v.vec_id <= coalesce(r.m, v.vec_id) AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) l ON l.a = v.vec_id
+LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) r ON r.a = v.vec_id"""
+
+#: Every window of an item looked up at every word position of every document.
+OP8_SQL = """
+WITH item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL
+), pattern AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n,
+         array_to_string(w[i + 1:i + least(len(w), 10)], ' ') AS words
+  FROM (SELECT item, w, unnest(range(0, greatest(len(w) - 9, 1))) AS i FROM item WHERE len(w) > 0)
+), doc AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w
+  FROM documents
+), place AS (
+  SELECT rid, n, i, array_to_string(w[i + 1:i + n], ' ') AS words
+  FROM (SELECT rid, w, n, unnest(range(0, greatest(len(w) - n + 1, 0))) AS i
+        FROM doc, (SELECT DISTINCT n FROM pattern))
+), hit AS (
+  SELECT rid, i, n, item FROM place JOIN pattern USING (n, words)
+), covered AS (
+  SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid
+), found AS (
+  SELECT rid, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY rid
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the queries that SQL can express; tests hold the others against plain computations."""
+    return {"op5_embedding_dedup": OP5_SQL, "op8_decontamination": OP8_SQL}
