@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from orderflow.llm.base import packed, running_total, text_key, written
 
 #: One step of the shuffle order: rows per (source, step) stay near this many.
-ROWS_PER_STEP = 20_000
+ROWS_PER_STEP = 4_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
