@@ -392,9 +392,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
     """
     rows = copy_groups(docs)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
-    heads = (rows.filter("component is not null").groupBy("component").agg(F.min(order).alias("head"))
-             .select(F.col("component").alias("_component"), F.col("head.doc_id").alias("head_id"),
-                     F.col("head.text_key").alias("head_key")))
+    # written, so that the join's shuffle of a large group can be split
+    heads = written(rows.filter("component is not null").groupBy("component").agg(F.min(order).alias("head"))
+                    .select(F.col("component").alias("_component"), F.col("head.doc_id").alias("head_id"),
+                            F.col("head.text_key").alias("head_key")), "copy-heads")
     joined = rows.join(heads, F.col("component") == F.col("_component"), "left")
     return joined.select(
         "doc_id", "text_key", "rows", F.when(F.col("component").isNull(), F.col("doc_id"))
