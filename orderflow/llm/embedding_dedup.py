@@ -207,8 +207,9 @@ def linked(vectors: DataFrame) -> DataFrame:
                        F.coalesce("component", "head").alias("group"))
                .join(classes.select("key", "copies"), "key"))
     placed = written(rows.select("vec_id", "key").join(classed, "key", "left"), "vec-placed")
-    least = (placed.filter("group is not null").groupBy(F.col("group").alias("_group"))
-             .agg(F.min("vec_id").alias("least")))
+    # written, so that the join's shuffle of a large group can be split
+    least = written(placed.filter("group is not null").groupBy(F.col("group").alias("_group"))
+                    .agg(F.min("vec_id").alias("least")), "vec-least")
     return (placed.join(least, F.col("group") == F.col("_group"), "left").select(
         "vec_id", F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
         F.coalesce("least", "vec_id").alias("component_id")))
