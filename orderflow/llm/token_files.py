@@ -119,7 +119,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     ids = written(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"),
                     F.coalesce("text", F.lit("")).alias("text"))
-        .mapInArrow(encoded_ids(tokenizer, end_id), IDS_SCHEMA), "token-ids")
+        .mapInArrow(encoded_ids(tokenizer, end_id), IDS_SCHEMA), "token-ids", compression="zstd")
     # one row per id of the vocabulary: bounded by the tokenizer, whatever the corpus
     found = (ids.select("ids").mapInArrow(counted_ids, "id long, n long")
              .groupBy("id").agg(F.sum("n").alias("n")).toPandas())
