@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import written
+from orderflow.llm.base import sampled, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Most documents to train on, passes, step size, penalty.
@@ -264,7 +264,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> SemiMarkov:
     """The model of at most ``sample`` documents with digits or at-signs."""
     keys = written(docs.filter(F.col("text").rlike("[0-9@]")).select("doc_id", F.xxhash64("doc_id", "text").alias("hash")),
                    "pii-keys")
-    chosen = keys.orderBy("hash").limit(sample).select(F.col("hash").alias("_hash")).distinct()
+    chosen = sampled(keys, F.col("hash"), sample).select(F.col("hash").alias("_hash")).distinct()
     # the parts of the sampled texts that training reads: stretches, cut out in the tasks
     parts = (docs.select("text", F.xxhash64("doc_id", "text").alias("hash"))
              .join(F.broadcast(chosen), F.col("hash") == F.col("_hash")).select("text")

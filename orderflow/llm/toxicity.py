@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.base import written
+from orderflow.llm.base import sampled, written
 from orderflow.llm.words import byte_texts, words
 
 #: Most labelled rows to fit on, most words to fit (those that tell most by the likelihood
@@ -137,10 +137,9 @@ def chosen_features(vocabulary: dict[bytes, int]):
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> OrdinalModel:
     """The model of at most ``sample`` labelled documents."""
-    spark = docs.sparkSession
-    chosen = (labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id")
-              .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))  # the documented bound
+    sound = written(labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id")
+                    .agg(F.max(F.col("toxic").cast("int")).alias("toxic")), "toxic-labels")
+    chosen = sampled(sound, F.col("doc_id"), sample)  # the documented bound
     rows = written(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
                    .dropDuplicates(["doc_id"]).select("doc_id", "toxic", "text")
                    .mapInArrow(word_counts, "doc_id long, toxic int, words array<binary>, counts array<int>"),
