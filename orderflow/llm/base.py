@@ -41,7 +41,7 @@ def sampled(df: DataFrame, key: Column, n: int) -> DataFrame:
     """
     share = min(1.0, 2.0 * (n + 1000) / max(1, df.count()))
     hashed = df.withColumn("__hash", F.xxhash64(key))
-    few = hashed.filter(F.shiftrightunsigned("__hash", 1) <= F.lit(int(share * ((1 << 63) - 1))))
+    few = hashed.filter(F.shiftrightunsigned("__hash", 1) <= F.lit(min((1 << 63) - 1, int(share * 2.0 ** 63))))
     return few.orderBy("__hash").limit(n).drop("__hash")
 
 

@@ -113,16 +113,16 @@ def gathered(docs: DataFrame) -> tuple[DataFrame, Vocabulary]:
     counts = written(docs.filter(~held_out()).select("text").mapInArrow(token_totals, "word binary, n long")
                      .groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
     sums = counts.agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
-    # the frequent words by a threshold of counts, found from a histogram of at most a few hundred
-    # bins, so that no task gathers candidates for a top list
-    bins = counts.groupBy(F.floor(F.log2("c") * 8).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # the frequent words by a threshold of counts, found from a histogram of 64 bins an
+    # octave, so that no task gathers candidates for a top list
+    bins = counts.groupBy(F.floor(F.log2("c") * 64).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     least, held = 0, 0
     for row in sorted(bins.collect(), key=lambda r: -r["bin"]):
         held += row["n"]
         if held > FREQUENT:
             least = row["bin"] + 1
             break
-    top = counts.filter((F.floor(F.log2("c") * 8) >= least) | (F.octet_length("word") == 0))
+    top = counts.filter((F.floor(F.log2("c") * 64) >= least) | (F.octet_length("word") == 0))
     found = [(bytes(w), c) for batch in top.toArrow().to_batches()
              for w, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist())]
     found.sort(key=lambda x: (x[0] != END, -x[1], x[0]))  # the end first, so that its id is fixed
