@@ -161,12 +161,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> OrdinalMode
     clean = np.array([r["n"] for r in found], float) - toxic
     odds = np.log((toxic + 0.5) / (toxic_rows + 1)) - np.log((clean + 0.5) / (clean_rows + 1))
     marks = (odds >= MARKER) & (toxic >= 0.05 * toxic_rows)
-    sampled = rows.mapInArrow(chosen_features(vocabulary), "toxic int, numbers binary, counts binary").collect()
-    numbers = [np.frombuffer(r["numbers"], "<i4") for r in sampled]
-    counts = [np.frombuffer(r["counts"], "<i4") for r in sampled]
+    featured = rows.mapInArrow(chosen_features(vocabulary), "toxic int, numbers binary, counts binary").collect()
+    numbers = [np.frombuffer(r["numbers"], "<i4") for r in featured]
+    counts = [np.frombuffer(r["counts"], "<i4") for r in featured]
     grade = np.array([0 if not r["toxic"] else 2 if c[marks[i]].sum() >= SEVERE else 1
-                      for r, i, c in zip(sampled, numbers, counts)])
-    row = np.repeat(np.arange(len(sampled)), [len(i) for i in numbers])
+                      for r, i, c in zip(featured, numbers, counts)])
+    row = np.repeat(np.arange(len(featured)), [len(i) for i in numbers])
     index, value = np.concatenate(numbers), 1 + np.log(np.concatenate(counts))
     penalty = PENALTY * np.sqrt(np.log(1 + len(vocabulary)) / len(grade))
     weights, _ = fit_ordinal(index, value, row, grade, len(vocabulary), penalty)
