@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.base import written
-from orderflow.llm.words import byte_texts
+from orderflow.llm.words import byte_texts, slices
 
 #: Most frequent tokens that the model tells apart, and those whose counts go to the tasks.
 MODEL_WORDS, FREQUENT = 2047, 300_000
@@ -70,7 +70,7 @@ def token_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
     counts: Counter = Counter()
-    for batch in batches:
+    for batch in slices(batches):
         for text in byte_texts(batch):
             counts.update(tokens(text))
             if len(counts) >= HELD_WORDS:
@@ -146,7 +146,7 @@ def encoded(name: str, vocabulary: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, known = _numbered(name, vocabulary), vocabulary.value
         weight = np.log10(np.append(known.counts, 0) + 1.0)  # the last: words that are not frequent
-        for batch in batches:
+        for batch in slices(batches):
             texts = byte_texts(batch)
             lists = [tokens(t) for t in texts]
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from orderflow.llm.base import packed, shuffle_width, text_key, written
 from orderflow.llm.components import components
-from orderflow.llm.words import byte_texts, words
+from orderflow.llm.words import byte_texts, slices, words
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: 24 bands of 6 registers: a pair at the threshold shares none with probability 0.0007, one at
@@ -161,15 +161,8 @@ SKETCH = "doc_id long, text_key long, node binary, bands array<long>, signature
 
 def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text_key, text) -> SKETCH; a wordless text has no node."""
-    for batch in batches:
-        texts = byte_texts(batch)
-        start, size = 0, 0
-        for i, text in enumerate(texts):
-            size += len(text)
-            if size >= SKETCH_BYTES or i == len(texts) - 1:
-                part = batch.slice(start, i + 1 - start)
-                yield _sketch(part, texts[start:i + 1])
-                start, size = i + 1, 0
+    for batch in slices(batches, size=SKETCH_BYTES):
+        yield _sketch(batch, byte_texts(batch))
 
 
 def _sketch(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:

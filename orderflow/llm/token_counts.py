@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm.base import written
+from orderflow.llm.words import slices
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 #: Longest text, in tokens, that is not over the limit.
@@ -60,11 +61,10 @@ def encoded_counts(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from orderflow.llm.tokens import encoder
         count = encoder(path).counts
-        for batch in batches:
-            if batch.num_rows:
-                n = count(batch.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("digest"), pa.array(n, pa.int64())], names=["digest", "n_tokens"])
+        for batch in slices(batches):
+            n = count(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("digest"), pa.array(n, pa.int64())], names=["digest", "n_tokens"])
     return run
 
 

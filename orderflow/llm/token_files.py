@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from orderflow.llm import rans
 from orderflow.llm.base import shuffle_width, text_key, written
+from orderflow.llm.words import slices
 
 END_ID = 2
 #: A block ends with the document that brings it to this many ids.
@@ -42,7 +43,7 @@ def encoded_ids(path: str, end_id: int):
         from orderflow.llm.tokens import encoder
         coder = encoder(path)
         end = np.array([end_id], "<u4")
-        for batch in batches:
+        for batch in slices(batches):
             ids = [np.append(x, end) for x in coder.ids(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(map(len, ids), pa.int64()),

@@ -14,9 +14,9 @@ from itertools import chain, repeat
 import numpy as np
 
 #: Chunks kept per worker; the memory is emptied when it is full (about 300 bytes a chunk).
-KEPT_CHUNKS = 700_000
+KEPT_CHUNKS = 500_000
 #: Pieces kept between batches, likewise.
-KEPT_PIECES = 150_000
+KEPT_PIECES = 100_000
 #: Texts are encoded together up to this many characters.
 BATCH_CHARS = 400_000
 #: The byte-level split pattern of chunks, in general and for ASCII (fixed values).
