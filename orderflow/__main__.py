@@ -5,9 +5,13 @@ Commands (the session comes from the cluster / ``spark-submit``; settings are ap
 
 * ``backfill --data DIR [--out ROOT]`` -- the batch pipeline over DIR/orders.parquet's event
   log, every stage written as a table under ROOT (default: the shared checkpoint folder);
-* ``pipeline --topics PATH [--out ROOT] [--max-files N]`` -- the four streaming stages over
-  topic-row files, each drained with ``availableNow`` (re-run to resume);
-* ``query NAME --data DIR [--out PATH]`` -- one registered query, shown or written as parquet.
+* ``pipeline --topics PATH | --kafka SERVERS [--out ROOT] [--max-files N]`` -- the four streaming
+  stages over topic-row files or the source topics, each drained with ``availableNow`` (re-run
+  to resume);
+* ``query NAME --data DIR [--out PATH]`` -- one registered query, its first rows shown or all of
+  them written as parquet.
+
+Spark's web page stays off unless ``--web-page`` is given.
 """
 
 from __future__ import annotations
@@ -25,16 +29,23 @@ from .sources import topics
 from .streaming import jobs
 
 
+#: Rows that a query without ``--out`` shows.
+SHOWN = 20
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="orderflow")
     ap.add_argument("--input-bytes", type=int, default=None,
                     help="input volume used to size shuffle partitions")
+    ap.add_argument("--web-page", action="store_true", help="turn Spark's web page on")
     sub = ap.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("backfill")
     b.add_argument("--data", required=True)
     b.add_argument("--out")
     p = sub.add_parser("pipeline")
-    p.add_argument("--topics", required=True)
+    where = p.add_mutually_exclusive_group(required=True)
+    where.add_argument("--topics", help="folder of topic-row files")
+    where.add_argument("--kafka", help="bootstrap servers (needs the connector on the classpath)")
     p.add_argument("--out")
     p.add_argument("--max-files", type=int, default=None)
     q = sub.add_parser("query")
@@ -43,16 +54,17 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--out")
     args = ap.parse_args(argv)
 
-    spark = SparkSession.builder.appName(f"orderflow-{args.cmd}").getOrCreate()
+    spark = (SparkSession.builder.appName(f"orderflow-{args.cmd}")
+             .config("spark.ui.enabled", str(args.web_page).lower()).getOrCreate())
     apply_settings(spark, cluster_settings(args.input_bytes))
     pin_utc(spark)
     if args.cmd == "backfill":
         tables = backfill.run_backfill(spark, EventFlow(spark, args.data).topic_rows, args.out)
         print(tables.root)
     elif args.cmd == "pipeline":
-        paths = jobs.run_pipeline(spark, topics.file_topics(spark, args.topics,
-                                                            max_files_per_trigger=args.max_files),
-                                  args.out, args.max_files)
+        source = topics.kafka_topics(spark, args.kafka) if args.kafka else topics.file_topics(
+            spark, args.topics, max_files_per_trigger=args.max_files, max_bytes_per_trigger=topics.BATCH_BYTES)
+        paths = jobs.run_pipeline(spark, source, args.out, args.max_files)
         print(paths.root)
     else:
         df = queries()[args.name](spark, args.data)
@@ -60,7 +72,10 @@ def main(argv: list[str] | None = None) -> int:
             df.write.mode("overwrite").parquet(args.out)
             print(args.out)
         else:
-            df.show(20, truncate=False)
+            rows = df.take(SHOWN + 1)
+            spark.createDataFrame(rows[:SHOWN], df.schema).show(SHOWN, truncate=False)
+            if len(rows) > SHOWN:
+                print(f"these are the first {SHOWN} rows; --out PATH writes them all")
     return 0
 
 
