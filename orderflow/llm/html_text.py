@@ -3,7 +3,8 @@
 A tokenizer and a tree builder (void elements, raw text, implied start and end tags) give the
 page's tree.  Visibility rules drop what a reader doesn't see: elements without a rendering, the
 ``hidden`` attribute, ``display:none`` and ``visibility:hidden`` from ``style`` attributes and from
-simple selectors of style sheets, closed details and dialogs.  The renderer collapses white space,
+simple selectors of style sheets (by importance, specificity and order; of ``@`` blocks only those
+that hold on ``SCREEN``), closed details and dialogs.  The renderer collapses white space,
 sets blocks on lines of their own with blank lines where their margins are, keeps preformatted
 text, marks list items by depth and number, and pads table cells to aligned columns.
 
@@ -52,9 +53,21 @@ BORDER = frozenset({"table", "td", "th", "caption", "template", "html"})
 _TAG = re.compile(r"<!--.*?(?:--!?>|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|"
                   r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_NONE = re.compile(r"(?:^|[;{\s])display\s*:\s*none", re.I)
-_HIDDEN = re.compile(r"(?:^|[;{\s])visibility\s*:\s*(hidden|collapse|visible)", re.I)
+_PIECE = re.compile(r"/\*.*?(?:\*/|$)|\"(?:\\.|[^\"\\\n])*\"|'(?:\\.|[^'\\\n])*'|<!--|-->|[{};]", re.S)
+_DECLARATION = re.compile(r"\s*(display|visibility)\s*:\s*([\w-]+)[^!]*?(!\s*important)?\s*$", re.I)
+_SIMPLE = re.compile(r"([A-Za-z][\w-]*)?([.#][^\s.#:>+~*\[,]+)?")
+_QUERY = re.compile(r"(?:(not|only)\s+)?(?!(?:not|only|and|or)\b)([a-z][\w-]*)(?:\s+and\b\s*(.*))?", re.S)
+_LENGTH = re.compile(r"([+-]?(?:\d+\.?\d*|\.\d+))([a-z]*)(?:\s*/\s*(\d+\.?\d*))?")
+_COMPARED = re.compile(r"(<=|>=|<|>|=)")
+#: The screen that ``@media`` rules are held against: numbers in CSS pixels (or as they are), and words.
+SCREEN = {"width": 1280.0, "height": 720.0, "device-width": 1280.0, "device-height": 720.0, "aspect-ratio": 16 / 9,
+          "device-aspect-ratio": 16 / 9, "resolution": 1.0, "-webkit-device-pixel-ratio": 1.0, "color": 8.0,
+          "monochrome": 0.0, "grid": 0.0, "orientation": "landscape", "hover": "hover", "any-hover": "hover",
+          "pointer": "fine", "any-pointer": "fine", "scripting": "enabled", "update": "fast",
+          "prefers-color-scheme": "light", "prefers-reduced-motion": "no-preference",
+          "prefers-contrast": "no-preference", "forced-colors": "none"}
+UNITS = {"": 1, "px": 1, "em": 16, "rem": 16, "pt": 4 / 3, "in": 96, "cm": 96 / 2.54, "mm": 9.6 / 2.54,
+         "dppx": 1, "x": 1, "dpi": 1 / 96}
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -82,11 +95,143 @@ class Open(list):
         del self[at:]
 
 
-def parse(html: str) -> tuple[Node, list[str]]:
-    """The page's tree and the selectors that its style sheets hide."""
+class Rules(dict):
+    """Selector -> property -> (rank, value) of its strongest declaration."""
+
+    read = 0  # declarations so far
+
+
+def _number(text: str) -> float | None:
+    found = _LENGTH.fullmatch(text.strip())
+    if not found or found[2] not in UNITS or found[3] and not float(found[3]):
+        return None
+    return float(found[1]) * UNITS[found[2]] / float(found[3] or 1)
+
+
+def _feature(text: str) -> bool | None:
+    """Whether a media feature holds on the screen; None where it isn't known."""
+    name, colon, value = (x.strip() for x in text.partition(":"))
+    if colon:
+        least = re.sub(r"^(-webkit-)?(min|max)-", r"\1", name)
+        have = SCREEN.get(least)
+        if have is None or isinstance(have, str):
+            return None if have is None or least != name else have == value
+        want = _number(value)
+        if want is None:
+            return None
+        return have == want if least == name else have >= want if "min-" in name else have <= want
+    parts = [x.strip() for x in _COMPARED.split(text)]
+    if len(parts) == 1:
+        have = SCREEN.get(name)
+        return None if have is None else bool(have) and have not in ("none", "no-preference")
+    sides = [SCREEN[x] if isinstance(SCREEN.get(x), float) else _number(x) for x in parts[::2]]
+    if None in sides:
+        return None
+    return all({"<": a < b, "<=": a <= b, ">": a > b, ">=": a >= b, "=": a == b}[how]
+               for a, how, b in zip(sides, parts[1::2], sides[1:]))
+
+
+def _condition(text: str) -> bool | None:
+    """A media condition: features in parentheses joined by not, and, or."""
+    known = {"yes": True, "no": False, "unknown": None}
+
+    def joined(part: str) -> bool | None:
+        names = part.split()
+        turned = names[:1] == ["not"]
+        values = [known[x] for x in names if x in known]
+        if not values or any(x not in known and x not in ("not", "and", "or") for x in names):
+            return None
+        if "or" in names:
+            value = True if True in values else None if None in values else False
+        else:
+            value = False if False in values else None if None in values else True
+        return not value if turned and value is not None else value
+
+    open_parts = [""]
+    for piece in re.split(r"([()])", text):
+        if piece == "(":
+            open_parts.append("")
+        elif piece == ")" and len(open_parts) > 1:
+            part = open_parts.pop()
+            value = joined(part) if re.search(r"\b(yes|no|unknown)\b(?!-)", part) and ":" not in part else _feature(part)
+            open_parts[-1] += " " + {True: "yes", False: "no", None: "unknown"}[value] + " "
+        else:
+            open_parts[-1] += piece
+    return joined(open_parts[0])
+
+
+def on_screen(media: str) -> bool:
+    """Whether a media query list holds on ``SCREEN``; what isn't known doesn't."""
+    for query in media.lower().split(","):
+        query = query.strip()
+        found = _QUERY.fullmatch(query)
+        if not found:
+            value = _condition(query) if query else not media.strip()
+        else:
+            value = found[2] in ("all", "screen") and (_condition(found[3]) if found[3] else True)
+            if found[1] == "not" and value is not None:
+                value = not value
+        if value:
+            return True
+    return False
+
+
+def _declared(text: str) -> tuple[str, str, bool] | None:
+    """Property, value and importance of a declaration of display or visibility."""
+    found = _DECLARATION.match(text)
+    return (found[1].lower(), found[2].lower(), bool(found[3])) if found else None
+
+
+def read_sheet(css: str, rules: Rules) -> None:
+    """Add a style sheet's display and visibility to ``rules``."""
+    # open blocks: the selectors whose declarations they hold (None outside of rules), whether they
+    # apply, whether in a layer
+    blocks: list[tuple[list[str] | None, bool, bool]] = [(None, True, False)]
+    said: list[str] = []
+
+    def declaration() -> None:
+        selectors, applies, layered = blocks[-1]
+        found = _declared("".join(said)) if selectors and applies else None
+        said.clear()
+        for selector in selectors if found else ():
+            name, value, important = found
+            rules.read += 1
+            rank = (important, layered == important, "#" in selector, "." in selector, selector[0] not in ".#", rules.read)
+            held = rules.setdefault(selector, {})
+            held[name] = max(held.get(name, ((), "")), (rank, value))
+
+    at = 0
+    for piece in _PIECE.finditer(css):
+        said.append(css[at:piece.start()])
+        at = piece.end()
+        if piece[0] in (";", "}"):
+            declaration()
+            if piece[0] == "}" and len(blocks) > 1:
+                blocks.pop()
+        elif piece[0] == "{":
+            selectors, applies, layered = blocks[-1]
+            prelude = "".join(said).strip()
+            said.clear()
+            if prelude[:1] == "@":
+                name, condition = re.fullmatch(r"@([\w-]*)(.*)", prelude, re.S).groups()
+                name = name.lower()
+                holds = {"media": lambda: on_screen(condition), "layer": lambda: True,
+                         "supports": lambda: not re.match(r"\s*not\b", condition, re.I)}.get(name, lambda: False)()
+                blocks.append((selectors, applies and holds, layered or name == "layer"))
+            else:  # a rule inside a rule is about descendants, which isn't a simple selector
+                names = [_SIMPLE.fullmatch(x.strip()) for x in prelude.split(",")] if selectors is None else []
+                blocks.append(([(m[1] or "").lower() + (m[2] or "") for m in names if m and m[0]], applies, layered))
+        elif piece[0][0] in "\"'":
+            said.append(piece[0])
+    said.append(css[at:])
+    declaration()
+
+
+def parse(html: str) -> tuple[Node, Rules]:
+    """The page's tree and what its style sheets say of display and visibility."""
     root = Node("html")
     stack = Open(root)
-    unseen: list[str] = []
+    rules = Rules()
     at, size = 0, len(html)
 
     def text(part: str) -> None:
@@ -119,13 +264,13 @@ def parse(html: str) -> tuple[Node, list[str]]:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>|</{re.escape(tag)}$", re.I).search(html, at)
             content = html[at:end.start() if end else size]
             at = end.end() if end else size
-            if tag == "style":
-                unseen += [s.strip() for names, body in _RULE.findall(content) if _NONE.search(body)
-                           for s in names.split(",")]
+            if (tag == "style" and not stack.counts["noscript"] and not stack.counts["template"]
+                    and on_screen(attributes.get("media", ""))):
+                read_sheet(content, rules)
             node.children.append(content if tag in ("script", "style", "xmp") else unescape(content))
         elif tag not in VOID and not match[3].endswith("/") or tag in BLOCK - {"hr"}:
             stack.push(node)
-    return root, unseen
+    return root, rules
 
 
 def _close(stack: Open, tag: str) -> None:
@@ -174,21 +319,34 @@ def _end(stack: Open, closed: frozenset, border: frozenset) -> None:
         stack.cut(found)
 
 
-def _selected(node: Node, selectors: list[str]) -> bool:
-    names = {node.tag, *(f".{c}" for c in node.attributes.get("class", "").split()),
-             *([f"#{node.attributes['id']}"] if node.attributes.get("id") else [])}
-    names |= {node.tag + n for n in names if n[0] in ".#"}
-    return any(s in names for s in selectors)
+def _style(node: Node, rules: Rules, name: str) -> str:
+    """The value of display or visibility that an element's sheets and ``style`` give; empty if none."""
+    best: tuple[tuple, str] = ((), "")
+    if rules:
+        names = {node.tag, *(f".{c}" for c in node.attributes.get("class", "").split()),
+                 *([f"#{node.attributes['id']}"] if node.attributes.get("id") else [])}
+        names |= {node.tag + n for n in names if n[:1] in (".", "#")}
+        best = max((rules[n][name] for n in names if name in rules.get(n, ())), default=best)
+    if "style" in node.attributes:
+        own = [d for d in map(_declared, node.attributes["style"].split(";")) if d and d[0] == name]
+        own = [d for d in own if d[2]] or own
+        if own and (own[-1][2] or not best[0] or not best[0][0]):
+            return own[-1][1]
+    return best[1]
 
 
-def rendered_at_all(node: Node, selectors: list[str]) -> bool:
+def rendered_at_all(node: Node, rules: Rules) -> bool:
     """Whether an element has a rendering (its visibility property aside)."""
     a = node.attributes
     if node.tag in UNSEEN or "hidden" in a or node.tag == "dialog" and "open" not in a:
         return False
-    if node.tag == "input" or "style" in a and _NONE.search(a["style"]):
-        return False
-    return not (selectors and _selected(node, selectors))
+    return node.tag != "input" and _style(node, rules, "display") != "none"
+
+
+def shown(node: Node, rules: Rules, visible: bool) -> bool:
+    """Whether an element's own text is visible, inside an element that is ``visible`` or not."""
+    value = _style(node, rules, "visibility")
+    return value == "visible" if value in ("visible", "hidden", "collapse") else visible
 
 
 class Layout:
@@ -235,7 +393,7 @@ class Layout:
         self.line += parts[-1]
 
 
-def render(root: Node, selectors: list[str]) -> str:
+def render(root: Node, rules: Rules) -> str:
     """The visible text of a tree."""
     out = Layout()
     # work items: (node or text, visible, preformatted, list depth), or a function to call at an element's end
@@ -250,11 +408,9 @@ def render(root: Node, selectors: list[str]) -> str:
             if visible:
                 out.as_they_are(node) if kept else out.words(node)
             continue
-        if not rendered_at_all(node, selectors):
+        if not rendered_at_all(node, rules):
             continue
-        style = _HIDDEN.search(node.attributes["style"]) if "style" in node.attributes else None
-        if style:
-            visible = style[1].lower() == "visible"
+        visible = shown(node, rules, visible)
         tag = node.tag
         if tag == "br":
             out.end_line(always=True)
@@ -264,7 +420,7 @@ def render(root: Node, selectors: list[str]) -> str:
             continue
         if tag == "table":
             out.margin()
-            for line in table_lines(node, visible, selectors):
+            for line in table_lines(node, visible, rules):
                 out.line = line
                 out.end_line()
             out.margin()
@@ -279,7 +435,7 @@ def render(root: Node, selectors: list[str]) -> str:
             items = []
             for child in children:
                 if isinstance(child, Node) and child.tag == "li":
-                    if rendered_at_all(child, selectors):
+                    if rendered_at_all(child, rules):
                         items.append((child, f"{number}. " if tag == "ol" else "- "))
                         number += 1
                 else:
@@ -289,8 +445,9 @@ def render(root: Node, selectors: list[str]) -> str:
                     work.append((child, visible, kept, depth + 1))
                 else:
                     work.append(_item_end(out))
-                    work += [(c, visible, kept, depth + 1) for c in reversed(child.children)]
-                    work.append(_item_start(out, marker))
+                    seen = shown(child, rules, visible)
+                    work += [(c, seen, kept, depth + 1) for c in reversed(child.children)]
+                    work.append(_item_start(out, marker, seen))
             continue
         if tag in BLOCK:
             margin = tag in MARGIN and not (tag == "p" and out.marker)
@@ -307,11 +464,11 @@ def render(root: Node, selectors: list[str]) -> str:
     return "\n".join(out.lines).strip("\n")
 
 
-def _item_start(out: Layout, marker: str):
+def _item_start(out: Layout, marker: str, seen: bool):
     def run() -> None:
         out.end_line()
         out.prefix.append(" " * len(marker))
-        out.marker = marker
+        out.marker = marker if seen else ""
     return run
 
 
@@ -330,34 +487,35 @@ def _indent_end(out: Layout):
     return run
 
 
-def table_lines(table: Node, visible: bool, selectors: list[str]) -> list[str]:
+def table_lines(table: Node, visible: bool, rules: Rules) -> list[str]:
     """A table's caption and rows, the cells of a column padded to one width."""
     caption, rows = [], []
-    work = list(reversed(table.children))
+    work = [(c, visible) for c in reversed(table.children)]
     while work:
-        node = work.pop()
+        node, visible = work.pop()
         if isinstance(node, str):
-            if node.strip():
+            if visible and node.strip():
                 caption.append(" ".join(node.split()))
             continue
-        if not rendered_at_all(node, selectors):
+        if not rendered_at_all(node, rules):
             continue
+        seen = shown(node, rules, visible)
         if node.tag == "tr":
             cells = []
             for cell in node.children:
-                if isinstance(cell, Node) and rendered_at_all(cell, selectors):
+                if isinstance(cell, Node) and rendered_at_all(cell, rules):
                     span = cell.attributes.get("colspan", "1")
-                    holder = Node("div", {k: v for k, v in cell.attributes.items() if k == "style"})
+                    holder = Node("")
                     holder.children = cell.children
-                    cells.append((flat(holder, visible, selectors), int(span) if re.fullmatch(r"[1-9]\d{0,2}", span) else 1))
-                elif isinstance(cell, str) and cell.strip():
+                    cells.append((flat(holder, shown(cell, rules, seen), rules), int(span) if re.fullmatch(r"[1-9]\d{0,2}", span) else 1))
+                elif isinstance(cell, str) and seen and cell.strip():
                     caption.append(" ".join(cell.split()))
             if any(t for t, _ in cells):
                 rows.append(cells)
         elif node.tag in ("tbody", "thead", "tfoot"):
-            work += reversed(node.children)
+            work += [(c, seen) for c in reversed(node.children)]
         elif node.tag not in ("colgroup", "col"):
-            part = flat(node, visible, selectors)
+            part = flat(node, visible, rules)
             if part:
                 caption.append(part)
     widths: dict[int, int] = {}
@@ -379,7 +537,7 @@ def table_lines(table: Node, visible: bool, selectors: list[str]) -> list[str]:
     return caption + lines
 
 
-def flat(node: Node, visible: bool, selectors: list[str]) -> str:
+def flat(node: Node, visible: bool, rules: Rules) -> str:
     """The visible text of an element on one line (tables inside it included, cell by cell)."""
     parts: list[str] = []
     work: list = [(node, visible)]
@@ -389,11 +547,9 @@ def flat(node: Node, visible: bool, selectors: list[str]) -> str:
             if seen:
                 parts.append(item)
             continue
-        if not rendered_at_all(item, selectors):
+        if not rendered_at_all(item, rules):
             continue
-        style = _HIDDEN.search(item.attributes["style"]) if "style" in item.attributes else None
-        if style:
-            seen = style[1].lower() == "visible"
+        seen = shown(item, rules, seen)
         apart = item.tag in BLOCK or item.tag in ("br", "td", "th", "tr")
         if apart:
             parts.append(" ")

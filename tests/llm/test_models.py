@@ -145,6 +145,23 @@ PAGES = {
 }
 
 
+PAGES |= {  # @ blocks by what holds on a screen, visibility by selectors, the cascade
+    "<style>@media print { .nav { display:none } }</style><div class=nav>yes</div>": "yes",
+    "<style>@media (max-width:600px) { .n { display:none } } .x{display:none}</style><p class=n>yes<p class=x>no": "yes",
+    "<style>@media screen and (min-width:600px) { .n { display:none } }</style><p class=n>no<p>yes": "yes",
+    "<style>@media not print { @supports (display:grid) { .n { display:none } } }</style><p class=n>no<p>yes": "yes",
+    "<style>@media (400px <= width < 700px), (unheard: of) {.n{display:none}}</style><p class=n>yes": "yes",
+    "<style>@keyframes k { from { display:none } } @import 'a{'; /* p{display:none} */ .k{color:red}</style><p>yes": "yes",
+    "<style>.m{display:none} @media screen {.m{display:block}}</style><p class=m>yes": "yes",
+    "<style>.m{display:none!important} #i{display:block}</style><p class=m id=i>no<p>yes": "yes",
+    "<style>.n { color:red; @media print { display:none } .o { display:none } }</style><p class=n>yes": "yes",
+    "<style media=print>p{display:none}</style><noscript><style>p{display:none}</style></noscript><p>yes": "yes",
+    "<style>.h{visibility:hidden} b{visibility:visible}</style><div class=h>no <b>yes</b></div>": "yes",
+    "<style>.h{visibility:hidden}</style><ul><li class=h>no<li>yes</ul><table><tr class=h><td>no<tr><td>a<td class=h>no</table>":
+        "- yes\n\na",
+}
+
+
 @pytest.mark.parametrize("html", list(PAGES))
 def test_page_text(html):
     assert html_text.page_text(html) == PAGES[html]
