@@ -35,6 +35,8 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
                   "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search "
                   "section summary table ul caption tr xmp".split())
 MARGIN = frozenset("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 hr menu ol p pre table ul xmp".split())
+#: Elements that a head can hold; anything else but white space ends an open head.
+HEAD_PARTS = frozenset("head base basefont bgsound link meta title noframes style script noscript template".split())
 #: A start tag of the key ends open elements of the value, up to a border element.
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ENDS_P = BLOCK - frozenset("body html li dd dt caption tr legend".split())
@@ -236,6 +238,8 @@ def parse(html: str) -> tuple[Node, Rules]:
 
     def text(part: str) -> None:
         if part:
+            if stack[-1].tag == "head" and part.strip(" \t\n\r\f"):
+                stack.cut(len(stack) - 1)
             stack[-1].children.append(unescape(part) if "&" in part else part)
 
     while at < size:
@@ -275,6 +279,8 @@ def parse(html: str) -> tuple[Node, Rules]:
 
 def _close(stack: Open, tag: str) -> None:
     """An end tag closes the nearest such element, not beyond a border; a stray ``</p>`` is a paragraph."""
+    if stack[-1].tag == "head" and tag in ("body", "html", "br"):
+        stack.cut(len(stack) - 1)
     some = any(stack.counts[t] for t in (HEADINGS if tag in HEADINGS else (tag,)))
     for i in range(len(stack) - 1, 0, -1) if some else ():
         if stack[i].tag == tag or tag in HEADINGS and stack[i].tag in HEADINGS:
@@ -292,10 +298,10 @@ def _close(stack: Open, tag: str) -> None:
 
 def _imply(stack: Open, tag: str) -> None:
     """End tags and table parts that a start tag implies."""
+    if stack[-1].tag == "head" and tag not in HEAD_PARTS:
+        stack.cut(len(stack) - 1)
     if tag in ENDS_P:
         _end(stack, frozenset({"p"}) | (HEADINGS if tag in HEADINGS else frozenset()), BORDER | {"button", "li"})
-        if stack[-1].tag == "head" and tag not in UNSEEN:
-            stack.cut(len(stack) - 1)
     if tag == "body":
         _end(stack, frozenset({"head"}), frozenset())
     if tag in IMPLIED_ENDS:

@@ -162,6 +162,12 @@ PAGES |= {  # @ blocks by what holds on a screen, visibility by selectors, the c
 }
 
 
+PAGES |= {  # heads that nothing closes
+    f"<head><title>no</title>{start}yes": "yes"
+    for start in ("", "\n", "<a>", "<span>", "<font><p>", "<my-app><div>", "<li hidden>no</li>", "<svg>no</svg>", "</br>",
+                  "<meta charset=utf-8><script>no</script><noscript><p>no</noscript><template><p>no</template>", "<body>")}
+
+
 @pytest.mark.parametrize("html", list(PAGES))
 def test_page_text(html):
     assert html_text.page_text(html) == PAGES[html]
