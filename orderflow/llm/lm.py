@@ -1,10 +1,17 @@
 """Operator 10: a log-bilinear language model, trained with noise-contrastive estimation.
 
 The model predicts a word from the two before it: each context word's vector goes through the
-matrix of its place, the sum meets the output vector of every word, and a bias is added.  Its
-vocabulary is the ``MODEL_WORDS`` most frequent tokens and one class for all others; a word of that
-class has the class's probability times its smoothed share of it, so probabilities add up to one
-over all words.
+matrix of its place, the sum meets the output vector of every word, and a bias is added.  The
+first level tells the ``MODEL_WORDS`` most frequent tokens and one class for all others, the tail.
+
+The tail's words are dealt into classes of about ``CLASS_WORDS``, as many classes as their number
+asks for.  In its class, every word seen ``LEAST`` times or more has an output vector and a bias of
+its own, trained by noise-contrastive estimation on the first level's sums of all the word's
+contexts; rarer words share one vector, and have their smoothed shares of its probability.  A class
+has its smoothed share of the tail.  So a word's probability is that of the tail, times its class's
+share, times its own in the class, and probabilities add up to one over all words (those never seen
+in training count as one word, with its smoothed share).  Vectors of tail words are learnt and used
+where their class's tokens meet, and never gathered.  As context, tail words share one vector.
 
 Token counts are gathered from all training documents.  Training passes over all of them once, in
 ``ROUNDS`` rounds: in each, every partition trains a copy of the model on its documents of the
@@ -24,8 +31,9 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 from itertools import repeat
 
 import numpy as np
@@ -41,6 +49,9 @@ from orderflow.llm.words import byte_texts, slices
 MODEL_WORDS, FREQUENT = 2047, 300_000
 #: Vector length, tokens and shared noise words of a minibatch, rounds, step size.
 SIZE, BATCH, NOISE, ROUNDS, RATE = 32, 2048, 64, 3, 0.1
+#: Count from which a tail word has a vector of its own, words of a class, training tokens of a bundle
+#: of classes and least number of bundles, tokens of a class's minibatch.
+LEAST, CLASS_WORDS, BUNDLE_TOKENS, BUNDLES, CLASS_BATCH = 5, 384, 1_000_000, 64, 512
 #: Distinct words counted before a task hands them on; rows of a matrix averaged together.
 HELD_WORDS, BLOCK_ROWS = 200_000, 256
 #: The end token; no word is empty.
@@ -87,12 +98,15 @@ class Vocabulary:
     counts: np.ndarray
     total: int
     distinct: int
+    own: int  # tokens seen ``LEAST`` times or more
 
     def __post_init__(self) -> None:
         self.model_words = min(MODEL_WORDS, len(self.words))
         told = self.counts[:self.model_words]
         self.other_total = self.total - int(told.sum())
         self.other_distinct = self.distinct - self.model_words
+        self.classes = max(1, -(-(self.own - int((told >= LEAST).sum())) // CLASS_WORDS))
+        self.bundles = min(self.classes, max(BUNDLES, -(-self.other_total // BUNDLE_TOKENS)))
 
     @property
     def base_norm(self) -> float:
@@ -112,7 +126,8 @@ def gathered(docs: DataFrame) -> tuple[DataFrame, Vocabulary]:
     """Counts of all training tokens (a written table word, c), and the bounded vocabulary."""
     counts = written(docs.filter(~held_out()).select("text").mapInArrow(token_totals, "word binary, n long")
                      .groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
-    sums = counts.agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
+    sums = counts.agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("distinct"),
+                      F.count(F.when(F.col("c") >= LEAST, True)).alias("own")).first()
     # the frequent words by a threshold of counts, found from a histogram of 64 bins an
     # octave, so that no task gathers candidates for a top list
     bins = counts.groupBy(F.floor(F.log2("c") * 64).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -127,7 +142,12 @@ def gathered(docs: DataFrame) -> tuple[DataFrame, Vocabulary]:
              for w, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist())]
     found.sort(key=lambda x: (x[0] != END, -x[1], x[0]))  # the end first, so that its id is fixed
     return counts, Vocabulary([w for w, _ in found], np.array([c for _, c in found], np.int64),
-                              sums["total"] or 0, sums["distinct"])
+                              sums["total"] or 0, sums["distinct"], sums["own"])
+
+
+def word_hash(word: bytes) -> int:
+    """64 bits of a word that has no number; the first is set, so that no number is equal."""
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little") | 1 << 63
 
 
 _NUMBERS: dict[str, dict[bytes, int]] = {}
@@ -154,7 +174,7 @@ def encoded(name: str, vocabulary: Broadcast):
             number = np.fromiter(map(numbers.get, flat, repeat(-1)), np.int64, len(flat))
             ends = np.cumsum(sizes)
             told = (number >= 0) & (number < known.model_words)
-            ids = np.where(told, number + 1, OTHER).astype("<u2")
+            ids = (number + 1).astype("<u4")  # 0: a word without a number
             owner = np.repeat(np.arange(len(lists)), sizes)
 
             def sums(values: np.ndarray) -> np.ndarray:
@@ -176,6 +196,12 @@ def encoded(name: str, vocabulary: Broadcast):
     return run
 
 
+def first_level(ids: Iterable[bytes], model_words: int) -> list[np.ndarray]:
+    """The model's classes of texts' ids."""
+    found = (np.frombuffer(x, "<u4").astype(np.int64) for x in ids)
+    return [np.where(x <= model_words, x, OTHER) for x in found]
+
+
 @dataclass
 class LogBilinear:
     """Parameters: input vectors, a matrix for each context place, output vectors and biases."""
@@ -291,7 +317,7 @@ def trained_copies(model: Broadcast, unigram: Broadcast, number: int):
         trainer = Trainer(own, unigram.value, 1000 * TaskContext.get().partitionId() + number)
         seen = 0
         for batch in batches:
-            ids = [np.frombuffer(x, "<u2").astype(np.int64) for x in batch.column("ids").to_pylist()]
+            ids = first_level(batch.column("ids").to_pylist(), len(unigram.value) - 1)
             word, near, far = contexts(ids)
             order = trainer.rng.permutation(len(word))
             for i in range(0, len(word), BATCH):
@@ -352,7 +378,7 @@ def scored(name: str, model: Broadcast):
             _TABLES[name] = model.value.log_normalised()
         near_scores, far_scores, norms = _TABLES[name]
         for batch in batches:
-            ids = [np.frombuffer(x, "<u2").astype(np.int64) for x in batch.column("ids").to_pylist()]
+            ids = first_level(batch.column("ids").to_pylist(), len(norms) - 1)
             word, near, far = contexts(ids, min(END_ID, len(norms) - 1))
             logs = (near_scores[near, word] + far_scores[far, word] - norms[near, far]).astype(np.float64)
             owner = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
@@ -362,6 +388,136 @@ def scored(name: str, model: Broadcast):
     return run
 
 
+TAIL = np.dtype([("row", "<i8"), ("key", "<u8"), ("near", "<u2"), ("far", "<u2"), ("held", "u1")])
+
+
+def packed_tokens(tokens: np.ndarray) -> bytes:
+    """Records of ``TAIL``, byte by byte of all records, compressed."""
+    planes = np.ascontiguousarray(tokens.view(np.uint8).reshape(len(tokens), TAIL.itemsize).T)
+    return len(tokens).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked_tokens(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], n * TAIL.itemsize, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(TAIL.itemsize, n).T).view(TAIL).ravel()
+
+
+def tail_tokens(model_words: int, classes: int, bundles: int):
+    """``mapInArrow`` function: (row, held_out, ids, rare) -> (bundle, data), the tail's tokens with their contexts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def handed() -> pa.RecordBatch:
+            tokens = np.concatenate(held)
+            bundle = (tokens["key"] % classes % bundles).astype(np.int64)
+            tokens = tokens[np.argsort(bundle, kind="stable")]
+            sizes = np.bincount(bundle, minlength=bundles)
+            found, ends = np.flatnonzero(sizes), np.cumsum(sizes)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.int32()), pa.array([packed_tokens(tokens[ends[b] - sizes[b]:ends[b]]) for b in found],
+                                                       pa.binary())], names=["bundle", "data"])
+
+        held: list[np.ndarray] = []
+        for batch in batches:
+            data = batch.column("ids").to_pylist()
+            ids = first_level(data, model_words)
+            word, near, far = contexts(ids)
+            at = np.flatnonzero(word == OTHER)
+            owner = np.repeat(np.arange(len(ids)), [len(i) for i in ids])[at]
+            tokens = np.empty(len(at), TAIL)
+            tokens["row"] = batch.column("row").to_numpy()[owner]
+            tokens["held"] = batch.column("held_out").to_numpy(zero_copy_only=False)[owner]
+            tokens["near"], tokens["far"] = near[at], far[at]
+            key = np.frombuffer(b"".join(data), "<u4")[at].astype("<u8")  # a word's number, or else its hash
+            key[key == 0] = [word_hash(w) for x in batch.column("rare").to_pylist() for w in x]
+            tokens["key"] = key
+            held.append(tokens)
+            if sum(map(len, held)) >= 500_000:
+                yield handed()
+                held.clear()
+        if sum(map(len, held)):
+            yield handed()
+    return run
+
+
+def class_outputs(hidden: np.ndarray, word: np.ndarray, shares: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Output vectors and biases of a class's words, trained on (hidden, word) by noise-contrastive estimation."""
+    rng = np.random.default_rng(seed)
+    outputs, bias = np.zeros((len(shares), hidden.shape[1]), np.float32), np.log(shares).astype(np.float32)
+    squares = [np.full_like(outputs, 1e-2), np.full_like(bias, 1e-2)]
+    drawn_from, log_noise = np.cumsum(shares), (np.log(shares) + np.log(NOISE)).astype(np.float32)
+    for _ in range(ROUNDS):
+        order = rng.permutation(len(word))
+        for i in range(0, len(word), CLASS_BATCH):
+            at = order[i:i + CLASS_BATCH]
+            h, w = hidden[at], word[at]
+            noise = np.minimum(np.searchsorted(drawn_from, rng.random(NOISE) * drawn_from[-1]), len(shares) - 1)
+            score = np.einsum("ij,ij->i", h, outputs[w]) + bias[w] - log_noise[w]
+            scores = h @ outputs[noise].T + (bias[noise] - log_noise[noise])
+            wrong = -1 / (1 + np.exp(np.clip(score, -30, 30)))
+            doubt = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
+            grads = [np.zeros_like(outputs), np.bincount(w, weights=wrong, minlength=len(bias)).astype(np.float32)]
+            added_rows(grads[0], w, wrong[:, None] * h)
+            np.add.at(grads[0], noise, doubt.T @ h)
+            np.add.at(grads[1], noise, doubt.sum(axis=0))
+            for part, square, grad in zip((outputs, bias), squares, grads):
+                grad /= len(at) ** 0.5
+                square += grad * grad
+                part -= RATE * grad / np.sqrt(square)
+    return outputs, bias
+
+
+def class_gains(tokens: np.ndarray, model: LogBilinear, seed: int) -> np.ndarray:
+    """Log of each token's probability in its class over its smoothed share of it; 0 for words not seen in training."""
+    keys, word = np.unique(tokens["key"], return_inverse=True)
+    learnt = tokens["held"] == 0
+    counts = np.bincount(word[learnt], minlength=len(keys))
+    own, rarer = counts >= LEAST, (counts > 0) & (counts < LEAST)
+    # slots: the words with vectors of their own, then all rarer ones
+    slots = np.append(counts[own] + 1.0, [(counts[rarer] + 1.0).sum()] if rarer.any() else [])
+    if len(slots) < 2:
+        return np.zeros(len(tokens))
+    shares = slots / slots.sum()
+    slot = np.where(own, np.cumsum(own) - 1, int(own.sum()))[word]
+    hidden = model.inputs[tokens["near"]] @ model.places[0] + model.inputs[tokens["far"]] @ model.places[1]
+    outputs, bias = class_outputs(hidden[learnt], slot[learnt], shares, seed)
+    seen = np.flatnonzero(counts[word] > 0)
+    gains = np.zeros(len(tokens))
+    for i in range(0, len(seen), BATCH):
+        at = seen[i:i + BATCH]
+        scores = hidden[at] @ outputs.T + bias
+        scores -= scores.max(axis=1, keepdims=True)
+        told = scores[np.arange(len(at)), slot[at]]
+        gains[at] = told - np.log(np.exp(scores).sum(axis=1)) - np.log(shares)[slot[at]]
+    return gains
+
+
+GAINS = "row long, gain double"
+
+
+def bundle_gains(classes: int, model: Broadcast):
+    """``applyInArrow`` function: a bundle's tokens -> the sum of gains of every row that has some of them."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        tokens = np.concatenate([unpacked_tokens(x) for x in table.column("data").to_pylist()])
+        tokens.sort(order=["row", "key", "near", "far"])  # the same order, however the tokens came
+        label = tokens["key"] % classes
+        order = np.argsort(label, kind="stable")
+        gains = np.zeros(len(tokens))
+        for at in np.split(order, np.flatnonzero(np.diff(label[order])) + 1):
+            gains[at] = class_gains(tokens[at], model.value, int(label[at[0]]))
+        rows, owner = np.unique(tokens["row"], return_inverse=True)
+        return pa.table({"row": rows, "gain": np.bincount(owner, weights=gains)})
+    return run
+
+
+def tail_gains(texts: DataFrame, vocabulary: Vocabulary, model: LogBilinear) -> DataFrame:
+    """(row, gain): what the vectors of the tail's words add to the natural log probability of a row."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    dealt = (texts.filter("others > 0").select("row", "held_out", "ids", "rare")
+             .mapInArrow(tail_tokens(vocabulary.model_words, vocabulary.classes, vocabulary.bundles), "bundle int, data binary"))
+    return (dealt.groupBy("bundle").applyInArrow(bundle_gains(vocabulary.classes, shared), GAINS)
+            .groupBy("row").agg(F.sum("gain").alias("gain")))
+
+
 def scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
     spark = docs.sparkSession
@@ -378,9 +534,12 @@ def scores(docs: DataFrame) -> DataFrame:
     told = texts.select("row", "ids").mapInArrow(scored(name, spark.sparkContext.broadcast(model)),
                                                  "row long, told double")
     rare_log = F.coalesce("rare_log", F.lit(0.0))
-    return (texts.drop("ids", "rare").join(told, "row").join(rare, "row", "left").select(
+    gain = tail_gains(texts, vocabulary, model)
+    parts = texts.drop("ids", "rare").join(told, "row").join(rare, "row", "left").join(gain, "row", "left")
+    return (parts.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(vocabulary.total).cast("long").alias("train_tokens"),
         (F.col("base") + rare_log - F.col("n_tokens") * F.lit(vocabulary.base_norm)).alias("base_score"),
-        (F.col("told") * F.lit(float(np.log10(np.e))) + F.col("other") + rare_log
+        ((F.col("told") + F.coalesce("gain", F.lit(0.0))) * F.lit(float(np.log10(np.e)))
+         + F.col("other") + rare_log
          - F.col("others") * F.lit(vocabulary.other_norm)).alias("score")))

@@ -68,6 +68,33 @@ def test_probabilities_add_up_to_one():
     assert np.allclose(p.sum(axis=2), 1, atol=1e-4) and p[2, :, 3].min() > 0.6
 
 
+def test_words_of_the_tail_are_told_by_their_context(spark, spoken, monkeypatch):
+    monkeypatch.setattr(lm, "MODEL_WORDS", 20)  # most words are in the tail, half of those without a number
+    monkeypatch.setattr(lm, "FREQUENT", 100)
+    docs = spark.createDataFrame(spoken[:400] * 4, "doc_id long, text string")
+    held = [r for r in lm.scores(docs).collect() if r.held_out and r.doc_id < 400]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.01 * sum(r.n_tokens for r in held)
+
+
+def test_a_class_adds_up_to_its_share():
+    rng = np.random.default_rng(2)
+    model = lm.LogBilinear.fresh(np.full(50, 0.02))
+    learnt = np.zeros(4000, lm.TAIL)
+    learnt["near"], learnt["far"] = rng.integers(0, 50, (2, 4000))
+    learnt["key"] = np.where(learnt["near"] < 25, 7, rng.integers(0, 30, 4000))  # 7 follows half of the words
+    learnt["key"][:6] = [100, 100, 101, 102, 103, 103]  # rarer words
+    words, counts = np.unique(learnt["key"], return_counts=True)
+    asked = np.zeros(2 * (len(words) + 1), lm.TAIL)
+    asked["held"], asked["key"] = 1, [*words, 999] * 2  # 999 is new
+    asked["near"][len(words) + 1:] = 40
+    gains = lm.class_gains(np.append(learnt, asked), model, 1)[len(learnt):].reshape(2, -1)
+    shares = (counts + 1) / (counts + 1).sum()
+    assert np.allclose((shares * np.exp(gains[:, :-1])).sum(axis=1), 1, atol=1e-4) and not gains[:, -1].any()
+    assert gains[0, 7] > gains[1, 7] and np.ptp(gains[0, -5:-1]) < 1e-5
+    tokens = np.append(learnt, asked)
+    assert (lm.unpacked_tokens(lm.packed_tokens(tokens)) == tokens).all()
+
+
 # ---------------------------------------------------------------- embeddings
 def brute(ids, vectors):
     ok = [v is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v) and any(v) for v in vectors]
