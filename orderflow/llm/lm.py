@@ -377,7 +377,7 @@ def scored(name: str, model: Broadcast):
             _TABLES.clear()
             _TABLES[name] = model.value.log_normalised()
         near_scores, far_scores, norms = _TABLES[name]
-        for batch in batches:
+        for batch in slices(batches, "ids"):
             ids = first_level(batch.column("ids").to_pylist(), len(norms) - 1)
             word, near, far = contexts(ids, min(END_ID, len(norms) - 1))
             logs = (near_scores[near, word] + far_scores[far, word] - norms[near, far]).astype(np.float64)
@@ -417,7 +417,7 @@ def tail_tokens(model_words: int, classes: int, bundles: int):
                                                        pa.binary())], names=["bundle", "data"])
 
         held: list[np.ndarray] = []
-        for batch in batches:
+        for batch in slices(batches, "ids"):
             data = batch.column("ids").to_pylist()
             ids = first_level(data, model_words)
             word, near, far = contexts(ids)
@@ -480,15 +480,18 @@ def class_gains(tokens: np.ndarray, model: LogBilinear, seed: int) -> np.ndarray
     slot = np.where(own, np.cumsum(own) - 1, int(own.sum()))[word]
     hidden = model.inputs[tokens["near"]] @ model.places[0] + model.inputs[tokens["far"]] @ model.places[1]
     outputs, bias = class_outputs(hidden[learnt], slot[learnt], shares, seed)
-    seen = np.flatnonzero(counts[word] > 0)
-    gains = np.zeros(len(tokens))
-    for i in range(0, len(seen), BATCH):
-        at = seen[i:i + BATCH]
-        scores = hidden[at] @ outputs.T + bias
-        scores -= scores.max(axis=1, keepdims=True)
-        told = scores[np.arange(len(at)), slot[at]]
-        gains[at] = told - np.log(np.exp(scores).sum(axis=1)) - np.log(shares)[slot[at]]
-    return gains
+    # scores are normalised once for each pair of context words
+    pairs, first, pair = np.unique(tokens["near"].astype(np.int64) << 16 | tokens["far"],
+                                   return_index=True, return_inverse=True)
+    norms = np.empty(len(pairs), np.float32)
+    for i in range(0, len(pairs), CLASS_BATCH):
+        scores = hidden[first[i:i + CLASS_BATCH]] @ outputs.T + bias
+        top = scores.max(axis=1)
+        scores -= top[:, None]
+        norms[i:i + CLASS_BATCH] = np.log(np.exp(scores, out=scores).sum(axis=1)) + top
+    gains = np.einsum("ij,ij->i", hidden, outputs[np.minimum(slot, len(slots) - 1)]) - norms[pair]
+    gains += (bias - np.log(shares))[np.minimum(slot, len(slots) - 1)]
+    return np.where(counts[word] > 0, gains, 0.0)
 
 
 GAINS = "row long, gain double"
@@ -498,7 +501,7 @@ def bundle_gains(classes: int, model: Broadcast):
     """``applyInArrow`` function: a bundle's tokens -> the sum of gains of every row that has some of them."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
         tokens = np.concatenate([unpacked_tokens(x) for x in table.column("data").to_pylist()])
-        tokens.sort(order=["row", "key", "near", "far"])  # the same order, however the tokens came
+        tokens = tokens[np.argsort(tokens["row"], kind="stable")]  # the same order, however the rows came
         label = tokens["key"] % classes
         order = np.argsort(label, kind="stable")
         gains = np.zeros(len(tokens))
