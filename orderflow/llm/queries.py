@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflow.llm import (decontamination, embedding_dedup, html_text, lm, mixing, near_copies, pii,
-                           token_counts, token_files, toxicity)
+from orderflow.llm import (decontamination, embedding_dedup, exact_dedup, html_text, lm, mixing, near_copies,
+                           periodic_runs, pii, spelling, token_counts, token_files, toxicity)
 from orderflow.llm.base import table
 from orderflow.session import scratch_path
 
@@ -61,9 +61,22 @@ def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.op11(table(spark, sf_dir, "documents"))
+
+
+def op12_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.op12(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.op13(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_mixing, op2_html_text, op3_toxicity, op4_token_counts, op5_embedding_dedup, op6_near_copies,
-             op7_token_files, op8_decontamination, op9_pii, op10_log_bilinear]
+             op7_token_files, op8_decontamination, op9_pii, op10_log_bilinear, op11_spelling_groups,
+             op12_exact_copies, op13_periodic_runs]
     return {f.__name__: f for f in found}
 
 
