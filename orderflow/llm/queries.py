@@ -129,6 +129,95 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM doc LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)"""
 
 
+#: CRC-32 in SQL: the table of a byte's remainders, and the sum of the text {s} by it (``t`` is the table).
+_CRC_TABLE = """step(b, k, v) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM step WHERE k < 8
+), crc AS (SELECT list(v ORDER BY b) AS t FROM step WHERE k = 8)"""
+_CRC = """xor(4294967295, list_reduce(list_transform(range(1, len(hex(encode({s}))), 2),
+    lambda i: CAST('0x' || substr(hex(encode({s})), i, 2) AS BIGINT)),
+    lambda a, x: xor(t[(xor(a, x) & 255) + 1], a >> 8), CAST(4294967295 AS BIGINT)))"""
+
+#: Near words by their strings with one letter left out: two words of one length that agree without
+#: the letter at the same place, or a word that is another without a letter.
+OP11_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE}, run AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, w AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS w FROM documents)
+  WHERE length(w) >= 7 GROUP BY ALL
+), hashed AS (
+  SELECT run, n, {_CRC.format(s="(id || ':' || run)")} AS h FROM run, crc
+), word AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         CAST(sum(n) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2
+), less AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)
+), shorter AS (
+  SELECT DISTINCT less.word AS a, less.n AS a_n, word.word AS b, word.n AS b_n FROM less JOIN word ON less.rest = word.word
+), near AS (
+  SELECT x.word AS a, y.word AS b, y.n AS b_n FROM less x JOIN less y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+  UNION SELECT a, b, b_n FROM shorter UNION SELECT b, a, a_n FROM shorter
+), best AS (
+  SELECT a, count(*) AS n_near, arg_min(b, (-b_n, b)) AS b, max(b_n) AS b_n FROM near GROUP BY a
+), linked AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN b_n >= 10 * n THEN b END AS form,
+         CASE WHEN b_n >= 10 * n THEN b_n END AS form_n
+  FROM word LEFT JOIN best ON best.a = word.word
+), way(word, here) AS (
+  SELECT word, word FROM linked
+  UNION ALL
+  SELECT way.word, linked.form FROM way JOIN linked ON linked.word = way.here WHERE linked.form IS NOT NULL
+)
+SELECT linked.word, linked.form, way.here AS root, linked.n, linked.n_near, linked.form_n
+FROM linked JOIN way ON way.word = linked.word JOIN linked last ON last.word = way.here AND last.form IS NULL"""
+
+OP12_SQL = """
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY sha) AS group_size,
+       row_number() OVER best = 1 AS kept, sha AS text_sha256
+FROM (SELECT doc_id, length(coalesce(text, '')) AS points,
+             sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g')) AS sha FROM documents)
+WINDOW best AS (PARTITION BY sha ORDER BY points DESC, doc_id NULLS LAST)"""
+
+#: Every pair of equal words of a document, by distance: stretches of neighbouring pairs are the
+#: candidates, and of equal stretches the smallest distance is the period.
+OP13_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE}, doc AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+         {_CRC.format(s="coalesce(CAST(doc_id AS VARCHAR), '')")} AS h
+  FROM documents, crc
+), dealt AS (
+  SELECT rid, len(w) AS n, w, h, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM doc
+), word AS (
+  SELECT rid, n, i, CASE WHEN i >= a THEN w[a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) + 1] ELSE w[i + 1] END AS w
+  FROM (SELECT *, unnest(range(n)) AS i FROM dealt)
+), same AS (
+  SELECT x.rid, x.i, y.i - x.i AS q FROM word x JOIN word y ON x.rid = y.rid AND x.w = y.w AND y.i > x.i AND 2 * (y.i - x.i) <= x.n
+), stretch AS (
+  SELECT rid, q, min(i) AS s, count(*) + q AS k
+  FROM (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM same)
+  GROUP BY rid, q, island
+), run AS (
+  SELECT rid, s, k, min(q) AS q FROM stretch WHERE k >= greatest(12, 2 * q) GROUP BY rid, s, k
+), listed AS (
+  SELECT rid, count(*) AS n_runs, arg_min({{'s': s, 'k': k, 'q': q}}, (-k, s, q)) AS best,
+         string_agg(s || ',' || k || ',' || q || chr(10), '' ORDER BY s, q) AS runs
+  FROM run GROUP BY rid
+), gone AS (
+  SELECT DISTINCT rid, unnest(range(s + q, s + k)) AS i FROM run
+), left_over AS (
+  SELECT rid, string_agg(w, ' ' ORDER BY i) AS words FROM word ANTI JOIN gone USING (rid, i) GROUP BY rid
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.k AS length, best.q AS period,
+       1000 * best.k // best.q AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256,
+       sha256(coalesce(words, '')) AS collapsed_sha256
+FROM doc LEFT JOIN listed USING (rid) LEFT JOIN left_over USING (rid)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express; tests hold the others against plain computations."""
-    return {"op5_embedding_dedup": OP5_SQL, "op8_decontamination": OP8_SQL}
+    return {"op5_embedding_dedup": OP5_SQL, "op8_decontamination": OP8_SQL, "op11_spelling_groups": OP11_SQL,
+            "op12_exact_copies": OP12_SQL, "op13_periodic_runs": OP13_SQL}
