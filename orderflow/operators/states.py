@@ -123,14 +123,20 @@ def upsert_view(history: DataFrame) -> DataFrame:
             .select(*history.columns))
 
 
-def current_state(history: DataFrame) -> DataFrame:
-    """Latest state per order: the one decided last (``decided_at``; where that is missing, by
-    ``order_time``), ties broken by ``state_id``.  One aggregate, no window."""
+def latest_state(history: DataFrame) -> DataFrame:
+    """The row of each order decided last (``decided_at``; where that is missing, by
+    ``order_time``), ties broken by ``state_id``.  One aggregate, no window; merging its own
+    results with more rows gives what all rows give."""
     others = [c for c in history.columns if c not in ("order_id",)]
     when = [c for c in (DECIDED, "order_time") if c in history.columns]
     latest = F.max_by(F.struct(*others), F.struct(*when, "state_id"))
     return (history.groupBy("order_id").agg(latest.alias("_s"))
-            .select("order_id", *[F.col(f"_s.{c}").alias(c) for c in others if c != DECIDED]))
+            .select("order_id", *[F.col(f"_s.{c}").alias(c) for c in others]))
+
+
+def current_state(history: DataFrame) -> DataFrame:
+    """Latest state per order, without the time of its decision."""
+    return latest_state(history).drop(DECIDED)
 
 
 def multi_state_orders(history: DataFrame) -> DataFrame:

@@ -3,8 +3,8 @@
 Each stage is written as a parquet table under one root in the shared checkpoint folder and
 the next stage reads that table: the written tables cut lineage (a lost executor recomputes
 one stage, not the pipeline), and each is a durable intermediate log like the streaming
-stages'.  The history table is partitioned by a hash bucket of ``order_id`` so that a point
-lookup reads one partition folder (partition pruning), like a partition-key read.
+stages'.  The history is a keyed table (``plans.keyed``): a run makes its next version, which holds
+this run's states alone, and a point lookup reads one bucket, like a partition-key read.
 """
 
 from __future__ import annotations
@@ -74,7 +74,7 @@ def write_report(spark: SparkSession, t: BackfillTables) -> None:
 
 
 def read_table(spark: SparkSession, tables: BackfillTables, name: str) -> DataFrame:
-    return spark.read.parquet(tables.path(name))
+    return hi.read(spark, tables.path(name)) if name == "history" else spark.read.parquet(tables.path(name))
 
 
 def lookup(spark: SparkSession, tables: BackfillTables, order_id: str) -> DataFrame:

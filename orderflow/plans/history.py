@@ -1,77 +1,61 @@
-"""The history table's layout, shared by the stream and the backfill.
+"""The history table and the current-state table, shared by the stream and the backfill.
 
-Rows are partitioned by a hash bucket of ``order_id`` and sorted by it inside each file, so a point
-lookup reads one bucket and Parquet's statistics skip most of it.  The number of buckets is stored
-beside the table and read back, so a reader cannot ask with another number.
+Both are ``keyed.KeyedTable``s by ``order_id``.  The history has one row per ``(order_id,
+state_id)``: equal keys carry equal states, so merging drops copies.  The current-state table has
+one row per order, the state decided last: merging keeps the latest, so a decision that arrives
+late, out of order or twice changes nothing that it should not.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import states as st
+from . import keyed
+from .keyed import BUCKET, BUCKETS, KeyedTable  # noqa: F401  (the layout's names)
 
-#: Buckets of a new table; size it so that a bucket of the final table is a few files.
-BUCKETS = 64
-BUCKET = "order_bucket"
 
+def history(path: str, buckets: int = BUCKETS) -> KeyedTable:
+    return KeyedTable(path, st.upsert_view, buckets=buckets)
 
-def order_bucket(order_id: Column | str, buckets: int) -> Column:
-    c = F.col(order_id) if isinstance(order_id, str) else order_id
-    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
 
+def current(path: str, buckets: int = BUCKETS) -> KeyedTable:
+    return KeyedTable(path, st.latest_state, buckets=buckets)
 
-def _layout(path: str) -> str:
-    return f"{path.rstrip('/')}/_layout"  # folders that begin with _ are no data to Spark's readers
+
+def order_bucket(order_id: Column | str, buckets: int) -> Column:
+    return keyed.key_bucket(order_id, buckets)
 
 
 def stored_buckets(spark: SparkSession, path: str) -> int | None:
     """The bucket count stored with a table, or None where there is no table yet."""
-    try:
-        return spark.read.schema("buckets int").parquet(_layout(path)).first()["buckets"]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def write(rows: DataFrame, path: str, buckets: int = BUCKETS, extra: Sequence[str] = ()) -> None:
-    """Add ``rows`` to the table, replacing the partitions of equal ``extra`` columns.
-
-    A table that exists keeps its own bucket count.  REBALANCE lets AQE split a bucket that one
-    order makes large and merge small ones.
-    """
-    spark = rows.sparkSession
-    stored = stored_buckets(spark, path)
-    if stored is None:
-        stored = buckets
-        spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(_layout(path))
-    (rows.withColumn(BUCKET, order_bucket("order_id", stored)).hint("rebalance", BUCKET)
-     .sortWithinPartitions(BUCKET, "order_id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*extra, BUCKET).parquet(path))
+    last = history(path).snapshot(spark)
+    return last.buckets if last else None
+
+
+def write(rows: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """``rows`` are the history from now on; nothing of an earlier one stays."""
+    history(path, buckets).replace(rows)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """One row per ``(order_id, state_id)``."""
-    return st.upsert_view(spark.read.parquet(path).select(*st.HISTORY_COLUMNS, st.DECIDED))
+    return history(path).read(spark).select(*st.HISTORY_COLUMNS, st.DECIDED)
 
 
 def lookup(spark: SparkSession, path: str, order_id: str) -> DataFrame:
-    """All states of one order: the literal key's bucket is constant-folded, so one partition is
-    read and the equality reaches the Parquet scan."""
-    buckets = stored_buckets(spark, path)
-    if buckets is None:
-        raise ValueError(f"no history table at {path}")
-    rows = spark.read.parquet(path).filter(
-        (F.col(BUCKET) == order_bucket(F.lit(order_id), buckets)) & (F.col("order_id") == order_id))
-    return st.upsert_view(rows.select(*st.HISTORY_COLUMNS, st.DECIDED)).select("order_id", "order_status", "state_id")
-
-
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """The keyed table of ``path``, with its many small batches, written to ``target`` as one."""
-    write(read(spark, path), target, stored_buckets(spark, path) or BUCKETS)
+    """All states of one order."""
+    return history(path).lookup(spark, order_id).select("order_id", "order_status", "state_id")
+
+
+def lookup_many(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
+    """All states of the orders of a key table."""
+    return history(path).lookup_many(spark, keys).select("order_id", "order_status", "state_id")
+
+
+def compact(spark: SparkSession, path: str, target: str | None = None) -> None:
+    """Merge the table's folders into one, in place or as a new table at ``target``."""
+    if target is None:
+        history(path).compact(spark, fan_in=1)
+    else:
+        write(read(spark, path), target, stored_buckets(spark, path) or BUCKETS)

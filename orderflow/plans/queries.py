@@ -199,13 +199,14 @@ def history_table(spark, sf_dir):
 
 @query
 def order_lookup(spark, sf_dir):
-    """Point lookups by partition key, for the keys of every urgent order (a semi-join)."""
+    """Point lookups by partition key, for the keys of every urgent order: the buckets that hold one
+    of them are read, then a semi-join."""
     flow = EventFlow(spark, sf_dir)
     path = scratch_path(spark, "lookup-history")  # the written, bucketed history
     hi.write(st.upsert_view(flow.history), path, buckets=8)
     keys = flow.table("orders").filter(F.col("o_orderpriority") == "1-URGENT").select(
         F.concat(F.lit("ORD-"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0")).alias("order_id"))
-    return st.lookup_many(hi.read(spark, path), keys)
+    return hi.lookup_many(spark, path, keys)
 
 
 @query

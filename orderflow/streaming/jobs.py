@@ -148,6 +148,11 @@ def run_history(records: DataFrame, history_path: str, checkpoint: str,
                   trigger=trigger)
 
 
+def run_current(records: DataFrame, table_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """State records -> the table of every order's current state."""
+    return _start(st.parse_states(records), checkpoint, sinks.upsert_current(table_path), trigger=trigger)
+
+
 # ----------------------------------------------------------------------------- pipeline
 @dataclass
 class PipelinePaths:
