@@ -66,7 +66,7 @@ class Table:
 
 
 def encode(ids: np.ndarray, table: Table) -> dict:
-    """One block: words, final states, checkpoints (row, word position, states) and a checksum."""
+    """One block: words, final states and checkpoints (row, word position, states)."""
     lanes = lanes_for(len(ids))
     rows = -(-len(ids) // lanes)
     filled = np.zeros(rows * lanes, np.uint32)
@@ -102,14 +102,64 @@ def encode(ids: np.ndarray, table: Table) -> dict:
     marks.reverse()
     return {"lanes": lanes, "payload": payload, "states": state.astype("<u8").tobytes(),
             "mark_rows": [r for r, _, _ in marks], "mark_words": [len(words) - w for _, w, _ in marks],
-            "mark_states": b"".join(s.astype("<u8").tobytes() for _, _, s in marks),
-            "checksum": zlib.crc32(payload)}
-
-
-def decode(block: dict, n: int, table: Table, mark: int | None = None, rows: int | None = None) -> np.ndarray:
-    """The ids of a block of ``n``; from checkpoint ``mark`` on and for ``rows`` rows, if given."""
-    if zlib.crc32(block["payload"]) != block["checksum"]:
-        raise ValueError("a block's checksum does not match")
+            "mark_states": b"".join(s.astype("<u8").tobytes() for _, _, s in marks)}
+
+
+def checksum(*parts: bytes | int | None | list) -> int:
+    """CRC-32 of all parts; numbers count as 64-bit integers, a null as a mark of its own, lists by
+    their length and items, so that no part can pass for another."""
+    crc = 0
+    for part in parts:
+        if isinstance(part, bytes):
+            crc = zlib.crc32(part, zlib.crc32(len(part).to_bytes(8, "little"), crc))
+        elif isinstance(part, list):
+            known = np.array([x is not None for x in part], np.uint8)
+            items = np.array([x or 0 for x in part], "<i8")
+            crc = checksum(crc, len(part), known.tobytes(), items.tobytes())
+        else:
+            crc = zlib.crc32(int(part).to_bytes(8, "little", signed=True), crc)
+    return crc
+
+
+def crc_of_both(first: int, second: int, size: int) -> int:
+    """CRC-32 of two strings in a row from their own, the second having ``size`` bytes.
+
+    Appending a zero byte is linear over the bits of the sum, so ``size`` of them are applied by
+    repeated squaring of that map; the second string's sum is then added.
+    """
+    column = [1 << bit for bit in range(32)]
+    step = [_with_zero_bit(c) for c in column]
+    for _ in range(3):  # a zero bit, two, four, eight
+        step = [_applied(step, c) for c in step]
+    while size:
+        if size & 1:
+            first = _applied(step, first)
+        step = [_applied(step, c) for c in step]
+        size >>= 1
+    return first ^ second
+
+
+def _with_zero_bit(crc: int) -> int:
+    return crc >> 1 ^ (0xEDB88320 if crc & 1 else 0)
+
+
+def _applied(columns: list[int], value: int) -> int:
+    out, bit = 0, 0
+    while value:
+        if value & 1:
+            out ^= columns[bit]
+        value, bit = value >> 1, bit + 1
+    return out
+
+
+def decode(block: dict, n: int, table: Table, mark: int | None = None, rows: int | None = None,
+           last: bool = True) -> np.ndarray:
+    """The ids of a block of ``n``; from checkpoint ``mark`` on and for ``rows`` rows, if given.
+
+    A stretch between two checkpoints is a block with ``last=False``: its states end anywhere.
+
+    What is decoded has to be sound: the files' reader holds ``checksum`` against the block first.
+    """
     lanes = block["lanes"]
     words = np.frombuffer(block["payload"], "<u4").astype(np.uint64)
     row, at = (0, 0) if mark is None else (block["mark_rows"][mark], block["mark_words"][mark])
@@ -129,4 +179,6 @@ def decode(block: dict, n: int, table: Table, mark: int | None = None, rows: int
         if len(low):
             state[low] = (state[low] << WORD) | words[at:at + len(low)]
             at += len(low)
+    if last and end == total and (at != len(words) or (state != LOW).any()):
+        raise ValueError("a block does not end as it began")
     return table.symbol[slots.ravel()][:n - row * lanes]

@@ -15,15 +15,10 @@ import numpy as np
 
 #: Chunks kept per worker; the memory is emptied when it is full (about 300 bytes a chunk).
 KEPT_CHUNKS = 500_000
-#: Pieces kept between batches, likewise.
-KEPT_PIECES = 100_000
 #: Texts are encoded together up to this many characters.
 BATCH_CHARS = 400_000
-#: The byte-level split pattern of chunks, in general and for ASCII (fixed values).
-PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
-ASCII_PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+"
-
-
+#: New chunks that the library is asked for in one text (longer ones cost it more a chunk).
+ROW_CHUNKS = 100
 def byte_alphabet() -> dict[int, int]:
     """Code point that stands for each byte: itself where visible, else the next from 256 on."""
     visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -38,26 +33,31 @@ class ChunkEncoder:
     """Ids (``byte_level``) or counts of whole texts under one tokenizer file.
 
     Byte-level vocabularies attach a preceding blank to the next chunk; a line feed between two
-    chunks is a token of its own.  Other vocabularies drop white space.
+    chunks is a token of its own; so the library encodes many new chunks in one text, and the ids
+    tell where each begins.  Other vocabularies drop white space, and new chunks are texts of their own.
     """
 
     def __init__(self, path: str):
         import json
+        import os
         import re
 
-        import regex
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         description = json.loads(self.tokenizer.to_str())
         self.byte_level = description["pre_tokenizer"]["type"] == "ByteLevel"
         added = [t["content"] for t in description["added_tokens"]]
         # a chunk with one of these inside sends its text to the library whole
         self.odd = re.compile("|".join([r"\s", r"[\x1c-\x1f]", *map(re.escape, added)]))
-        self.model = self.tokenizer.model
-        self.split_ascii = re.compile(ASCII_PIECE).findall
-        self.split = regex.compile(PIECE).findall
-        self.line_feed = tuple(self.tokenizer.encode("\n", add_special_tokens=False).ids) if self.byte_level else ()
+        if self.byte_level:
+            # ids that begin a chunk in a row of chunks parted by single blanks, or by line feeds
+            vocabulary = self.tokenizer.get_vocab()
+            self.begins = {mark: np.zeros(max(vocabulary.values()) + 1, bool) for mark in " \n"}
+            for token, number in vocabulary.items():
+                for mark, begins in self.begins.items():
+                    begins[number] |= token[0] == chr(ALPHABET[ord(mark)])
         self.forget()
 
     def forget(self) -> None:
@@ -67,7 +67,6 @@ class ChunkEncoder:
         self.starts = np.zeros(1 << 17, np.int64)
         self.sizes = np.zeros(1 << 17, np.int64)
         self.used, self.kept = 0, 0
-        self.pieces: dict[str, tuple[int, ...]] = {}
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         """The library's ids of whole texts."""
@@ -94,41 +93,35 @@ class ChunkEncoder:
         self.known.update(zip(chunks, range(k, k + len(chunks))))
         self.used, self.kept = self.used + n, k + len(chunks)
 
-    def _piece_ids(self, text: str) -> tuple[int, ...]:
-        """Ids of a chunk with its blank, each distinct piece merged once by the library's model."""
-        ascii_only = text.isascii()
-        out: tuple[int, ...] = ()
-        for piece in (self.split_ascii if ascii_only else self.split)(text):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                if ascii_only and piece.isprintable():
-                    coded = piece.replace(" ", chr(ALPHABET[0x20]))
-                else:
-                    coded = piece.encode().decode("latin-1").translate(ALPHABET)
-                ids = self.pieces[piece] = tuple([t.id for t in self.model.tokenize(coded)])
-            out += ids
-        return out
+    def _in_a_row(self, bodies: list[str], mark: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks in rows, each after ``mark`` (a blank or a line feed), and how many each has.
+
+        A piece never goes across a mark: a blank begins the piece after it, a line feed is one by
+        itself.  No body has white space, so an id that begins with the mark begins a chunk.
+        """
+        ids = np.concatenate(self.whole([mark + mark.join(bodies[i:i + ROW_CHUNKS]) for i in range(0, len(bodies), ROW_CHUNKS)]))
+        starts = np.flatnonzero(self.begins[mark][ids])
+        if len(starts) != len(bodies):
+            raise ValueError("chunks of a row cannot be told apart")
+        return ids, np.diff(np.append(starts, len(ids)))
 
     def _learn(self, chunks: list[str]) -> None:
-        """Ask the library for new chunks; odd ones are remembered as such."""
-        plain = []
-        for chunk in chunks:
-            body = chunk[1:] if self.byte_level and chunk[0] == "\n" else chunk
-            if self.odd.search(body):
-                self.known[chunk] = -2
-            else:
-                plain.append(chunk)
-        if not plain:
+        """Ask the library for new chunks, all of a kind at once; odd ones are remembered as such."""
+        bodies = [c[1:] if self.byte_level and c[0] == "\n" else c for c in chunks]
+        if self.odd.search("\0".join(bodies)):
+            odd = [bool(self.odd.search(body)) for body in bodies]
+            self.known.update((c, -2) for c, o in zip(chunks, odd, strict=True) if o)
+            chunks = [c for c, o in zip(chunks, odd, strict=True) if not o]
+        if not self.byte_level:
+            if chunks:
+                lists = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+                self._store(chunks, np.fromiter(chain.from_iterable(lists), np.uint32),
+                            np.fromiter(map(len, lists), np.int64, len(lists)))
             return
-        if len(self.pieces) > KEPT_PIECES:
-            self.pieces = {}
-        if self.byte_level:
-            lists = [self.line_feed + self._piece_ids(c[1:]) if c[0] == "\n" else self._piece_ids(" " + c)
-                     for c in plain]
-        else:
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
-        self._store(plain, np.fromiter(chain.from_iterable(lists), np.uint32),
-                    np.fromiter(map(len, lists), np.int64, len(lists)))
+        for mark in " \n":
+            some = [c for c in chunks if (c[0] == "\n") == (mark == "\n")]
+            if some:
+                self._store(some, *self._in_a_row([c[1:] for c in some] if mark == "\n" else some, mark))
 
     def _look_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Chunk numbers of all texts, chunks per text, and which texts are irregular."""

@@ -78,7 +78,75 @@ def test_rans_blocks_and_checkpoints(n):
     for mark, row in enumerate(block["mark_rows"]):
         assert np.array_equal(rans.decode(block, n, shared, mark, rows=3),
                               ids[row * block["lanes"]:][:3 * block["lanes"]])
-    if block["payload"]:
-        broken = dict(block, payload=bytes([block["payload"][0] ^ 1]) + block["payload"][1:])
+
+
+def test_a_stretch_s_check_sums_join():
+    data = bytes(range(256)) * 9
+    for cut in (0, 1, 7, 1000, len(data)):
+        assert rans.crc_of_both(zlib.crc32(data[:cut]), zlib.crc32(data[cut:]), len(data) - cut) == zlib.crc32(data)
+
+
+def test_any_changed_bit_of_a_block_or_its_table_is_refused():
+    rng = np.random.default_rng(3)
+    ids = (rng.pareto(0.6, 60_000) % 900).astype(np.uint32)
+    freq = rans.quantised(np.bincount(ids, minlength=900))
+    row = {"range": 3, "block": 1, "range_start": 77, "n_tokens": len(ids), "doc_ids": [5, None, 0, 9],
+           "doc_sizes": [20_000, 1, 29_999, 10_000], **rans.encode(ids, rans.Table.of(freq))}
+    digest = token_files.table_digest(freq)
+    row["checksum"] = token_files.block_checksum(row, digest)
+    assert row["mark_rows"] and token_files.sound(row, digest) is row
+
+    def refused(name, value, table=digest):
         with pytest.raises(ValueError, match="checksum"):
-            rans.decode(broken, n, shared)
+            token_files.sound({**row, name: value}, table)
+
+    for name, value in row.items():
+        if isinstance(value, bytes):
+            for at in rng.integers(0, 8 * len(value), 150).tolist():
+                flipped = bytearray(value)
+                flipped[at // 8] ^= 1 << at % 8
+                refused(name, bytes(flipped))
+            refused(name, value[:-4])
+        elif isinstance(value, list):
+            for k, item in enumerate(value):
+                for bit in range(0, 40, 3):
+                    refused(name, [*value[:k], (item or 0) ^ 1 << bit, *value[k + 1:]])
+            refused(name, value[1:])
+            refused(name, [None if v == 0 else 0 if v is None else v for v in value] if name == "doc_ids" else value[::-1] + [0])
+        else:
+            for bit in range(31):
+                refused(name, value ^ 1 << bit)
+        refused(name, None)
+    for k in rng.integers(0, 900, 100).tolist():
+        other = freq.copy()
+        other[k] ^= 1
+        refused("block", 1, token_files.table_digest(other))
+
+
+def test_long_blocks_are_read_from_their_checkpoints(spark, tmp_root):
+    rng = np.random.default_rng(4)
+    words = ["".join(map(chr, rng.integers(97, 123, 5))) for _ in range(400)]
+    texts = [" ".join(rng.choice(words, n)) for n in (3, 50, 400_000, 0, 20, 900_000, 7)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    token_files.write_token_files(docs, BYTES, f"{tmp_root}/files")
+    blocks = spark.read.parquet(f"{tmp_root}/files/blocks")
+    assert max(len(r.mark_rows) for r in blocks.select("mark_rows").collect()) >= 3
+    whole = token_files.read_token_files(spark, f"{tmp_root}/files", long_marks=10 ** 9)
+    parts = token_files.read_token_files(spark, f"{tmp_root}/files", long_marks=0)
+    assert sorted(parts.collect()) == sorted(whole.collect()) and parts.count() == len(texts)
+
+
+def test_a_changed_file_raises(spark, tmp_root):
+    docs = frame(spark, TEXTS)
+    token_files.write_token_files(docs, BYTES, f"{tmp_root}/files")
+    blocks = spark.read.parquet(f"{tmp_root}/files/blocks")
+    blocks.withColumn("doc_sizes", F.reverse("doc_sizes")).write.parquet(f"{tmp_root}/changed/blocks")
+    spark.read.parquet(f"{tmp_root}/files/table").write.parquet(f"{tmp_root}/changed/table")
+    for marks in (0, 8):
+        with pytest.raises(Exception, match="checksum does not match"):
+            token_files.read_token_files(spark, f"{tmp_root}/changed", long_marks=marks).collect()
+    spark.read.parquet(f"{tmp_root}/files/table").withColumn("freq", F.col("freq") + F.when(F.col("id") == 2, 1).otherwise(0)) \
+        .write.parquet(f"{tmp_root}/other/table")
+    blocks.write.parquet(f"{tmp_root}/other/blocks")
+    with pytest.raises(Exception, match="checksum does not match"):
+        token_files.read_token_files(spark, f"{tmp_root}/other").collect()
