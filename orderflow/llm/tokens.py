@@ -14,7 +14,7 @@ from itertools import chain, repeat
 import numpy as np
 
 #: Chunks kept per worker; the memory is emptied when it is full (about 300 bytes a chunk).
-KEPT_CHUNKS = 500_000
+KEPT_CHUNKS = 800_000
 #: Texts are encoded together up to this many characters.
 BATCH_CHARS = 400_000
 #: New chunks that the library is asked for in one text (longer ones cost it more a chunk).
