@@ -55,15 +55,22 @@ def payment_failure_rate(payments: DataFrame, ts: str = "event_timestamp",
 def completion_rate(states: DataFrame) -> DataFrame:
     """completed / final states x 100, 2 decimals, 0.0 when there is no final state.
 
-    One global aggregate (partial per task, one final row).
+    Counts the rows it is given: state rows (an order that failed and was then completed is two of
+    them), or with ``states.current_state`` orders.  One global aggregate (partial per task, one
+    final row).
     """
-    final = states.filter(F.col("order_status").isin(*C.FINAL_STATUSES))
-    agg = final.agg(
-        F.count_if(F.col("order_status") == C.COMPLETED).alias("completed"),
-        F.count_if(F.col("order_status") == C.PAYMENT_FAILED_STATE).alias("payment_failed"),
-        F.count_if(F.col("order_status") == C.INVENTORY_REJECTED_STATE).alias("inventory_rejected"),
-        F.count(F.lit(1)).alias("final_orders"),
-    )
+    return completion_rate_of_counts(states.select("order_status", F.lit(1).cast("long").alias("order_count")))
+
+
+def completion_rate_of_counts(counts: DataFrame) -> DataFrame:
+    """The same from (order_status, order_count) rows."""
+    def counted(*statuses: str):
+        of = F.when(F.col("order_status").isin(*statuses), F.col("order_count"))
+        return F.coalesce(F.sum(of), F.lit(0)).cast("long")
+
+    agg = counts.agg(counted(C.COMPLETED).alias("completed"), counted(C.PAYMENT_FAILED_STATE).alias("payment_failed"),
+                     counted(C.INVENTORY_REJECTED_STATE).alias("inventory_rejected"),
+                     counted(*C.FINAL_STATUSES).alias("final_orders"))
     return agg.withColumn(
         "completion_rate_pct",
         F.when(F.col("final_orders") > 0,

@@ -472,6 +472,44 @@ SELECT order_id, event_type, payment_id, sku, event_id, event_timestamp FROM (
                                ORDER BY event_timestamp, event_id) AS rn
   FROM uniq) WHERE rn = 1""")
 
+ORACLE["domain_orders_allowed"] = _q("""
+SELECT * FROM d_orders WHERE order_id IN (SELECT oid FROM base WHERE o_orderpriority = '1-URGENT')""")
+
+ORACLE["completion_rate_by_order"] = f"""
+SELECT completed, payment_failed, inventory_rejected, final_orders,
+       round(completed * 100.0::DOUBLE / final_orders, 2) AS completion_rate_pct FROM (
+  SELECT count(*) FILTER (WHERE order_status = 'COMPLETED') AS completed,
+         count(*) FILTER (WHERE order_status = 'PAYMENT_FAILED') AS payment_failed,
+         count(*) FILTER (WHERE order_status = 'INVENTORY_REJECTED') AS inventory_rejected,
+         count(*) FILTER (WHERE order_status IN ('COMPLETED', 'PAYMENT_FAILED', 'INVENTORY_REJECTED')) AS final_orders
+  FROM ({ORACLE['current_state']}))"""
+
+# drained streams: what batch gives over the same log
+ORACLE["stream_history"] = ORACLE["history_table"]
+ORACLE["stream_current_state"] = ORACLE["current_state"]
+ORACLE["stream_order_completion"] = ORACLE["completion_rate_by_order"]
+ORACLE["stream_routes"] = _q("""
+SELECT validation_status AS route, validation_error AS error_reason, count(*) AS record_count
+FROM validated GROUP BY ALL""")
+ORACLE["stream_unique_events"] = _q("SELECT kafka_key AS key, event_id FROM uniq")
+ORACLE["stream_expired_orders"] = f"SELECT * FROM ({ORACLE['pending_orders']}) WHERE pending_status = 'EXPIRED'"
+ORACLE["stream_business_facts"] = _q("SELECT DISTINCT order_id, event_type, payment_id, sku FROM uniq")
+ORACLE["stream_metric_rows"] = _q(f"""
+SELECT 'orders_per_minute' AS metric_name, {_window('event_timestamp', '1 minute')} AS window_start,
+       {_window('event_timestamp', '1 minute')} + INTERVAL 1 MINUTE AS window_end,
+       CAST(count(*) AS DOUBLE) AS metric_value
+FROM d_orders GROUP BY 2, 3
+UNION ALL
+SELECT 'order_volume_5m', {_window('event_timestamp', '5 minutes')},
+       {_window('event_timestamp', '5 minutes')} + INTERVAL 5 MINUTE, CAST(count(*) AS DOUBLE)
+FROM d_orders GROUP BY 2, 3
+UNION ALL
+SELECT 'payment_failure_rate_5m', window_start, window_end, failure_rate_pct FROM ({_FAILURE})
+UNION ALL
+SELECT 'completion_rate', CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP),
+       round(count(*) FILTER (WHERE order_status = 'COMPLETED') * 100.0::DOUBLE / count(*), 2)
+FROM states WHERE order_status IN ('COMPLETED', 'PAYMENT_FAILED', 'INVENTORY_REJECTED')""")
+
 ORACLE["events_props"] = """
 SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS prop_k
 FROM events"""

@@ -108,6 +108,15 @@ def domain_orders(spark, sf_dir):
     return EventFlow(spark, sf_dir).domains[0]
 
 
+@query
+def domain_orders_allowed(spark, sf_dir):
+    """The orders of an allow-list given as a table (F6): the urgent ones, by a semi-join."""
+    flow = EventFlow(spark, sf_dir)
+    keys = flow.table("orders").filter(F.col("o_orderpriority") == "1-URGENT").select(
+        F.concat(F.lit("ORD-"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0")).alias("order_id"))
+    return corr.split_domains(flow.unique, order_ids=keys)[0]
+
+
 @query
 def domain_payments(spark, sf_dir):
     return EventFlow(spark, sf_dir).domains[1]
@@ -172,6 +181,12 @@ def completion_rate(spark, sf_dir):
     return me.completion_rate(EventFlow(spark, sf_dir).states)
 
 
+@query
+def completion_rate_by_order(spark, sf_dir):
+    """The rate with every order counted once, by its current state."""
+    return me.completion_rate(st.current_state(EventFlow(spark, sf_dir).history))
+
+
 @query
 def expected_state_check(spark, sf_dir):
     flow = EventFlow(spark, sf_dir)
@@ -303,4 +318,5 @@ def events_window_counts(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    return dict(REGISTRY)
+    from .stream_queries import REGISTRY as streamed
+    return {**REGISTRY, **streamed}

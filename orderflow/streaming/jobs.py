@@ -15,7 +15,7 @@ from __future__ import annotations
 import threading
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -63,7 +63,8 @@ def _start(df: DataFrame, checkpoint: str, callback=None, mode: str = "append",
     started, query_id = threading.Event(), []
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        started.wait(60)
+        if not started.wait(600):
+            raise TimeoutError("the query was not handed over within 600 s of its first micro-batch")
         callback(batch, batch_id, query_id[0])
 
     query = w.foreachBatch(run).start()
@@ -119,24 +120,29 @@ def run_dedup(records: DataFrame, unique_path: str | dict, checkpoint: str,
 
 
 # ----------------------------------------------------------------------------- stage 3
-def business_stream(records: DataFrame, within: str = C.CORRELATION_WINDOW,
-                    lateness: str = C.WATERMARK_DELAY) -> DataFrame:
-    """Unique ``(key, value)`` events -> order states (append)."""
+def business_stream(records: DataFrame, within: str = C.CORRELATION_WINDOW, lateness: str = C.WATERMARK_DELAY,
+                    shared: bool = True, bucketed: bool = True) -> DataFrame:
+    """Unique ``(key, value)`` events -> order states (append).
+
+    ``shared``: one watermark over all events, as the dedup stage before has (a domain without
+    events keeps no state alive); else one per domain under the ``min`` policy.
+    """
     events = (records.select(va.parse_envelope(F.col("value").cast("string"), permissive=False)
                              .alias("e"))
               .select("e.*"))
     events = dd.with_event_time(events).filter(F.col("event_id").isNotNull()
                                                 & F.col("order_id").isNotNull())
-    o, p, i = corr.split_domains(events)
-    correlated = corr.correlate(o, p, i, within=within, lateness=lateness, shape="chained")
+    o, p, i = corr.split_domains(corr.shared_watermark(events, lateness) if shared else events)
+    correlated = corr.correlate(o, p, i, within=within, lateness=None if shared else lateness, shape="chained",
+                                bucketed=bucketed)
     return st.order_status(correlated, with_decision=True)
 
 
 def run_business(records: DataFrame, states_path: str | dict, checkpoint: str,
                  within: str = C.CORRELATION_WINDOW, lateness: str = C.WATERMARK_DELAY,
-                 trigger: dict | None = None) -> StreamingQuery:
+                 trigger: dict | None = None, shared: bool = True, bucketed: bool = True) -> StreamingQuery:
     """Job 3: correlate order -> payment -> inventory and publish state records."""
-    states = observe_states(business_stream(records, within, lateness))
+    states = observe_states(business_stream(records, within, lateness, shared, bucketed))
     return _start(st.state_record(states), checkpoint, trigger=trigger, target=_target(states_path))
 
 
@@ -313,6 +319,25 @@ def observed_total(query: StreamingQuery, name: str) -> dict:
     return dict(totals(query).observed.get(name, {}))
 
 
+def log_totals(spark: SparkSession, paths: PipelinePaths) -> dict:
+    """What the stages delivered so far, counted from their logs: valid, invalid and total records,
+    states and how many of them are unknown or completed.
+
+    The sinks' commit logs name each batch's files once, so a replayed batch counts once, and the
+    sums are right after any number of restarts of the driver.  Of a log without files nothing is counted.
+    """
+    def counted(path: str, columns: str, *counts: Column) -> dict:
+        rows = spark.read.schema(columns).parquet(path)
+        return rows.agg(*counts).first().asDict()
+
+    total, status = F.count(F.lit(1)), F.get_json_object("value", "$.order_status")
+    return counted(paths.routed, "key string, value string, route string",
+                   F.count_if(F.col("route") == C.VALID).alias("valid"),
+                   F.count_if(F.col("route") == C.INVALID).alias("invalid"), total.alias("total")) | counted(
+        paths.states, "key string, value string", total.alias("states"),
+        F.count_if(status == C.UNKNOWN).alias("unknown"), F.count_if(status == C.COMPLETED).alias("completed"))
+
+
 def observed(query: StreamingQuery, name: str) -> dict:
     """The latest observed metrics row ``name`` over the recorded progress."""
     for progress in reversed(query.recentProgress or []):
@@ -330,17 +355,26 @@ def business_dedup_stream(events: DataFrame, lateness: str = C.WATERMARK_DELAY)
     return dd.dedup(dd.with_business_key(events), keys=dd.BUSINESS_KEY, lateness=lateness)
 
 
+def run_business_dedup(records: DataFrame, unique_path: str | dict, checkpoint: str,
+                       lateness: str = C.WATERMARK_DELAY, trigger: dict | None = None) -> StreamingQuery:
+    """Forward the first ``(key, value)`` event of each business fact within the watermark."""
+    parsed = records.select("key", "value", va.parse_envelope(F.col("value").cast("string"), permissive=False).alias("e"))
+    timed = dd.with_event_time(parsed.select("key", "value", "e.*"))
+    return _start(business_dedup_stream(timed, lateness).select("key", "value"), checkpoint, trigger=trigger,
+                  target=_target(unique_path))
+
+
 def pending_stream(events: DataFrame, within: str = C.CORRELATION_WINDOW,
                    lateness: str = C.WATERMARK_DELAY) -> DataFrame:
     """Orders whose payment window closed without a payment, emitted as EXPIRED once the
     watermark passes ``order_time + within``.
 
     A left-outer interval join: the unmatched side is released by the watermark, so its state
-    stays bounded.  The watermark is set once on the unified event stream (``event_timestamp``)
-    before the split, so a quiet domain (no payments for a while) does not hold back the
-    other side's eviction, as it would with one watermark per side under the ``min`` policy.
+    stays bounded.  The watermark is shared by all events (``shared_watermark``), so a quiet domain
+    (no payments for a while) does not hold back the other side's eviction.  ``pending.expired_orders``
+    knows the second reason as well.
     """
-    timed = events.withWatermark("event_timestamp", lateness)
+    timed = corr.shared_watermark(events, lateness)
     o = timed.filter(F.col("event_type") == C.ORDER_CREATED).select(
         "order_id", F.col("event_timestamp").alias("order_time"))
     p = timed.filter(F.col("event_type").isin(*C.PAYMENT_TYPES)).select(
