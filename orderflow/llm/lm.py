@@ -50,8 +50,9 @@ MODEL_WORDS, FREQUENT = 2047, 300_000
 #: Vector length, tokens and shared noise words of a minibatch, rounds, step size.
 SIZE, BATCH, NOISE, ROUNDS, RATE = 32, 2048, 64, 3, 0.1
 #: Count from which a tail word has a vector of its own, words of a class, training tokens of a bundle
-#: of classes and least number of bundles, tokens of a class's minibatch.
-LEAST, CLASS_WORDS, BUNDLE_TOKENS, BUNDLES, CLASS_BATCH = 5, 384, 1_000_000, 64, 512
+#: of classes and least number of bundles, tokens of a class's minibatch, contexts normalised at once.
+LEAST, CLASS_WORDS, BUNDLE_TOKENS, BUNDLES, CLASS_BATCH, CONTEXTS = 5, 384, 400_000, 32, 512, 4096
+CLASS_RATE = 0.1
 #: Distinct words counted before a task hands them on; rows of a matrix averaged together.
 HELD_WORDS, BLOCK_ROWS = 200_000, 256
 #: The end token; no word is empty.
@@ -462,10 +463,32 @@ def class_outputs(hidden: np.ndarray, word: np.ndarray, shares: np.ndarray, seed
             for part, square, grad in zip((outputs, bias), squares, grads):
                 grad /= len(at) ** 0.5
                 square += grad * grad
-                part -= RATE * grad / np.sqrt(square)
+                part -= CLASS_RATE * grad / np.sqrt(square)
     return outputs, bias
 
 
+def class_normalisers(first: np.ndarray, second: np.ndarray, near: np.ndarray, far: np.ndarray, outputs: np.ndarray,
+                      bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log normalisers of the distinct pairs of context words, and the pair of every token.
+
+    exp(a + b) = exp(a) exp(b): the exponentials are taken once for each context word and place, and
+    a pair's normaliser is the product of two of their rows.
+    """
+    pairs, pair = np.unique(first.astype(np.int64) << 16 | second, return_inverse=True)
+    rows, tops, numbers = [], [], []
+    for ids, part in ((pairs >> 16, near @ outputs.T), (pairs & 0xFFFF, far @ outputs.T + bias)):
+        used, number = np.unique(ids, return_inverse=True)
+        top = part[used].max(axis=1)
+        rows.append(np.exp(part[used] - top[:, None]))
+        tops.append(top)
+        numbers.append(number)
+    norms = np.empty(len(pairs), np.float32)
+    for i in range(0, len(pairs), CONTEXTS):
+        a, b = (number[i:i + CONTEXTS] for number in numbers)
+        norms[i:i + CONTEXTS] = np.einsum("ij,ij->i", rows[0][a], rows[1][b])
+    return np.log(np.maximum(norms, 1e-30)) + tops[0][numbers[0]] + tops[1][numbers[1]], pair
+
+
 def class_gains(tokens: np.ndarray, model: LogBilinear, seed: int) -> np.ndarray:
     """Log of each token's probability in its class over its smoothed share of it; 0 for words not seen in training."""
     keys, word = np.unique(tokens["key"], return_inverse=True)
@@ -478,17 +501,10 @@ def class_gains(tokens: np.ndarray, model: LogBilinear, seed: int) -> np.ndarray
         return np.zeros(len(tokens))
     shares = slots / slots.sum()
     slot = np.where(own, np.cumsum(own) - 1, int(own.sum()))[word]
-    hidden = model.inputs[tokens["near"]] @ model.places[0] + model.inputs[tokens["far"]] @ model.places[1]
+    near, far = model.inputs @ model.places[0], model.inputs @ model.places[1]
+    hidden = near[tokens["near"]] + far[tokens["far"]]
     outputs, bias = class_outputs(hidden[learnt], slot[learnt], shares, seed)
-    # scores are normalised once for each pair of context words
-    pairs, first, pair = np.unique(tokens["near"].astype(np.int64) << 16 | tokens["far"],
-                                   return_index=True, return_inverse=True)
-    norms = np.empty(len(pairs), np.float32)
-    for i in range(0, len(pairs), CLASS_BATCH):
-        scores = hidden[first[i:i + CLASS_BATCH]] @ outputs.T + bias
-        top = scores.max(axis=1)
-        scores -= top[:, None]
-        norms[i:i + CLASS_BATCH] = np.log(np.exp(scores, out=scores).sum(axis=1)) + top
+    norms, pair = class_normalisers(tokens["near"], tokens["far"], near, far, outputs, bias)
     gains = np.einsum("ij,ij->i", hidden, outputs[np.minimum(slot, len(slots) - 1)]) - norms[pair]
     gains += (bias - np.log(shares))[np.minimum(slot, len(slots) - 1)]
     return np.where(counts[word] > 0, gains, 0.0)

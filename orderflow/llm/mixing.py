@@ -1,10 +1,10 @@
 """Operator 1: mixing sources to target weights by weighted fair queueing.
 
-Each source is a queue of shuffled documents, at most ``passes`` times over.  A document's
-virtual finish time is the source's cumulative words up to its end divided by the source's
-target, so at virtual time 1 every source has sent exactly its target.  The sent documents are
-range-sorted globally by virtual finish time and cut where their running total reaches the
-budget.
+Each source is a queue of shuffled documents, ``passes`` times over.  A document's virtual finish
+time is the source's cumulative words up to its end divided by the source's target, so at virtual
+time 1 every source has sent exactly its target; a document that goes across that time is sent in
+two parts.  All queues run to their ends; what they send is range-sorted globally by virtual finish
+time and cut where the running total reaches the budget, which is what ends each source's share.
 
 Defined cases: a null text has no words; a null source is a source of its own, ranked last;
 rows equal in (doc_id, source, text) form one queue item of that many copies and share what is
@@ -96,17 +96,17 @@ def mix(docs: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (3.0,
                .drop("_words").join(goals.select("source_key", F.floor("target").alias("goal")), "source_key"))
     inside = (Window.partitionBy("source_key", "step").orderBy("hash", "doc_id", "text_key")
               .rowsBetween(Window.unboundedPreceding, -1))
-    served = (queue.join(offsets, ["source_key", "step"])
-              .withColumn("start", F.col("_offset") + F.coalesce(F.sum("words").over(inside), F.lit(0)))
-              .withColumn("words", F.least(F.col("words"), F.col("goal") - F.col("start")))
-              .filter(F.col("words") > 0)
-              .withColumn("finish", (F.col("start") + F.col("words")) / F.col("goal"))
-              .select("doc_id", "source_key", "text_key", "pass", "words", "finish"))
+    timely = F.greatest(F.lit(0), F.least(F.col("words"), F.col("goal") - F.col("start")))
+    parts = F.array(F.struct(timely.alias("words"), (F.col("start") + timely).alias("end")),
+                    F.struct((F.col("words") - timely).alias("words"), (F.col("start") + F.col("words")).alias("end")))
+    sent = (queue.join(offsets, ["source_key", "step"])
+            .withColumn("start", F.col("_offset") + F.coalesce(F.sum("words").over(inside), F.lit(0)))
+            .withColumn("part", F.explode(parts)).filter("part.words > 0")
+            .withColumn("finish", F.when(F.col("goal") > 0, F.col("part.end") / F.col("goal"))
+                        .otherwise(F.lit(float("inf"))))
+            .select("doc_id", "source_key", "text_key", "pass", F.col("part.words").alias("words"), "finish"))
     budget = goals.agg(F.sum(F.floor("target"))).first()[0] or 0
-    order = [F.col("finish"), F.col("source_key"), F.col("pass"), F.col("doc_id"), F.col("text_key")]
-    sent = (running_total(written(served, "mix-served"), order, "words", "before", "mix-order")
-            .filter(F.col("before") < budget)
-            .withColumn("words", F.least(F.col("words"), F.lit(budget) - F.col("before"))))
+    sent = truncated(sent, budget)
     taken = (sent.groupBy(F.col("doc_id").alias("_id"), F.col("source_key").alias("_source"),
                           F.col("text_key").alias("_text"))
              .agg(F.sum("words").alias("served"), F.min("before").alias("position")))
@@ -117,6 +117,15 @@ def mix(docs: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (3.0,
             .withColumn("served", F.coalesce("served", F.lit(0)).cast("long")))
 
 
+def truncated(sent: DataFrame, budget: int) -> DataFrame:
+    """What the queues ``sent`` (words, finish and the row's keys), in order of virtual finish time, up
+    to ``budget`` words; the last one in part.  ``before`` is the running total."""
+    order = [F.col("finish"), F.col("source_key"), F.col("pass"), F.col("doc_id"), F.col("text_key")]
+    return (running_total(written(sent, "mix-sent"), order, "words", "before", "mix-order")
+            .filter(F.col("before") < budget)
+            .withColumn("words", F.least(F.col("words"), F.lit(budget) - F.col("before"))))
+
+
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     """The mix itself: rows of ``docs``, each as many times as its passes are taken.
 

@@ -7,10 +7,12 @@ candidate segment, features of the whole segment (shape, digit count, separators
 and after) score it for each kind, and dynamic programming over segments of bounded length picks
 boundaries and kinds together.  Base spans stay; the model's spans that touch none of them join.
 
-The model is trained on at most ``SAMPLE`` documents that have digits or at-signs (a documented
-bound; those with the smallest hashes), by the likelihood of the base spans in them, with features
-that do not contain the rules' checks (checksum, value ranges, plus sign), so that spans of the same
-build but outside the rules can score.
+The model is trained on at most ``EXAMPLES`` stretches of at most ``LONGEST_EXAMPLE`` characters (those
+with the smallest hashes) from at most ``SAMPLE`` documents that have digits or at-signs (likewise);
+these are documented bounds, and parameters of ``fit``, of training alone: all texts are searched
+whole.  It learns the likelihood of the base spans in them, with features that do not contain the
+rules' checks (checksum, value ranges, plus sign), so that spans of the same build but outside the
+rules can score.
 
 Defined cases: a null text is an empty one; positions are code points, ends exclusive; repeated
 rows give equal results; very long texts are read whole, stretch by stretch; without anything to
@@ -31,8 +33,8 @@ from orderflow.llm.base import sampled, written
 from orderflow.llm.words import slices
 
 KINDS = ("email", "ip", "card", "phone")
-#: Most documents to train on, passes, step size, penalty.
-SAMPLE, PASSES, RATE, PENALTY = 1_500, 6, 0.15, 1e-4
+#: Most documents and most of their stretches to train on, passes, step size, penalty.
+SAMPLE, EXAMPLES, PASSES, RATE, PENALTY = 1_500, 3_000, 6, 0.15, 1e-4
 #: Longest stretch to train on, in characters (scoring has no such bound).
 LONGEST_EXAMPLE = 4_000
 #: Longest segment in tokens; characters around a digit or at-sign that make a stretch.
@@ -261,16 +263,17 @@ def train(texts: list[str], passes: int = PASSES) -> SemiMarkov:
     return model
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> SemiMarkov:
-    """The model of at most ``sample`` documents with digits or at-signs."""
+def fit(docs: DataFrame, sample: int = SAMPLE, examples: int = EXAMPLES, longest: int = LONGEST_EXAMPLE) -> SemiMarkov:
+    """The model of at most ``examples`` stretches, none over ``longest`` characters, of at most
+    ``sample`` documents with digits or at-signs."""
     keys = written(docs.filter(F.col("text").rlike("[0-9@]")).select("doc_id", F.xxhash64("doc_id", "text").alias("hash")),
                    "pii-keys")
     chosen = sampled(keys, F.col("hash"), sample).select(F.col("hash").alias("_hash")).distinct()
     # the parts of the sampled texts that training reads: stretches, cut out in the tasks
     parts = (docs.select("text", F.xxhash64("doc_id", "text").alias("hash"))
              .join(F.broadcast(chosen), F.col("hash") == F.col("_hash")).select("text")
-             .mapInArrow(cut_out, "part string").filter(F.length("part") <= LONGEST_EXAMPLE))
-    return train(sorted(r["part"] for r in parts.orderBy(F.xxhash64("part"), "part").limit(2 * sample).collect()))
+             .mapInArrow(cut_out, "part string").filter(F.length("part") <= longest))
+    return train(sorted(r["part"] for r in parts.orderBy(F.xxhash64("part"), "part").limit(examples).collect()))
 
 
 def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,9 @@
 
 Grades: 0 for a row labelled clean; a row labelled toxic is graded by how many marker words it
 has (words that mark the toxic rows of the sample): 1 below ``SEVERE`` occurrences, 2 from there
-on.  P(grade > k) = logistic(w.x - threshold_k) with one weight vector for all thresholds and
+on.  Where no word marks them (none is both likely enough there and in a twentieth of them, as with
+hundreds of different insults) no row has grade 2, the upper threshold is out of reach and the
+severity stays within 1.  P(grade > k) = logistic(w.x - threshold_k) with one weight vector for all thresholds and
 ordered thresholds; x are 1 + log counts of words and of words that begin alike (the first four
 and five bytes, for insults that take endings).  An L1 penalty picks the few words
 that tell, and a second fit on those words weighs them with hardly any penalty.  The severity of a text is its expected grade; it is toxic where grade 1
@@ -13,7 +15,7 @@ smallest hashes); all documents are scored, whole.
 
 Defined cases: a null or wordless text is scored by the thresholds alone; labels without a
 document, with a null label or a null id are left out, and of an id labelled both ways the toxic
-label counts; without labels of both kinds every text is clean (severity 0); repeated rows score
+label counts; of an id with several texts the one with the smallest hash trains; without labels of both kinds every text is clean (severity 0); repeated rows score
 alike; an empty table gives no rows.
 """
 
@@ -140,8 +142,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> OrdinalMode
     sound = written(labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id")
                     .agg(F.max(F.col("toxic").cast("int")).alias("toxic")), "toxic-labels")
     chosen = sampled(sound, F.col("doc_id"), sample)  # the documented bound
+    # of several texts of one id the one with the smallest hash trains
+    one = F.min_by(F.struct("toxic", "text"), F.struct(F.xxhash64("text"), "text")).alias("one")
     rows = written(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-                   .dropDuplicates(["doc_id"]).select("doc_id", "toxic", "text")
+                   .groupBy("doc_id").agg(one).select("doc_id", "one.toxic", "one.text")
                    .mapInArrow(word_counts, "doc_id long, toxic int, words array<binary>, counts array<int>"),
                    "toxic-sample")
     kinds = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}

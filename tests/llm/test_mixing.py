@@ -68,3 +68,44 @@ def test_empty_and_wordless_tables(spark, docs):
     assert mixing.mixed_documents(docs.limit(0)).count() == 0
     wordless = frame(spark, [(1, None, None), (2, "", "a")])
     assert [(r.taken, r.target) for r in mixing.op1(wordless).collect()] == [(0, 0.0)] * 2
+
+
+def plain_taken(docs, share=1.5, passes=2):
+    """The queues, one document after another, and one global order cut at the budget."""
+    keyed = docs.select("doc_id", "source", mixing.source_key().alias("key"), mixing.text_key().alias("text_key"),
+                        mixing.words_of().alias("size")).groupBy("doc_id", "source", "key", "text_key", "size") \
+        .count().withColumn("pass", F.explode(F.array(F.lit(0), F.lit(1)))) \
+        .withColumn("hash", F.xxhash64(F.lit(17), "pass", "doc_id", "text_key"))
+    rows, sizes = keyed.collect(), defaultdict(int)
+    for r in rows:
+        sizes[r.source] += r["size"] * r["count"] * (r["pass"] == 0)
+    goal = {s: int(t + 1e-9) for s, t in plain_targets(sizes, share, passes=passes).items()}
+    sent = []
+    for source in sizes:
+        at = 0
+        first = lambda r: (r["pass"], r.hash, r.doc_id is not None, r.doc_id or 0, r.text_key)
+        for r in sorted((r for r in rows if r.source == source), key=first):
+            words, key = r["size"] * r["count"], (r.doc_id, source, r.text_key)
+            timely = max(0, min(words, goal[source] - at))
+            for part, end in ((timely, at + timely), (words - timely, at + words)):
+                if part:
+                    sent.append(((end / goal[source] if goal[source] else float("inf"), r.key, r["pass"], r.doc_id is not None, r.doc_id or 0, r.text_key), part, key))
+            at += words
+    taken, left = defaultdict(int), sum(goal.values())
+    for _, part, key in sorted(sent):
+        taken[key] += min(part, left)
+        left -= min(part, left)
+    return {k: n for k, n in taken.items() if n}, sum(part for _, part, _ in sent)
+
+
+def test_the_global_cut_takes_what_plain_queues_take(docs, monkeypatch):
+    want, queued = plain_taken(docs)
+
+    def served():
+        rows = mixing.mix(docs).filter("served > 0").collect()
+        return {(r.doc_id, r.source, r.text_key): r.served for r in rows}
+
+    assert served() == want
+    # without the cut the queues run to their ends: every document as often as there are passes
+    monkeypatch.setattr(mixing, "truncated", lambda sent, budget: sent.withColumn("before", F.lit(0)))
+    assert served() != want and sum(served().values()) == queued

@@ -55,6 +55,15 @@ def test_toxicity_without_labels_or_documents(labelled):
     assert toxicity.op3(docs.limit(0), labels).collect() == []
 
 
+def test_one_id_with_several_texts_trains_on_one_of_them_whatever_the_order(labelled):
+    docs, labels, truth = labelled
+    again = docs.filter("doc_id < 300").withColumn("text", F.concat(F.lit("scumbagly "), "text"))
+    both = docs.unionByName(again)
+    models = [toxicity.fit(rows, labels) for rows in (both.repartition(3), both.orderBy(F.col("doc_id").desc()).coalesce(1))]
+    assert models[0].weights.keys() == models[1].weights.keys()
+    assert models[0].thresholds == pytest.approx(models[1].thresholds, rel=1e-6)
+
+
 def test_ordinal_fit_shares_weights_over_ordered_thresholds():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(3000, 4))
