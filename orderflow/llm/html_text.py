@@ -6,11 +6,15 @@ page's tree.  Visibility rules drop what a reader doesn't see: elements without
 simple selectors of style sheets (by importance, specificity and order; of ``@`` blocks only those
 that hold on ``SCREEN``), closed details and dialogs.  The renderer collapses white space,
 sets blocks on lines of their own with blank lines where their margins are, keeps preformatted
-text, marks list items by depth and number, and pads table cells to aligned columns.
+text, and marks list items by depth and number (``start``, ``value``, ``reversed``, ``type``).  Tables
+are laid out on a grid: cells take the columns and rows that they span, columns are padded to one
+width, and blocks, lists and tables inside a cell keep their lines there.  Of a form a reader sees the
+text of text areas and the options that a closed select shows, of a drawing its ``text`` elements.
 
 Defined cases: a null or empty page has the empty text; broken markup is read as it stands (an
-unclosed tag at the end is text); any depth of nesting is walked without recursion; repeated rows
-give equal results; an empty table gives no rows; other columns pass through where asked for.
+unclosed tag at the end is text); any depth of nesting is walked without recursion, but for cells,
+whose content below ``DEEPEST`` tables in each other is set on one line; repeated rows give equal
+results; an empty table gives no rows; other columns pass through where asked for.
 """
 
 from __future__ import annotations
@@ -24,12 +28,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderflow.llm.words import slices
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is text up to their own end tag.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 #: Elements that are not rendered.
 UNSEEN = frozenset("head script style template noscript title iframe noembed noframes datalist object audio video "
-                   "canvas svg math select textarea".split())
+                   "canvas".split())
+#: Of a drawing, what is not drawn where it stands.
+UNDRAWN = frozenset("defs symbol clippath mask pattern marker title desc metadata".split())
+#: Tables in each other whose cells are laid out as blocks; rows that a cell can span.
+DEEPEST, MOST_ROWS = 16, 65_534
 #: Elements on lines of their own; those with a margin have a blank line around them.
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search "
@@ -399,11 +409,62 @@ class Layout:
         self.line += parts[-1]
 
 
-def render(root: Node, rules: Rules) -> str:
-    """The visible text of a tree."""
+def number_of(text: str) -> int | None:
+    return int(text) if re.fullmatch(r"\s*[+-]?\d{1,9}\s*", text) else None
+
+
+def list_marker(kind: str, number: int) -> str:
+    """The marker of a list's item: a number, or by the list's ``type`` letters or Roman numerals."""
+    text = str(number)
+    if kind in ("a", "A") and number > 0:
+        text, left = "", number
+        while left:
+            left, letter = divmod(left - 1, 26)
+            text = chr(ord(kind) + letter) + text
+    elif kind in ("i", "I") and 0 < number < 4000:
+        text = ""
+        for value, sign in zip((1000, 900, 500, 400, 100, 90, 50, 40, 10, 9, 5, 4, 1),
+                               "m cm d cd c xc l xl x ix v iv i".split(), strict=True):
+            text += sign * (number // value)
+            number %= value
+        text = text.upper() if kind == "I" else text
+    return f"{text}. "
+
+
+def below(node: Node, tags: frozenset, leave: frozenset = frozenset()) -> list[Node]:
+    """The outermost elements of ``tags`` under a node, in order, not looking into ``leave``."""
+    found, work = [], [c for c in reversed(node.children) if isinstance(c, Node)]
+    while work:
+        part = work.pop()
+        if part.tag in tags:
+            found.append(part)
+        elif part.tag not in leave:
+            work += [c for c in reversed(part.children) if isinstance(c, Node)]
+    return found
+
+
+def seen_children(node: Node) -> list:
+    """What of an element's content has a place on the page: of closed details the summary, of a closed
+    select the chosen option, of a drawing its texts."""
+    if node.tag == "details" and "open" not in node.attributes:
+        return [c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1]
+    if node.tag == "select":
+        options = below(node, frozenset({"option"}))
+        rows = number_of(node.attributes.get("size", "")) or 1
+        if "multiple" not in node.attributes and rows < 2:
+            chosen = [o for o in options if "selected" in o.attributes][-1:]
+            options = chosen or [o for o in options if "disabled" not in o.attributes][:1]
+        return [part for option in options for part in (" ", option)] + [" "]
+    if node.tag == "svg":
+        return [part for text in below(node, frozenset({"text"}), UNDRAWN) for part in (" ", text)] + [" "]
+    return node.children
+
+
+def render(root: Node, rules: Rules, visible: bool = True, level: int = 0) -> str:
+    """The visible text of a tree, which lies in ``level`` tables."""
     out = Layout()
     # work items: (node or text, visible, preformatted, list depth), or a function to call at an element's end
-    work: list = [(root, True, False, 0)]
+    work: list = [(root, visible, False, 0)]
     while work:
         item = work.pop()
         if callable(item):
@@ -426,24 +487,28 @@ def render(root: Node, rules: Rules) -> str:
             continue
         if tag == "table":
             out.margin()
-            for line in table_lines(node, visible, rules):
+            for line in table_lines(node, visible, rules, level):
                 out.line = line
-                out.end_line()
+                out.end_line(always=True)
             out.margin()
             continue
-        children = node.children
-        if tag == "details" and "open" not in node.attributes:
-            children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
+        children = seen_children(node)
         if tag in ("ul", "ol", "menu", "dir"):
             out.end_line() if depth else out.margin()
-            number = int(node.attributes["start"]) if re.fullmatch(r"-?\d{1,9}", node.attributes.get("start", "")) else 1
+            listed = [c for c in children if isinstance(c, Node) and c.tag == "li" and rendered_at_all(c, rules)]
+            back = tag == "ol" and "reversed" in node.attributes
+            number = number_of(node.attributes.get("start", ""))
+            number = number if number is not None else len(listed) if back else 1
             work.append(out.end_line if depth else out.margin)
             items = []
             for child in children:
                 if isinstance(child, Node) and child.tag == "li":
                     if rendered_at_all(child, rules):
-                        items.append((child, f"{number}. " if tag == "ol" else "- "))
-                        number += 1
+                        own = number_of(child.attributes.get("value", ""))
+                        number = own if own is not None and tag == "ol" else number
+                        kind = child.attributes.get("type", node.attributes.get("type", ""))
+                        items.append((child, list_marker(kind, number) if tag == "ol" else "- "))
+                        number += -1 if back else 1
                 else:
                     items.append((child, None))
             for child, marker in reversed(items):
@@ -493,7 +558,82 @@ def _indent_end(out: Layout):
     return run
 
 
-def table_lines(table: Node, visible: bool, rules: Rules) -> list[str]:
+def has_lines(cell: Node) -> bool:
+    """Whether a cell holds something that makes lines of its own."""
+    work = [cell]
+    while work:
+        node = work.pop()
+        for child in node.children:
+            if isinstance(child, Node):
+                if child.tag in BLOCK or child.tag == "br":
+                    return True
+                work.append(child)
+    return False
+
+
+def cell_lines(cell: Node, visible: bool, rules: Rules, level: int) -> list[str]:
+    holder = Node("")
+    holder.children = cell.children
+    if level < DEEPEST and has_lines(holder):
+        return render(holder, rules, visible, level + 1).split("\n")
+    return [flat(holder, visible, rules)]
+
+
+def spanned(cell: Node, name: str, most: int) -> int:
+    """How many columns or rows a cell takes; 0 rows are all that follow."""
+    n = number_of(cell.attributes.get(name, ""))
+    if n == 0 and name == "rowspan":
+        return most
+    return min(n, most) if n and n > 0 else 1
+
+
+def grid_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
+    """Rows of cells (lines, columns, rows) as text: cells beside, below and across each other."""
+    placed: list[list[tuple[int, int, int, list[str]]]] = []  # by row: (column, columns, rows, lines)
+    taken: dict[int, int] = {}  # column -> rows that a cell above still takes of it
+    for cells in rows:
+        here, column = [], 0
+        for lines, columns, down in cells:
+            while taken.get(column):
+                column += 1
+            here.append((column, columns, min(down, len(rows) - len(placed)), lines))
+            for c in range(column, column + columns):
+                taken[c] = max(taken.get(c, 0), down)
+            column += columns
+        placed.append(here)
+        taken = {c: n - 1 for c, n in taken.items() if n > 1}
+    widths: dict[int, int] = {}
+    heights = [0] * len(rows)
+    for r, here in enumerate(placed):
+        for column, columns, down, lines in here:
+            if columns == 1:
+                widths[column] = max(widths.get(column, 0), *map(len, lines))
+            if down == 1 and any(lines):
+                heights[r] = max(heights[r], len(lines))
+    for r, here in enumerate(placed):  # what doesn't fit into the rows that a cell spans makes the last one higher
+        for _, _, down, lines in here:
+            if down > 1 and any(lines):
+                heights[r + down - 1] += max(0, len(lines) - sum(heights[r:r + down]))
+    edges = [0]
+    for c in range(max((c + n for here in placed for c, n, _, _ in here), default=0)):
+        edges.append(edges[-1] + widths.get(c, 0) + 2)
+    out: list[str] = []
+    open_cells: list[tuple[int, int, int, list[str]]] = []  # (column, columns, last row, lines left)
+    for r, here in enumerate(placed):
+        open_cells = sorted([c for c in open_cells if c[2] >= r] + [(c, n, r + down - 1, lines) for c, n, down, lines in here],
+                            key=lambda c: c[0])
+        for k in range(heights[r]):
+            line = ""
+            for column, columns, _, lines in open_cells:
+                line = line.ljust(edges[column]) + (lines[k] if k < len(lines) else "")
+                edge = edges[column + columns]
+                line = line.ljust(edge) if len(line) < edge else line + "  "
+            out.append(line.rstrip())
+        open_cells = [(c, n, last, lines[heights[r]:]) for c, n, last, lines in open_cells]
+    return out
+
+
+def table_lines(table: Node, visible: bool, rules: Rules, level: int = 0) -> list[str]:
     """A table's caption and rows, the cells of a column padded to one width."""
     caption, rows = [], []
     work = [(c, visible) for c in reversed(table.children)]
@@ -510,13 +650,11 @@ def table_lines(table: Node, visible: bool, rules: Rules) -> list[str]:
             cells = []
             for cell in node.children:
                 if isinstance(cell, Node) and rendered_at_all(cell, rules):
-                    span = cell.attributes.get("colspan", "1")
-                    holder = Node("")
-                    holder.children = cell.children
-                    cells.append((flat(holder, shown(cell, rules, seen), rules), int(span) if re.fullmatch(r"[1-9]\d{0,2}", span) else 1))
+                    cells.append((cell_lines(cell, shown(cell, rules, seen), rules, level),
+                                  spanned(cell, "colspan", 999), spanned(cell, "rowspan", MOST_ROWS)))
                 elif isinstance(cell, str) and seen and cell.strip():
                     caption.append(" ".join(cell.split()))
-            if any(t for t, _ in cells):
+            if cells:
                 rows.append(cells)
         elif node.tag in ("tbody", "thead", "tfoot"):
             work += [(c, seen) for c in reversed(node.children)]
@@ -524,23 +662,7 @@ def table_lines(table: Node, visible: bool, rules: Rules) -> list[str]:
             part = flat(node, visible, rules)
             if part:
                 caption.append(part)
-    widths: dict[int, int] = {}
-    for cells in rows:
-        column = 0
-        for part, span in cells:
-            if span == 1:
-                widths[column] = max(widths.get(column, 0), len(part))
-            column += span
-    lines = []
-    for cells in rows:
-        line, column = "", 0
-        for part, span in cells:
-            line = line.rstrip("\n") + part
-            column += span
-            edge = sum(widths.get(c, 0) + 2 for c in range(column))
-            line = line.ljust(edge) if len(line) < edge else line + "  "
-        lines.append(line.rstrip())
-    return caption + lines
+    return caption + grid_lines(rows)
 
 
 def flat(node: Node, visible: bool, rules: Rules) -> str:
@@ -560,10 +682,7 @@ def flat(node: Node, visible: bool, rules: Rules) -> str:
         if apart:
             parts.append(" ")
             work.append((" ", True))
-        children = item.children
-        if item.tag == "details" and "open" not in item.attributes:
-            children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
-        work += [(c, seen) for c in reversed(children)]
+        work += [(c, seen) for c in reversed(seen_children(item))]
     return _BLANKS.sub(" ", "".join(parts)).strip()
 
 
@@ -575,7 +694,7 @@ def page_text(html: str | None) -> str:
 def texts(keep: list[str], column: str):
     """``mapInArrow`` function: the columns ``keep`` and the visible text of ``column``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, column):
             found = [page_text(x) for x in batch.column(column).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(found, pa.string())],
                                              names=[*keep, "visible_text"])

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -168,7 +169,7 @@ PAGES = {
     "a < b and c > d <unclosed": "a < b and c > d <unclosed",
     "<td>cell</td> loose </p>x</b>": "cell loose\n\nx",
     "": "", "<div></div>": "", "&lt;p&gt;": "<p>",
-    "<table><tr><td>a<table><tr><td>in<td>ner</table></td><td>z</table>": "a in ner  z",
+    "<table><tr><td>a<table><tr><td>in<td>ner</table></td><td>z</table>": "a        z\n\nin  ner",
 }
 
 
@@ -195,6 +196,51 @@ PAGES |= {  # heads that nothing closes
                   "<meta charset=utf-8><script>no</script><noscript><p>no</noscript><template><p>no</template>", "<body>")}
 
 
+PAGES |= {  # cells across rows, lines in cells, forms and drawings, markers of lists
+    "<table><tr><td rowspan=2>AAAA<td>B<tr><td>C</table>": "AAAA  B\n      C",
+    "<table><tr><th colspan=2>head<th rowspan=0>z<tr><td>a<td>b<tr><td>c<td>d</table>": "head  z\na  b\nc  d",
+    "<table><tr><td>x<ul><li>a<li>b</ul>q<td>r<tr><td>1<td>2</table>": "x    r\n\n- a\n- b\n\nq\n1    2",
+    "<table><tr><td>a<br>b<td rowspan=2>p<br>q<br>r<br>s<tr><td>c</table>": "a  p\nb  q\nc  r\n   s",
+    "<table><tr><td rowspan=3>t<td>u<tr><td hidden>no<tr><td>w</table>": "t  u\n   w",
+    "<table><tr><td><p>one<p>two<td>x</table>": "one  x\n\ntwo",
+    "<p>a <select><option>one<option selected>two</select> b": "a two b",
+    "<p>a <select><optgroup label=no><option disabled>pick<option>one</optgroup></select> b": "a one b",
+    "<select multiple><option>one<option hidden>no<option>two</select>": "one two",
+    "<textarea>as\ntyped</textarea><datalist><option>no</datalist>": "as typed",
+    "<svg><title>no</title><defs><text>no</text></defs><text>seen</text><text>too</text></svg>": "seen too",
+    "<math><mi>x</mi><mo>+</mo><mn>1</mn></math>": "x+1",
+    "<ol type=a start=26><li>z<li>aa<li value=-1>m</ol>": "z. z\naa. aa\n-1. m",
+    "<ol reversed><li>b<li>a</ol><ol type=I><li value=1994>y<li type=i>z</ol>": "2. b\n1. a\n\nMCMXCIV. y\nmcmxcv. z",
+}
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_spans_lie_where_a_plain_grid_has_them(seed):
+    """Every slot of the grid is asked whether it is free; texts are unique and as wide as their columns."""
+    draw, html, taken, cells = random.Random(seed), "", {}, {}
+    for r in range(draw.randrange(1, 8)):
+        html += "<tr>"
+        for k in range(draw.randrange(1, 6)):
+            across, down = (1, 1) if not k else (draw.choice([1, 1, 2, 3]), draw.choice([1, 1, 2, 3]))
+            column = next(c for c in range(100) if (r, c) not in taken)
+            name = f"c{len(cells):03d}"
+            # as browsers do: only the first slot has to be free
+            for i in range(r, r + down):
+                for c in range(column, column + across):
+                    taken.setdefault((i, c), name)
+            cells[name] = (r, column)
+            html += f"<td colspan={across} rowspan={down}>{name}"
+    lines = html_text.page_text(f"<table>{html}</table>").split("\n")
+    told = {c for name, (r, c) in cells.items() if re.search(rf"<td colspan=1 [^>]*>{name}", html)}
+    edges = [6 * len([c for c in told if c < column]) + 2 * len([c for c in range(column) if c not in told])
+             for column in range(100)]
+    for name, (r, column) in cells.items():
+        at = lines[r].index(name)
+        # a text wider than its columns moves what is right of it; nothing comes before its place
+        assert at >= edges[column] and (at == edges[column] or any(
+            o != name and cells[o][1] < column and lines[r].find(o) >= 0 for o in cells))
+
+
 @pytest.mark.parametrize("html", list(PAGES))
 def test_page_text(html):
     assert html_text.page_text(html) == PAGES[html]
