@@ -78,6 +78,15 @@ def number_text(amount: Column) -> Column:
         .when(power == -4, F.concat(sign, small)).otherwise(F.concat(sign, exponent))
 
 
+def lower_case_escapes(doc: Column) -> Column:
+    """JSON text with the hexadecimal letters of control-character escapes in lower case
+    (``\\u001f``), as most writers have them; an escaped backslash before ``u`` is no escape."""
+    lowered = doc
+    for letter in "ABCDEF":
+        lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*\\u00[01]){letter}", "$1" + letter.lower())
+    return F.when(F.instr(doc, "\\u00") > 0, lowered).otherwise(doc)
+
+
 def state_id_column() -> Column:
     """SHA-256 hex of the state's canonical JSON (sorted keys, NULLs kept as ``null``).
 
@@ -87,7 +96,7 @@ def state_id_column() -> Column:
     fields = [number_text(F.col(c)).alias(c) if c == "order_amount" else F.col(c) for c in STATE_ID_FIELDS]
     doc = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     # quotes inside values are escaped, so only the amount's own quotes match
-    return F.sha2(F.regexp_replace(doc, r'"order_amount":"([^"]*)"', '"order_amount":$1'), 256)
+    return F.sha2(F.regexp_replace(lower_case_escapes(doc), r'"order_amount":"([^"]*)"', '"order_amount":$1'), 256)
 
 
 def with_state_id(states: DataFrame) -> DataFrame:

@@ -37,18 +37,23 @@ UNIQUE_COLUMNS = ["event_id", "event_timestamp", "topic", "partition", "offset",
 
 
 class EventFlow:
-    """Lazy stages of the integrated pipeline over one data folder."""
+    """Lazy stages of the integrated pipeline over one data folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``splits`` deals the ``orders`` rows into that many tasks before the log is derived and parsed: a
+    file with one row group is read by one task.  Files with many row groups need no such shuffle.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, splits: int | None = None):
         self.spark = pin_utc(spark)
-        self.sf_dir = sf_dir
+        self.sf_dir, self.splits = sf_dir, splits
 
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
     @cached_property
     def topic_rows(self) -> DataFrame:
-        return derive_event_log(self.table("orders"))
+        orders = self.table("orders")
+        return derive_event_log(orders.repartition(self.splits) if self.splits else orders)
 
     @cached_property
     def classified(self) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+# The names and types of the wire contract, which records carry.
 CORRUPT_COLUMN = "_corrupt_record"
 
 # Payload: one wide union struct for every event type, all nullable.

@@ -47,3 +47,12 @@ def test_offsets_unique_per_topic_partition(spark):
     dup = log.groupBy("topic", "partition", "offset").count().filter("count > 1").count()
     assert dup == 0
 
+
+
+def test_explicit_splits_change_the_tasks_and_nothing_else(spark):
+    from orderflow.operators import validate as va
+    plain, dealt = EventFlow(spark, SF_SMALL), EventFlow(spark, SF_SMALL, splits=5)
+    assert dealt.topic_rows.rdd.getNumPartitions() == 5
+    key = ["kafka_key", "topic", "partition", "offset", "raw_json"]
+    assert sorted(map(str, dealt.topic_rows.select(key).collect())) == sorted(map(str, plain.topic_rows.select(key).collect()))
+    assert va.validation_counts(dealt.classified).collect() == va.validation_counts(plain.classified).collect()

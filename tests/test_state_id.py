@@ -14,6 +14,9 @@ ROWS = [
       for i, amount in enumerate([1e7, 1.25e7, 12500000.5, 123456789012345.67, 1e15, 9007199254740993.0, 1e16, 1.5e16,
                                   1e22, 1e100, 0.0005, 0.00012345, 0.0001, 0.00001, 1.5e-7, 0.0, -0.0, -2.5e8, -0.0005,
                                   1e-100])],
+    *[(f"ORD-2{i}", text, 1.0, "2026-10-09 01:52:51", "payment_authorized", None, "UNKNOWN")
+      for i, text in enumerate(["".join(map(chr, range(1, 32))), "\x1f\x1f\x0b", "\\u001F", "\\\x1a\\\\\x0e", "\x7f\u2028/",
+                                '"\x1c"', "\\\\u000B\x0fA"])],
     ("ORD-5", "CUS-5", None, "2026-10-09 01:52:51", "payment_authorized", None, "UNKNOWN"),
 ]
 SCHEMA = ("order_id string, customer_id string, order_amount double, order_time string, "
