@@ -51,7 +51,7 @@ MODEL_WORDS, FREQUENT = 2047, 300_000
 SIZE, BATCH, NOISE, ROUNDS, RATE = 32, 2048, 64, 3, 0.1
 #: Count from which a tail word has a vector of its own, words of a class, training tokens of a bundle
 #: of classes and least number of bundles, tokens of a class's minibatch, contexts normalised at once.
-LEAST, CLASS_WORDS, BUNDLE_TOKENS, BUNDLES, CLASS_BATCH, CONTEXTS = 5, 384, 400_000, 32, 512, 4096
+LEAST, CLASS_WORDS, BUNDLE_TOKENS, BUNDLES, CLASS_BATCH, CONTEXTS = 5, 384, 800_000, 32, 512, 4096
 CLASS_RATE = 0.1
 #: Distinct words counted before a task hands them on; rows of a matrix averaged together.
 HELD_WORDS, BLOCK_ROWS = 200_000, 256
