@@ -64,7 +64,28 @@ def test_run_gives_the_same_documents(spark, planted):
     assert got.count() > N
 
 
+def test_empty_tables_repeated_rows_and_long_texts(spark, planted, tmp_root):
+    folder, clean = planted[:2]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_root}/empty/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_root}/empty").collect() == []
+    # neither labels nor benchmark: nothing is toxic or leaked; equal rows leave one, a long text passes whole
+    rng = random.Random(13)
+    long = " ".join(w for _ in range(300) for w in spoken(rng, 100))
+    odd = spark.createDataFrame([(1, clean[1], "en", "s1", 1)] * 3 + [(5000, long, "en", "s0", None)], docs.schema)
+    odd.unionByName(docs.filter("doc_id BETWEEN 100 AND 104")).write.parquet(f"{tmp_root}/odd/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_root}/odd/{name}.parquet")
+    docs = spark.read.parquet(f"{tmp_root}/odd/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        stage(spark, docs, f"{tmp_root}/odd").write.parquet(f"{tmp_root}/{name}")
+        docs = spark.read.parquet(f"{tmp_root}/{name}")
+    assert sorted(r.doc_id for r in docs.collect()) == [1, 100, 101, 102, 103, 104, 5000]
+    assert docs.filter("doc_id = 5000").first().text == long
+
+
 def test_queries_are_registered_one_for_each_operator():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 14))
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
