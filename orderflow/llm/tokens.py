@@ -14,11 +14,13 @@ from itertools import chain, repeat
 import numpy as np
 
 #: Chunks kept per worker; the memory is emptied when it is full (about 300 bytes a chunk).
-KEPT_CHUNKS = 800_000
+KEPT_CHUNKS = 600_000
 #: Texts are encoded together up to this many characters.
 BATCH_CHARS = 400_000
 #: New chunks that the library is asked for in one text (longer ones cost it more a chunk).
 ROW_CHUNKS = 100
+
+
 def byte_alphabet() -> dict[int, int]:
     """Code point that stands for each byte: itself where visible, else the next from 256 on."""
     visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -38,7 +40,6 @@ class ChunkEncoder:
     """
 
     def __init__(self, path: str):
-        import json
         import os
         import re
 
@@ -46,18 +47,18 @@ class ChunkEncoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        description = json.loads(self.tokenizer.to_str())
-        self.byte_level = description["pre_tokenizer"]["type"] == "ByteLevel"
-        added = [t["content"] for t in description["added_tokens"]]
+        # asked for piece by piece: the whole description as Python objects would be tens of MB a worker
+        self.byte_level = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel"
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # a chunk with one of these inside sends its text to the library whole
         self.odd = re.compile("|".join([r"\s", r"[\x1c-\x1f]", *map(re.escape, added)]))
         if self.byte_level:
             # ids that begin a chunk in a row of chunks parted by single blanks, or by line feeds
-            vocabulary = self.tokenizer.get_vocab()
-            self.begins = {mark: np.zeros(max(vocabulary.values()) + 1, bool) for mark in " \n"}
-            for token, number in vocabulary.items():
+            size = self.tokenizer.get_vocab_size()
+            self.begins = {mark: np.zeros(size, bool) for mark in " \n"}
+            for number in range(size):
                 for mark, begins in self.begins.items():
-                    begins[number] |= token[0] == chr(ALPHABET[ord(mark)])
+                    begins[number] = (self.tokenizer.id_to_token(number) or " ")[0] == chr(ALPHABET[ord(mark)])
         self.forget()
 
     def forget(self) -> None:
