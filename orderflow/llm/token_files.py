@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderflow.llm import rans
+from orderflow.llm.tokens import KEPT_CHUNKS
 from orderflow.llm.base import shuffle_width, text_key, written
 from orderflow.llm.words import slices
 
@@ -46,11 +47,11 @@ LONG_MARKS = 8
 PIECE_SCHEMA = "doc_id long, range int, block int, document int, stretch int, inside long, n_tokens long, ids_crc32 long"
 
 
-def encoded_ids(path: str, end_id: int):
+def encoded_ids(path: str, end_id: int, kept: int = KEPT_CHUNKS):
     """``mapInArrow`` function: (doc_id, text_key, text) -> ids of each text and the end id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from orderflow.llm.tokens import encoder
-        coder = encoder(path)
+        coder = encoder(path, kept)
         end = np.array([end_id], "<u4")
         for batch in slices(batches):
             ids = [np.append(x, end) for x in coder.ids(batch.column("text").to_pylist())]
@@ -141,13 +142,17 @@ _BLOCK = pa.schema([("range", pa.int32()), ("block", pa.int32()), ("range_start"
                     ("checksum", pa.int64())])
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
-    """Encode every text of ``docs`` and write the files to ``path``."""
+def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, kept: int = KEPT_CHUNKS) -> None:
+    """Encode every text of ``docs`` and write the files to ``path``.
+
+    A worker remembers the ids of ``kept`` chunks (about 300 bytes each), which changes its memory and
+    time alone.
+    """
     spark = docs.sparkSession
     ids = written(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"),
                     F.coalesce("text", F.lit("")).alias("text"))
-        .mapInArrow(encoded_ids(tokenizer, end_id), IDS_SCHEMA), "token-ids", compression="zstd")
+        .mapInArrow(encoded_ids(tokenizer, end_id, kept), IDS_SCHEMA), "token-ids", compression="zstd")
     # one row per id of the vocabulary: bounded by the tokenizer, whatever the corpus
     found = (ids.select("ids").mapInArrow(counted_ids, "id long, n long")
              .groupBy("id").agg(F.sum("n").alias("n")).toPandas())
@@ -298,7 +303,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False, lon
                     *(["ids"] if with_ids else [])))
 
 
-def op7(docs: DataFrame, tokenizer: str, path: str) -> DataFrame:
+def op7(docs: DataFrame, tokenizer: str, path: str, kept: int = KEPT_CHUNKS) -> DataFrame:
     """Write the files of ``docs``, read them back: doc_id, start, n_tokens, ids_crc32."""
-    write_token_files(docs, tokenizer, path)
+    write_token_files(docs, tokenizer, path, kept=kept)
     return read_token_files(docs.sparkSession, path)

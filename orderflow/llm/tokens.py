@@ -14,7 +14,7 @@ from itertools import chain, repeat
 import numpy as np
 
 #: Chunks kept per worker; the memory is emptied when it is full (about 300 bytes a chunk).
-KEPT_CHUNKS = 600_000
+KEPT_CHUNKS = 800_000
 #: Texts are encoded together up to this many characters.
 BATCH_CHARS = 400_000
 #: New chunks that the library is asked for in one text (longer ones cost it more a chunk).
@@ -39,12 +39,13 @@ class ChunkEncoder:
     tell where each begins.  Other vocabularies drop white space, and new chunks are texts of their own.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = KEPT_CHUNKS):
         import os
         import re
 
         from tokenizers import Tokenizer
 
+        self.most = most
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         # asked for piece by piece: the whole description as Python objects would be tens of MB a worker
@@ -152,7 +153,7 @@ class ChunkEncoder:
         """Number of ids of each whole text."""
         out = [np.zeros(0, np.int64)]
         for group in self._groups(texts):
-            if self.kept > KEPT_CHUNKS:
+            if self.kept > self.most:
                 self.forget()
             numbers, per_text, irregular = self._look_up(group)
             sizes = np.where(numbers >= 0, self.sizes[numbers], 0)
@@ -169,7 +170,7 @@ class ChunkEncoder:
     def ids(self, texts: list[str]):
         """The ids of each whole text, in order."""
         for group in self._groups(texts):
-            if self.kept > KEPT_CHUNKS:
+            if self.kept > self.most:
                 self.forget()
             numbers, per_text, irregular = self._look_up(group)
             good = np.where(numbers >= 0, numbers, 0)
@@ -190,8 +191,9 @@ class ChunkEncoder:
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
-    """The worker's encoder of a tokenizer file, kept between tasks."""
+def encoder(path: str, most: int = KEPT_CHUNKS) -> ChunkEncoder:
+    """The worker's encoder of a tokenizer file, kept between tasks; it remembers ``most`` chunks."""
     if path not in _ENCODERS:
         _ENCODERS[path] = ChunkEncoder(path)
+    _ENCODERS[path].most = most
     return _ENCODERS[path]
