@@ -14,6 +14,10 @@ from orderflow.llm.queries import vocabulary
 from orderflow.session import scratch_path
 
 
+#: Chunks that a worker of the token stage remembers: few, as the workers still hold what earlier stages used.
+KEPT_CHUNKS = 150_000
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model does not take for toxic."""
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
@@ -36,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files of the corpus, read back: one row per document kept."""
-    return token_files.op7(docs, vocabulary("byte_bpe_50k.json"), scratch_path(spark, "pipeline-tokens"))
+    return token_files.op7(docs, vocabulary("byte_bpe_50k.json"), scratch_path(spark, "pipeline-tokens"), KEPT_CHUNKS)
 
 
 STAGES = [("toxicity", drop_toxic), ("near_copies", drop_near_copies), ("decontamination", drop_benchmark),
