@@ -5,6 +5,7 @@ each.  Counted by *order*, its failed row has to be retracted when the completed
 kept for an order is its latest status and the time of its decision; it emits +1 for a new status and
 -1 for the one it had.  An order's states are decided within two windows of it, so the watermark
 ends its state (a timer); rows that come twice, or decisions older than the known one, change nothing.
+The orders of a slot (``slots``) share a call and a state row.
 
 Summed, the deltas are the statuses of the batch ``current_state``.  Each micro-batch stores its sums
 under its query and number, so a replayed one counts once.
@@ -25,36 +26,48 @@ from ..functions.times import interval_seconds
 from ..operators import metrics as me
 from ..operators import states as st
 from . import jobs, sinks
+from .slots import SLOTS, slot
 
-LATEST = "decided long, state_id string, order_status string"
+ROW = ["order_id", "ordered", "decided", "state_id", "order_status"]
+LATEST = ("order_id array<string>, decided array<long>, state_id array<string>, order_status array<string>, "
+          "ends array<long>")
 DELTAS = "order_id string, order_status string, change long"
 
 
-def status_changes(states: DataFrame, within: str = C.CORRELATION_WINDOW, lateness: str = C.WATERMARK_DELAY) -> DataFrame:
+def status_changes(states: DataFrame, within: str = C.CORRELATION_WINDOW, lateness: str = C.WATERMARK_DELAY,
+                   slots: int = SLOTS) -> DataFrame:
     """Streaming history rows -> (order_id, order_status, change)."""
     reach = 2 * interval_seconds(within) * 1000
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        known = tuple(state.get) if state.exists else None
-        latest, ends = known, 0
+        watermark = state.getCurrentWatermarkMs()
+        known = {order: (tuple(row), ends) for order, *row, ends in zip(*state.get, strict=True)} if state.exists else {}
+        latest, reaches, out = {}, {}, []
         for part in parts:
-            rows = zip(part["decided"].tolist(), part["state_id"].tolist(), part["order_status"].tolist(), strict=True)
-            latest = max([*rows, *([latest] if latest else [])])
-            ends = max(ends, int(part["ordered"].max()) // 1000 + reach)
-        state.update(latest)
-        state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
-        if known is None or known[2] != latest[2]:
-            out = [(key[0], latest[2], 1)] + ([(key[0], known[2], -1)] if known else [])
+            for order, ordered, *row in zip(*(part[c].tolist() for c in ROW), strict=True):
+                latest[order] = max(tuple(row), latest.get(order, ()))
+                reaches[order] = max(ordered // 1000 + reach, reaches.get(order, watermark + 1))
+        for order, row in latest.items():
+            was = known[order][0] if order in known else None
+            now = row if was is None else max(row, was)
+            if was is None or was[2] != now[2]:
+                out += [(order, now[2], 1)] + ([(order, was[2], -1)] if was else [])
+            known[order] = now, reaches[order]
+        left = [(order, *row, ends) for order, (row, ends) in known.items() if ends >= watermark]
+        if left:
+            columns = [list(c) for c in zip(*left, strict=True)]
+            state.update(tuple(columns))
+            state.setTimeoutTimestamp(max(min(columns[-1]), watermark + 1))
+        elif state.exists:
+            state.remove()
+        if out:
             yield pd.DataFrame(out, columns=["order_id", "order_status", "change"])
 
     decided = F.coalesce(st.DECIDED, "order_time")
     rows = (states.withColumn("at", decided).withWatermark("at", lateness)
-            .select("order_id", "state_id", "order_status", "at", F.unix_micros("at").alias("decided"),
-                    F.unix_micros("order_time").alias("ordered")))
-    return rows.groupBy("order_id").applyInPandasWithState(step, DELTAS, LATEST, "update", GroupStateTimeout.EventTimeTimeout)
+            .select(slot("order_id", slots=slots), "order_id", "state_id", "order_status", "at",
+                    F.unix_micros("at").alias("decided"), F.unix_micros("order_time").alias("ordered")))
+    return rows.groupBy("slot").applyInPandasWithState(step, DELTAS, LATEST, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def store_changes(path: str) -> Callable[..., None]:

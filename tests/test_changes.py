@@ -72,3 +72,18 @@ def test_a_batch_stored_again_counts_once(spark, tmp_root):
     for rows, n in ((batch, 0), (batch, 0), (later, 1), (later, 1)):
         store(rows, n, "q")
     assert [tuple(r) for r in changes.orders_by_status(spark, f"{tmp_root}/changes").collect()] == [("COMPLETED", 2)]
+
+
+def test_the_orders_of_a_slot_share_a_state_row(spark, tmp_root):
+    rows = _states(7, 120)
+    for k in range(3):
+        _write(spark, f"{tmp_root}/src/b{k}", rows[len(rows) * k // 3:len(rows) * (k + 1) // 3])
+    source = tp.key_value_files(spark, f"{tmp_root}/src/*", max_files_per_trigger=1)
+    states = st.history_rows(st.parse_states(source).drop("order_time_parsed"))
+    query = jobs.run_to_end(jobs._start(changes.status_changes(states, slots=3), f"{tmp_root}/ck",
+                                        changes.store_changes(f"{tmp_root}/changes"), mode="update"))
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) == 3  # of 120 orders
+    records = tp.key_value_files(spark, f"{tmp_root}/src/*", streaming=False)
+    current = st.current_state(st.history_rows(st.parse_states(records).drop("order_time_parsed")))
+    assert ({r.order_status: r.order_count for r in changes.orders_by_status(spark, f"{tmp_root}/changes").collect()}
+            == {r.order_status: r["count"] for r in current.groupBy("order_status").count().collect()})
