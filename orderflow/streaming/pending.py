@@ -6,11 +6,12 @@ without a state, the order is emitted once, as ``audit.pending_orders`` names it
 reason).  A chain of outer joins cannot say that: each join's output watermark lags by its window,
 so the second reason would come a window late, and an order with several payments once for each.
 
-The state is keyed by (order id, bucket of the order's time).  Payments and inventory results go to
+Waits are kept by (order id, bucket of the order's time).  Payments and inventory results go to
 the buckets of all orders that they may belong to, which repeats the few that lie within a window of
 a bucket's start.  So one order id with any share of the rows is dealt over its time, and a bucket's
-state shrinks with the watermark: resolved and expired orders go, and so do times that no order
-still to come can need.  Only four lists of times are kept.
+waits shrink with the watermark: resolved and expired orders go, and so do times that no order
+still to come can need.  Only kinds and times are kept.  The waits of a slot (``slots``) share a call
+and a state row.
 
 This is the one operator of the core that runs Python on events: built-in joins and aggregates have
 no timers.  Rows go through it as Arrow batches, narrowed to a kind and a time.
@@ -22,6 +23,7 @@ resolve them all.  Rows behind the watermark are dropped, as in every stateful o
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,13 +33,15 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import contract as C
 from ..functions.times import interval_seconds, time_bucket
+from .slots import SLOTS, slot
 
 #: Width of the order-time buckets that a hot order id is dealt over.
 SPREAD = "2 hours"
 #: What of an event matters here, and how many windows after its order it may come.
 KINDS = [((C.ORDER_CREATED,), 0), ((C.PAYMENT_AUTHORIZED,), 1), ((C.PAYMENT_FAILED,), 1), (C.INVENTORY_TYPES, 2)]
 
-WAITS = "orders array<long>, authorized array<long>, failed array<long>, inventory array<long>"
+WAITS = "order_id array<string>, bucket array<long>, kind array<int>, at array<long>"
+WAIT = ["order_id", "bucket", "kind", "at"]
 EXPIRED = "order_id string, order_time timestamp, pending_reason string, pending_status string"
 
 
@@ -67,24 +71,33 @@ def expired(waits: list[list[int]], within: int, watermark: int) -> tuple[list[t
 
 
 def expired_orders(events: DataFrame, within: str = C.CORRELATION_WINDOW, lateness: str = C.WATERMARK_DELAY,
-                   spread: str = SPREAD) -> DataFrame:
+                   spread: str = SPREAD, slots: int = SLOTS) -> DataFrame:
     """Streaming events (order_id, event_type, event_timestamp) -> orders whose wait is over."""
     width, bucket = interval_seconds(within), interval_seconds(spread)
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        waits = [list(times) for times in state.get] if state.exists else [[], [], [], []]
-        for part in parts:
-            for kind, at in zip(part["kind"].tolist(), part["at"].tolist(), strict=True):
-                waits[kind].append(at)
-        out, waits, look = expired(waits, width * 1_000_000, state.getCurrentWatermarkMs())
-        if look is None:
+        waits, watermark = {}, state.getCurrentWatermarkMs()
+        known = [state.get] if state.exists else []
+        for columns in chain(known, ([part[c].tolist() for c in WAIT] for part in parts)):
+            for order, of, kind, at in zip(*columns, strict=True):
+                if (order, of) not in waits:
+                    waits[order, of] = [[], [], [], []]
+                waits[order, of][kind].append(at)
+        over, left, looks = [], [], []
+        for (order, of), times in waits.items():
+            out, times, look = expired(times, width * 1_000_000, watermark)
+            over += [(order, at, why) for at, why in out]
+            left += [(order, of, kind, at) for kind, ats in enumerate(times) for at in ats]
+            looks += [] if look is None else [look]
+        if left:
+            state.update(tuple(list(c) for c in zip(*left, strict=True)))
+            state.setTimeoutTimestamp(min(looks))
+        elif state.exists:
             state.remove()
-        else:
-            state.update(tuple(waits))
-            state.setTimeoutTimestamp(look)
-        if out:
-            yield pd.DataFrame({"order_id": key[0], "order_time": pd.to_datetime([at for at, _ in out], unit="us"),
-                                "pending_reason": [why for _, why in out], "pending_status": "EXPIRED"})
+        if over:
+            orders, ats, reasons = zip(*over, strict=True)
+            yield pd.DataFrame({"order_id": orders, "order_time": pd.to_datetime(list(ats), unit="us"),
+                                "pending_reason": reasons, "pending_status": "EXPIRED"})
 
     kind, reach = F.lit(None).cast("int"), F.lit(0)
     for i, (types, windows) in enumerate(KINDS):
@@ -95,8 +108,9 @@ def expired_orders(events: DataFrame, within: str = C.CORRELATION_WINDOW, latene
             .filter(F.col("kind").isNotNull() & F.col("order_id").isNotNull())
             .select("order_id", "kind", "event_timestamp", F.unix_micros(at).alias("at"),
                     F.explode(F.sequence(time_bucket(at - F.make_dt_interval(secs=reach.cast("decimal(18,6)")), bucket),
-                                         time_bucket(at, bucket))).alias("bucket")))
-    return rows.groupBy("order_id", "bucket").applyInPandasWithState(
+                                         time_bucket(at, bucket))).alias("bucket"))
+            .withColumn("slot", slot("order_id", "bucket", slots=slots)))
+    return rows.groupBy("slot").applyInPandasWithState(
         step, EXPIRED, WAITS, "append", GroupStateTimeout.EventTimeTimeout)
 
 

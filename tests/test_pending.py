@@ -117,6 +117,18 @@ def test_a_hot_order_id_is_dealt_over_its_time(spark, tmp_root):
     assert query.recentProgress[0]["stateOperators"][0]["numRowsUpdated"] >= 5  # a state row a bucket
 
 
+def test_the_waits_of_a_slot_share_a_state_row(spark, tmp_root):
+    events = _log(3, 200)
+    for k in range(3):
+        _write(spark, f"{tmp_root}/src/b{k}", events[len(events) * k // 3:len(events) * (k + 1) // 3])
+    source = tp.key_value_files(spark, f"{tmp_root}/src/*", max_files_per_trigger=1)
+    query = jobs.run_to_end(jobs._start(pending.expired_orders(jobs._events(source), slots=3), f"{tmp_root}/ck",
+                                        target=jobs._target(f"{tmp_root}/expired")))
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) == 3  # of 200 orders
+    seen = jobs._events(tp.key_value_files(spark, f"{tmp_root}/src/*", streaming=False))
+    assert _streamed(spark, f"{tmp_root}/expired") == _batch(seen)
+
+
 def test_waits_of_one_group():
     hour = 60 * MINUTE
     # nothing known: look again when the window is over
