@@ -71,3 +71,8 @@ def test_audit_reads_and_shuffles_the_log_once(static_plans):
     s, tree = static_plans("audit_event_log")
     assert tree.count("FileScan parquet") == 1
     assert sum("hashpartitioning" in e for e in s["exchanges"]) == 1, s["exchanges"]
+
+
+def test_history_table_correlates_once(static_plans):
+    s, tree = static_plans("history_table")
+    assert s["ops"].get("SortMergeJoin") == 2 and "Union" not in s["ops"], s["ops"]
