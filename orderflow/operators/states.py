@@ -56,7 +56,9 @@ def parse_states(records: DataFrame, value_col: str = "value") -> DataFrame:
 
 def number_text(amount: Column) -> Column:
     """Shortest decimal text of a double as JSON writers of most languages print it: plain from
-    1e-4 up to 1e16, else with a two-digit exponent (``1e+16``, ``5e-05``)."""
+    1e-4 up to 1e16, else with a two-digit exponent (``1e+16``, ``5e-05``).
+
+    Java's text is that of most amounts; only one with an exponent goes through the rewriting."""
     java = amount.cast("string")
     sign = F.when(java.startswith("-"), "-").otherwise("")
     digits = F.regexp_replace(F.regexp_extract(java, r"^-?([0-9.]+)", 1), r"\.", "")
@@ -74,7 +76,7 @@ def number_text(amount: Column) -> Column:
     exponent = F.when(long_exponent, F.concat(F.regexp_replace(exponent, "[+-][0-9]+$", ""),
                                               F.when(power < 0, "-").otherwise("+"), F.abs(power).cast("string"))) \
         .otherwise(exponent)
-    return F.when(power.isNull(), java).when(power.between(7, 15), F.concat(sign, large)) \
+    return F.when(F.instr(java, "E") == 0, java).when(power.isNull(), java).when(power.between(7, 15), F.concat(sign, large)) \
         .when(power == -4, F.concat(sign, small)).otherwise(F.concat(sign, exponent))
 
 

@@ -32,6 +32,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
+#: ``orders`` rows for one task that derives, parses and sorts their log: about 270,000 events, 100 MB.
+ROWS_PER_TASK = 100_000
+
+
+def dealt(orders: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``orders`` in tasks of at most about ``rows_per_task``.
+
+    A row of ``orders`` becomes events of twenty times its size in its file, so splits of the file's
+    bytes make tasks whose sorts do not fit into memory.  Tables whose splits are small stay as they are.
+    """
+    tasks = -(-orders.count() // rows_per_task)
+    return orders.repartition(tasks) if tasks > orders.rdd.getNumPartitions() else orders
+
+
 UNIQUE_COLUMNS = ["event_id", "event_timestamp", "topic", "partition", "offset", "kafka_key",
                   "event_type", "order_id", "customer_id", "payload"]
 
@@ -40,7 +54,7 @@ class EventFlow:
     """Lazy stages of the integrated pipeline over one data folder.
 
     ``splits`` deals the ``orders`` rows into that many tasks before the log is derived and parsed: a
-    file with one row group is read by one task.  Files with many row groups need no such shuffle.
+    file with one row group is read by one task.  Without it, ``dealt`` sizes the tasks by their rows.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, splits: int | None = None):
@@ -53,7 +67,7 @@ class EventFlow:
     @cached_property
     def topic_rows(self) -> DataFrame:
         orders = self.table("orders")
-        return derive_event_log(orders.repartition(self.splits) if self.splits else orders)
+        return derive_event_log(orders.repartition(self.splits) if self.splits else dealt(orders))
 
     @cached_property
     def classified(self) -> DataFrame:

@@ -56,3 +56,11 @@ def test_explicit_splits_change_the_tasks_and_nothing_else(spark):
     key = ["kafka_key", "topic", "partition", "offset", "raw_json"]
     assert sorted(map(str, dealt.topic_rows.select(key).collect())) == sorted(map(str, plain.topic_rows.select(key).collect()))
     assert va.validation_counts(dealt.classified).collect() == va.validation_counts(plain.classified).collect()
+
+
+def test_many_orders_are_dealt_to_tasks_by_their_rows(spark):
+    from orderflow.plans.flow import dealt
+    orders = spark.range(1000, numPartitions=2).withColumnRenamed("id", "o_orderkey")
+    assert dealt(orders, 100).rdd.getNumPartitions() == 10
+    assert dealt(orders, 100).agg({"o_orderkey": "sum"}).first()[0] == 499500
+    assert dealt(orders, 500).rdd.getNumPartitions() == 2  # small enough: no shuffle

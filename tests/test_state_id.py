@@ -45,3 +45,8 @@ def test_deterministic_outside_shared_range(spark):
     a = with_state_id(spark.createDataFrame(rows, SCHEMA)).first().state_id
     b = with_state_id(spark.createDataFrame(rows, SCHEMA)).first().state_id
     assert a == b and len(a) == 64
+
+
+def test_plain_amounts_are_told_by_their_text_alone(spark):
+    plan = with_state_id(spark.createDataFrame(ROWS, SCHEMA))._jdf.queryExecution().analyzed().toString()
+    assert "(instr(cast(order_amount" in plan  # no pattern runs on an amount without an exponent
