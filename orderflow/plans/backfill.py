@@ -23,6 +23,10 @@ from ..session import pin_utc, scratch_path
 from . import history as hi
 from .flow import UNIQUE_COLUMNS
 
+#: Codec of the stage tables, which are written once and read a few times.
+CODEC = "zstd"
+
+
 @dataclass
 class BackfillTables:
     root: str
@@ -40,20 +44,22 @@ def run_backfill(spark: SparkSession, topic_rows: DataFrame, root: str | None =
     # stage 1: one pass over the log; the verdict is kept with the parsed row
     (classified.select(*va.TOPIC_FIELDS, "event_id", "event_type", "event_time", "order_id",
                        "customer_id", "payload", "validation_error", "validation_status")
-     .write.mode("overwrite").partitionBy("validation_status").parquet(t.path("validated")))
+     .write.mode("overwrite").partitionBy("validation_status").option("compression", CODEC).parquet(t.path("validated")))
     validated = spark.read.parquet(t.path("validated"))
     (va.dead_letter_records(validated.filter(F.col("validation_status") == C.INVALID))
-     .write.mode("overwrite").parquet(t.path("dead_letters")))
+     .write.mode("overwrite").option("compression", CODEC).parquet(t.path("dead_letters")))
     # stage 2: valid rows only (partition pruning on validation_status), dedup
     timed = dd.with_event_time(validated.filter(F.col("validation_status") == C.VALID))
-    dd.dedup(timed.select(*UNIQUE_COLUMNS)).write.mode("overwrite").parquet(t.path("unique"))
+    (dd.dedup(timed.select(*UNIQUE_COLUMNS))
+     .write.mode("overwrite").option("compression", CODEC).parquet(t.path("unique")))
     unique = spark.read.parquet(t.path("unique"))
     # stage 3: correlate and derive states
     o, p, i = corr.split_domains(unique)
     states = st.order_status(corr.correlate(o, p, i), with_decision=True)
-    states.write.mode("overwrite").parquet(t.path("states"))
-    # stage 4: keyed history, one row per (order_id, state_id), bucketed by order_id
-    hi.write(st.upsert_view(st.history_rows(spark.read.parquet(t.path("states")))), t.path("history"), buckets)
+    states.write.mode("overwrite").option("compression", CODEC).parquet(t.path("states"))
+    # stage 4: keyed history, one row per (order_id, state_id), bucketed by order_id; equal states are
+    # made one by their columns, before they have ids
+    hi.write_states(st.distinct_states(spark.read.parquet(t.path("states"))), t.path("history"), buckets)
     write_report(spark, t)
     return t
 

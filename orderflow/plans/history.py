@@ -38,6 +38,12 @@ def write(rows: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     history(path, buckets).replace(rows)
 
 
+def write_states(states: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """The history of ``states`` (distinct ones): their ids, which hardly compress, are made after the
+    rows are shuffled to their buckets."""
+    history(path, buckets).replace(states, st.history_rows)
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """One row per ``(order_id, state_id)``."""
     return history(path).read(spark).select(*st.HISTORY_COLUMNS, st.DECIDED)

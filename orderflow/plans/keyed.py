@@ -137,12 +137,15 @@ class KeyedTable:
                 return True
 
     # ------------------------------------------------------------------------- writing
-    def _write(self, rows: DataFrame, buckets: int) -> str:
-        """``rows`` to a new folder; REBALANCE lets AQE split a bucket that one key makes large."""
+    def _write(self, rows: DataFrame, buckets: int, derive: Callable[[DataFrame], DataFrame] | None = None) -> str:
+        """``rows`` to a new folder; REBALANCE lets AQE split a bucket that one key makes large.
+        ``derive`` makes the table's rows of them after that shuffle, a row of each."""
         folder = f"data/{FOLDER}={uuid.uuid4().hex}"
-        (rows.withColumn(BUCKET, key_bucket(self.key, buckets)).hint("rebalance", BUCKET)
-         .sortWithinPartitions(BUCKET, self.key).write.partitionBy(BUCKET)
-         .option(f"parquet.bloom.filter.enabled#{self.key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+        moved = rows.withColumn(BUCKET, key_bucket(self.key, buckets)).hint("rebalance", BUCKET)
+        if derive is not None:
+            moved = derive(moved).withColumn(BUCKET, key_bucket(self.key, buckets))
+        (moved.sortWithinPartitions(BUCKET, self.key).write.partitionBy(BUCKET)
+         .option("compression", "zstd").option(f"parquet.bloom.filter.enabled#{self.key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
          .parquet(f"{self.path}/{folder}"))
         return folder
 
@@ -157,11 +160,11 @@ class KeyedTable:
         new = Entry(self._write(rows, buckets), writer)
         self._commit(spark, rows.schema, buckets, lambda old: [e for e in old if e.writer != writer] + [new])
 
-    def replace(self, rows: DataFrame) -> None:
-        """``rows`` are the table from now on."""
+    def replace(self, rows: DataFrame, derive: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        """``rows``, or what ``derive`` makes of them row by row, are the table from now on."""
         spark, buckets = rows.sparkSession, self._buckets(rows.sparkSession)
-        new = Entry(self._write(rows, buckets), uuid.uuid4().hex)
-        self._commit(spark, rows.schema, buckets, lambda old: [new])
+        new = Entry(self._write(rows, buckets, derive), uuid.uuid4().hex)
+        self._commit(spark, (derive(rows) if derive else rows).schema, buckets, lambda old: [new])
 
     def compact(self, spark: SparkSession, fan_in: int = FAN_IN) -> int:
         """Merge every ``fan_in`` folders of a level (all there are if ``fan_in`` is 1); -> merges made.

@@ -3,7 +3,7 @@
 import hashlib
 import json
 
-from orderflow.operators.states import STATE_ID_FIELDS, with_state_id
+from orderflow.operators.states import STATE_ID_FIELDS, distinct_states, history_rows, upsert_view, with_state_id
 
 ROWS = [
     ("ORD-1", "CUS-1", 150.0, "2026-10-09 01:52:11", "payment_authorized", "inventory_reserved", "COMPLETED"),
@@ -47,6 +47,15 @@ def test_deterministic_outside_shared_range(spark):
     assert a == b and len(a) == 64
 
 
+def test_distinct_states_are_the_upserted_ones(spark):
+    times = ["2026-10-09 01:53:00", "2026-10-09 01:53:00.5", None]
+    rows = [(*row, times[(i + k) % 3]) for i, row in enumerate([*ROWS, *ROWS[-3:], (None,) * 7]) for k in range(2)]
+    states = spark.createDataFrame(rows, SCHEMA + ", decided_at string")
+    want, got = upsert_view(history_rows(states)), history_rows(distinct_states(states))
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_plain_amounts_are_told_by_their_text_alone(spark):
     plan = with_state_id(spark.createDataFrame(ROWS, SCHEMA))._jdf.queryExecution().analyzed().toString()
     assert "(instr(cast(order_amount" in plan  # no pattern runs on an amount without an exponent
