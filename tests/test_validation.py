@@ -5,7 +5,7 @@ import json
 import pytest
 
 from orderflow.operators.dedup import with_event_time
-from orderflow.operators.validate import validate
+from orderflow.operators.validate import envelope_rows, validate
 
 ENV = {
     "event_id": "E-1", "event_type": "order_created", "event_time": "2026-10-09T01:52:11.000Z",
@@ -100,3 +100,12 @@ def test_offset_is_honoured_and_converted_to_utc(spark):
     df = spark.createDataFrame([("2026-10-09T02:52:11.000+01:00",)], "event_time string")
     ts = with_event_time(df).selectExpr("cast(event_timestamp as string) AS s").first().s
     assert ts == "2026-10-09 01:52:11"
+
+
+def test_filters_on_records_do_not_parse_them_again(spark):
+    text = '{"event_id":"e1","event_type":"order_created","event_time":"2026-10-09T01:52:11Z","order_id":"ORD-1"}'
+    records = spark.createDataFrame([("k", text), ("k", "{"), ("k", None), (None, "[]")], "key string, value string")
+    rows = with_event_time(envelope_rows(records, "key")).filter("event_type = 'order_created' and order_id is not null")
+    assert [(r.key, r.event_id, r.payload) for r in rows.collect()] == [("k", "e1", None)]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1, plan
