@@ -74,7 +74,7 @@ def encode(ids: np.ndarray, table: Table) -> dict:
     if len(ids):
         filled[len(ids):] = ids[0]  # padding; the count of ids is stored
     filled = filled.reshape(rows, lanes)
-    if not table.freq[np.unique(ids)].all():
+    if not table.freq[np.flatnonzero(np.bincount(ids))].all():
         raise ValueError("an id without a frequency")
     shift, size = np.uint64(63 - BITS), np.uint64(1 << BITS)
     state = np.full(lanes, LOW)

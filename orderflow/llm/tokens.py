@@ -2,9 +2,9 @@
 
 A byte-pair tokenizer splits a text into pieces before it merges, so white-space-separated
 chunks encode independently of each other.  ``ChunkEncoder`` therefore asks the library once per
-distinct chunk and keeps the answer for the worker's life (bounded; emptied when full).  A text
-whose white space or special strings could make chunks depend on each other goes to the library
-whole, so the ids always are those the library gives for the whole text.
+distinct chunk and keeps the answer for the worker's life (bounded; when full, chunks that did not
+come again are forgotten).  A text whose white space or special strings could make chunks depend on
+each other goes to the library whole, so the ids always are those the library gives for the whole text.
 """
 
 from __future__ import annotations
@@ -12,11 +12,13 @@ from __future__ import annotations
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Chunks kept per worker; the memory is emptied when it is full (about 300 bytes a chunk).
+#: Chunks kept per worker; when they are more, those that came once are forgotten (about 300 bytes a chunk).
 KEPT_CHUNKS = 800_000
 #: Texts are encoded together up to this many characters.
-BATCH_CHARS = 400_000
+BATCH_CHARS = 2_000_000
 #: New chunks that the library is asked for in one text (longer ones cost it more a chunk).
 ROW_CHUNKS = 100
 
@@ -68,18 +70,35 @@ class ChunkEncoder:
         self.pool = np.zeros(1 << 20, np.uint32)
         self.starts = np.zeros(1 << 17, np.int64)
         self.sizes = np.zeros(1 << 17, np.int64)
+        self.met = np.zeros(1 << 17, bool)  # again after the texts that they were learnt from
         self.used, self.kept = 0, 0
 
+    def thin(self) -> None:
+        """Forget the chunks not met again since they were learnt or last kept; all, if too many are left."""
+        again = np.flatnonzero(self.met[:self.kept])
+        if len(again) > self.most // 2:
+            self.forget()
+            return
+        kept = set(again.tolist())
+        chunks = [c for c, number in self.known.items() if number in kept]  # by number, as they were stored
+        sizes = self.sizes[again]
+        ends = np.cumsum(sizes)
+        ids = self.pool[np.repeat(self.starts[again] - (ends - sizes), sizes) + np.arange(sizes.sum())]
+        self.forget()
+        self._store(chunks, ids, sizes)
+
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         """The library's ids of whole texts."""
         return [np.array(e.ids, np.uint32)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _chunks(self, text: str) -> list[str]:
+    def _chunks(self, texts: list[str]) -> pa.ListArray:
+        """The chunks of each text: what single blanks part."""
         if not self.byte_level:
-            return text.replace("\n", " ").split(" ")
-        # a chunk after a line feed keeps it and has no blank; the first one is made alike
-        return ("\n" + text.replace("\n", " \n")).split(" ")
+            lines = [t.replace("\n", " ") for t in texts]
+        else:  # a chunk after a line feed keeps it and has no blank; the first one is made alike
+            lines = ["\n" + t.replace("\n", " \n") for t in texts]
+        return pc.split_pattern(pa.array(lines, pa.large_string()), " ")
 
     def _store(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         """Keep new chunks; ``ids`` are those of all chunks in a row."""
@@ -89,6 +108,7 @@ class ChunkEncoder:
         while k + len(chunks) > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros(len(self.starts), np.int64)])
             self.sizes = np.concatenate([self.sizes, np.zeros(len(self.sizes), np.int64)])
+            self.met = np.concatenate([self.met, np.zeros(len(self.met), bool)])
         self.pool[self.used:self.used + n] = ids
         self.starts[k:k + len(chunks)] = self.used + np.cumsum(sizes) - sizes
         self.sizes[k:k + len(chunks)] = sizes
@@ -107,34 +127,47 @@ class ChunkEncoder:
             raise ValueError("chunks of a row cannot be told apart")
         return ids, np.diff(np.append(starts, len(ids)))
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Ask the library for new chunks, all of a kind at once; odd ones are remembered as such."""
-        bodies = [c[1:] if self.byte_level and c[0] == "\n" else c for c in chunks]
-        if self.odd.search("\0".join(bodies)):
-            odd = [bool(self.odd.search(body)) for body in bodies]
-            self.known.update((c, -2) for c, o in zip(chunks, odd, strict=True) if o)
-            chunks = [c for c, o in zip(chunks, odd, strict=True) if not o]
-        if not self.byte_level:
-            if chunks:
-                lists = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-                self._store(chunks, np.fromiter(chain.from_iterable(lists), np.uint32),
+    def _learn(self, chunks: list[str]) -> np.ndarray:
+        """Ask the library for new chunks, all of a kind at once: their numbers.  Odd ones are remembered as such."""
+        kinds = {" ": chunks}
+        at = {" ": np.arange(len(chunks))}
+        if self.byte_level:
+            feed = np.fromiter([c[0] == "\n" for c in chunks], bool, len(chunks))
+            at = {" ": np.flatnonzero(~feed), "\n": np.flatnonzero(feed)}
+            kinds = {" ": [chunks[i] for i in at[" "].tolist()], "\n": [chunks[i] for i in at["\n"].tolist()]}
+        numbers = np.full(len(chunks), -2, np.int64)
+        for mark, some in kinds.items():
+            bodies = [c[1:] for c in some] if mark == "\n" else some
+            if self.odd.search("\0".join(bodies)):
+                odd = [bool(self.odd.search(body)) for body in bodies]
+                self.known.update((c, -2) for c, o in zip(some, odd, strict=True) if o)
+                some, bodies = ([c for c, o in zip(x, odd, strict=True) if not o] for x in (some, bodies))
+                at[mark] = at[mark][~np.array(odd)]
+            if not some:
+                continue
+            numbers[at[mark]] = np.arange(self.kept, self.kept + len(some))
+            if self.byte_level:
+                self._store(some, *self._in_a_row(bodies, mark))
+            else:
+                lists = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                self._store(some, np.fromiter(chain.from_iterable(lists), np.uint32),
                             np.fromiter(map(len, lists), np.int64, len(lists)))
-            return
-        for mark in " \n":
-            some = [c for c in chunks if (c[0] == "\n") == (mark == "\n")]
-            if some:
-                self._store(some, *self._in_a_row([c[1:] for c in some] if mark == "\n" else some, mark))
+        return numbers
 
     def _look_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Chunk numbers of all texts, chunks per text, and which texts are irregular."""
-        lists = [self._chunks(t) for t in texts]
-        per_text = np.fromiter(map(len, lists), np.int64, len(lists))
-        chunks = list(chain.from_iterable(lists))
-        numbers = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
-        missing = np.flatnonzero(numbers == -1).tolist()
+        lists = self._chunks(texts)
+        per_text = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        # each distinct chunk is looked up once
+        coded = lists.flatten().dictionary_encode()
+        whole = pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary)
+        chunks = pc.binary_join(whole, pa.scalar(" ", pa.large_string()))[0].as_py().split(" ")
+        found = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
+        self.met[found[found >= 0]] = True
+        missing = np.flatnonzero(found == -1).tolist()
         if missing:
-            self._learn(list(dict.fromkeys([chunks[i] for i in missing])))
-            numbers[missing] = [self.known[chunks[i]] for i in missing]
+            found[missing] = self._learn([chunks[i] for i in missing])
+        numbers = found[coded.indices.to_numpy()]
         owner = np.repeat(np.arange(len(texts)), per_text)
         irregular = np.bincount(owner[numbers == -2], minlength=len(texts)) > 0
         return numbers, per_text, irregular
@@ -154,7 +187,7 @@ class ChunkEncoder:
         out = [np.zeros(0, np.int64)]
         for group in self._groups(texts):
             if self.kept > self.most:
-                self.forget()
+                self.thin()
             numbers, per_text, irregular = self._look_up(group)
             sizes = np.where(numbers >= 0, self.sizes[numbers], 0)
             first = np.cumsum(per_text) - per_text
@@ -171,7 +204,7 @@ class ChunkEncoder:
         """The ids of each whole text, in order."""
         for group in self._groups(texts):
             if self.kept > self.most:
-                self.forget()
+                self.thin()
             numbers, per_text, irregular = self._look_up(group)
             good = np.where(numbers >= 0, numbers, 0)
             sizes = np.where(numbers >= 0, self.sizes[good], 0)

@@ -150,3 +150,42 @@ def test_a_changed_file_raises(spark, tmp_root):
     blocks.write.parquet(f"{tmp_root}/other/blocks")
     with pytest.raises(Exception, match="checksum does not match"):
         token_files.read_token_files(spark, f"{tmp_root}/other").collect()
+
+
+def asked(coder, monkeypatch):
+    """The chunks that the library is asked for from now on."""
+    seen, real = [], coder._learn
+    monkeypatch.setattr(coder, "_learn", lambda chunks: (seen.extend(chunks), real(chunks))[1])
+    return seen
+
+
+@pytest.mark.parametrize("path", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_a_full_memory_keeps_the_chunks_that_came_again(path, monkeypatch):
+    path = public_tokenizers.path(path)
+    coder, library = ChunkEncoder(path, 200), Tokenizer.from_file(path)
+    monkeypatch.setattr("orderflow.llm.tokens.BATCH_CHARS", 400)  # a group a text
+    seen = asked(coder, monkeypatch)
+    often = [f"word{i}x" for i in range(40)]
+    texts = [" ".join(often + [f"once{k}n{i}" for i in range(60)] + ["a\nb", "", "  c"][k % 3:][:1]) for k in range(12)]
+    got = [x.tolist() for x in coder.ids(texts)]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert coder.counts(texts).tolist() == [len(x) for x in got]
+    assert coder.kept <= 200 + 110  # the group that fills it
+    # the first chunk of a byte-level text begins with a line feed
+    assert all(seen.count(c) == 1 for c in often[1:]) and len(seen) > 12 * 60
+
+
+def test_chunks_of_a_group_are_looked_up_once(monkeypatch):
+    coder = ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    looked = []
+
+    class Known(dict):
+        def get(self, chunk, default=None):
+            looked.append(chunk)
+            return super().get(chunk, default)
+
+    coder.known = Known(coder.known)
+    texts = ["a b a b a é \U0001f600 a b " * 50, "", "b a  a\n\nb"]
+    got = [x.tolist() for x in coder.ids(texts)]
+    assert got == [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert len(looked) == len(set(looked)) < 20
