@@ -30,7 +30,6 @@ tokens the model is one class; an empty table gives no rows.
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
@@ -38,6 +37,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,8 +53,8 @@ SIZE, BATCH, NOISE, ROUNDS, RATE = 32, 2048, 64, 3, 0.1
 #: of classes and least number of bundles, tokens of a class's minibatch, contexts normalised at once.
 LEAST, CLASS_WORDS, BUNDLE_TOKENS, BUNDLES, CLASS_BATCH, CONTEXTS = 5, 384, 800_000, 32, 512, 4096
 CLASS_RATE = 0.1
-#: Distinct words counted before a task hands them on; rows of a matrix averaged together.
-HELD_WORDS, BLOCK_ROWS = 200_000, 256
+#: Words counted together before a task hands their totals on; rows of a matrix averaged together.
+HELD_WORDS, BLOCK_ROWS = 1_600_000, 256
 #: The end token; no word is empty.
 END = b""
 OTHER, END_ID = 0, 1
@@ -63,11 +63,15 @@ ENCODED = ("row long, doc_id long, held_out boolean, n_tokens long, known long,
            "other double, ids binary, rare array<binary>")
 
 
-def tokens(data: bytes) -> list[bytes]:
-    """Lower-cased words parted by ASCII white space, then the end token."""
-    found = data.lower().split()
-    found.append(END)
-    return found
+def words(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased words of a batch's texts, parted by ASCII white space, and how many each text has."""
+    texts = pa.array([x.lower() for x in byte_texts(batch)], pa.large_binary())
+    lists = pc.ascii_split_whitespace(texts.view(pa.large_string()))
+    found = lists.flatten()
+    real = pc.not_equal(pc.binary_length(found), 0)  # white space at an end leaves an empty word there
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)[real.to_numpy(zero_copy_only=False)]
+    return found.filter(real).cast(pa.large_binary()), np.bincount(owner, minlength=len(sizes))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -77,18 +81,22 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def token_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts -> (word, n), pre-aggregated."""
-    def handed(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+    def summed() -> pa.RecordBatch:
+        counts = pa.chunked_array(held, pa.large_binary()).value_counts()
+        return pa.RecordBatch.from_arrays([counts.field("values").cast(pa.binary()), counts.field("counts")], names=["word", "n"])
 
-    counts: Counter = Counter()
+    held: list[pa.Array] = []
+    ends = 0
     for batch in slices(batches):
-        for text in byte_texts(batch):
-            counts.update(tokens(text))
-            if len(counts) >= HELD_WORDS:
-                yield handed(counts)
-                counts = Counter()
-    yield handed(counts)
+        found, sizes = words(batch)
+        held.append(found)
+        ends += len(sizes)
+        if sum(map(len, held)) >= HELD_WORDS:
+            yield summed()
+            held.clear()
+    if ends:
+        yield summed()
+        yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([ends], pa.int64())], names=["word", "n"])
 
 
 @dataclass
@@ -146,6 +154,12 @@ def gathered(docs: DataFrame) -> tuple[DataFrame, Vocabulary]:
                               sums["total"] or 0, sums["distinct"], sums["own"])
 
 
+def parted(items: pa.Array) -> list[bytes]:
+    """Byte strings of an array, read at once: one by one, each would be an object of Arrow first."""
+    data, ends = b"".join(items.buffers()[2:]), np.frombuffer(items.buffers()[1], np.int64)[items.offset:][:len(items) + 1].tolist()
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def word_hash(word: bytes) -> int:
     """64 bits of a word that has no number; the first is set, so that no number is equal."""
     return int.from_bytes(blake2b(word, digest_size=8).digest(), "little") | 1 << 63
@@ -168,23 +182,26 @@ def encoded(name: str, vocabulary: Broadcast):
         numbers, known = _numbered(name, vocabulary), vocabulary.value
         weight = np.log10(np.append(known.counts, 0) + 1.0)  # the last: words that are not frequent
         for batch in slices(batches):
-            texts = byte_texts(batch)
-            lists = [tokens(t) for t in texts]
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = [w for x in lists for w in x]
-            number = np.fromiter(map(numbers.get, flat, repeat(-1)), np.int64, len(flat))
+            found, sizes = words(batch)
+            # each distinct word is looked up once; the last one is the end token, after each text's words
+            coded = found.dictionary_encode()
+            distinct = pa.chunked_array([coded.dictionary, pa.array([END], pa.large_binary())]).combine_chunks()
+            own = np.fromiter(map(numbers.get, parted(distinct), repeat(-1)), np.int64, len(distinct))
+            code = np.insert(coded.indices.to_numpy(), np.cumsum(sizes), len(distinct) - 1)
+            number = own[code]
+            sizes = sizes + 1
             ends = np.cumsum(sizes)
             told = (number >= 0) & (number < known.model_words)
             ids = (number + 1).astype("<u4")  # 0: a word without a number
-            owner = np.repeat(np.arange(len(lists)), sizes)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
 
             def sums(values: np.ndarray) -> np.ndarray:
-                return np.bincount(owner, weights=values, minlength=len(lists))
+                return np.bincount(owner, weights=values, minlength=len(sizes))
 
             logs = weight[number]
-            rare: list[list[bytes]] = [[] for _ in lists]
-            for i in np.flatnonzero(number < 0).tolist():
-                rare[owner[i]].append(flat[i])
+            unnumbered = np.flatnonzero(number < 0)
+            cuts = np.searchsorted(unnumbered, np.append(0, ends))
+            rare = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), distinct.take(pa.array(code[unnumbered])).cast(pa.binary()))
             starts = (ends - sizes).tolist()
             yield pa.RecordBatch.from_arrays([
                 batch.column("row"), batch.column("doc_id"), batch.column("held_out"), pa.array(sizes, pa.int64()),
@@ -192,7 +209,7 @@ def encoded(name: str, vocabulary: Broadcast):
                 pa.array(sums(np.where(number >= 0, logs, 0.0))),
                 pa.array(sums(np.where((number >= 0) & ~told, logs, 0.0))),
                 pa.array([ids[a:b].tobytes() for a, b in zip(starts, ends.tolist())], pa.binary()),
-                pa.array(rare, pa.list_(pa.binary()))],
+                rare],
                 names=["row", "doc_id", "held_out", "n_tokens", "known", "others", "base", "other", "ids", "rare"])
     return run
 
@@ -227,6 +244,10 @@ class LogBilinear:
     def copy(self) -> LogBilinear:
         return LogBilinear(*(p.copy() for p in self.parts()))
 
+    def turned(self) -> tuple[np.ndarray, np.ndarray]:
+        """Input vectors through the matrices of both places."""
+        return self.inputs @ self.places[0], self.inputs @ self.places[1]
+
     def log_normalised(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scores of (previous, word) and (one before, word), and log normalisers of both contexts."""
         near = (self.inputs @ self.places[0]) @ self.outputs.T
@@ -238,12 +259,27 @@ class LogBilinear:
 
 def added_rows(out: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
     """``out[index] += rows`` with repeated indexes."""
-    order = np.argsort(index, kind="stable")
+    # 16-bit numbers are sorted by their digits
+    order = np.argsort(index.astype(np.uint16) if len(out) <= 1 << 16 else index, kind="stable")
     index = index[order]
     starts = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
     out[index[starts]] += np.add.reduceat(rows[order], starts, axis=0)
 
 
+def added_few(out: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
+    """``out[index] += rows`` with repeated indexes, for few rows; number by number, which numpy adds faster."""
+    width = out.shape[1]
+    np.add.at(out.reshape(-1), np.add.outer(index * width, np.arange(width)).ravel(), rows.ravel())
+
+
+def doubts(scores: np.ndarray) -> np.ndarray:
+    """Logistic function of scores given with the other sign, in their place."""
+    np.clip(scores, -30, 30, out=scores)
+    np.exp(scores, out=scores)
+    scores += 1
+    return np.divide(1, scores, out=scores)
+
+
 class Trainer:
     """Noise-contrastive steps on minibatches, with per-parameter step sizes."""
 
@@ -252,30 +288,45 @@ class Trainer:
         self.shares = np.cumsum(unigram)
         self.log_noise = (np.log(unigram) + np.log(NOISE)).astype(np.float32)
         self.squares = [np.full_like(p, 1e-2) for p in model.parts()]
+        self.grads = [np.zeros_like(p) for p in model.parts()]  # zero between steps
 
     def step(self, word: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
-        m = self.model
+        m, grads = self.model, self.grads
         noise = np.minimum(np.searchsorted(self.shares, self.rng.random(NOISE) * self.shares[-1]), len(self.shares) - 1)
-        a, b = m.inputs[near], m.inputs[far]
-        hidden = a @ m.places[0] + b @ m.places[1]
-        target, drawn = m.outputs[word], m.outputs[noise]
+        a, b = m.inputs.take(near, axis=0), m.inputs.take(far, axis=0)
+        hidden = a @ m.places[0]
+        hidden += b @ m.places[1]
+        target, drawn = m.outputs.take(word, axis=0), m.outputs[noise]
         score = np.einsum("ij,ij->i", hidden, target) + m.bias[word] - self.log_noise[word]
-        scores = hidden @ drawn.T + (m.bias[noise] - self.log_noise[noise])
+        scores = hidden @ -drawn.T
+        scores -= m.bias[noise] - self.log_noise[noise]
         wrong = -1 / (1 + np.exp(np.clip(score, -30, 30)))           # data taken for noise
-        doubt = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))          # noise taken for data
-        back = wrong[:, None] * target + doubt @ drawn
-        grads = [np.zeros_like(p) for p in m.parts()]
+        doubt = doubts(scores)                                       # noise taken for data
+        back = np.multiply(wrong[:, None], target, out=target)
+        back += doubt @ drawn
         added_rows(grads[0], near, back @ m.places[0].T)
         added_rows(grads[0], far, back @ m.places[1].T)
         grads[1][0], grads[1][1] = a.T @ back, b.T @ back
         added_rows(grads[2], word, wrong[:, None] * hidden)
-        np.add.at(grads[2], noise, doubt.T @ hidden)
+        added_few(grads[2], noise, doubt.T @ hidden)
         grads[3] += np.bincount(word, weights=wrong, minlength=len(m.bias)).astype(np.float32)
         np.add.at(grads[3], noise, doubt.sum(axis=0))
-        for part, square, grad in zip(m.parts(), self.squares, grads):
-            grad /= len(word) ** 0.5
-            square += grad * grad
-            part -= RATE * grad / np.sqrt(square)
+        # a step moves only the rows that it met
+        for part, square, grad, met in zip(m.parts(), self.squares, grads, ((near, far), None, (word, noise), None)):
+            if met is None:
+                rows = slice(None)
+            else:
+                some = np.zeros(len(part), bool)
+                for index in met:
+                    some[index] = True
+                rows = np.flatnonzero(some)
+            slope, sums = grad[rows] / len(word) ** 0.5, square[rows]
+            sums += slope * slope
+            square[rows] = sums
+            slope *= RATE
+            slope /= np.sqrt(sums)
+            part[rows] -= slope
+            grad[rows] = 0
 
 
 def contexts(ids: list[np.ndarray], start: int = END_ID) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -450,15 +501,16 @@ def class_outputs(hidden: np.ndarray, word: np.ndarray, shares: np.ndarray, seed
         order = rng.permutation(len(word))
         for i in range(0, len(word), CLASS_BATCH):
             at = order[i:i + CLASS_BATCH]
-            h, w = hidden[at], word[at]
+            h, w = hidden.take(at, axis=0), word[at]
             noise = np.minimum(np.searchsorted(drawn_from, rng.random(NOISE) * drawn_from[-1]), len(shares) - 1)
-            score = np.einsum("ij,ij->i", h, outputs[w]) + bias[w] - log_noise[w]
-            scores = h @ outputs[noise].T + (bias[noise] - log_noise[noise])
+            score = np.einsum("ij,ij->i", h, outputs.take(w, axis=0)) + bias[w] - log_noise[w]
+            scores = h @ -outputs[noise].T
+            scores -= bias[noise] - log_noise[noise]
             wrong = -1 / (1 + np.exp(np.clip(score, -30, 30)))
-            doubt = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
+            doubt = doubts(scores)
             grads = [np.zeros_like(outputs), np.bincount(w, weights=wrong, minlength=len(bias)).astype(np.float32)]
             added_rows(grads[0], w, wrong[:, None] * h)
-            np.add.at(grads[0], noise, doubt.T @ h)
+            added_few(grads[0], noise, doubt.T @ h)
             np.add.at(grads[1], noise, doubt.sum(axis=0))
             for part, square, grad in zip((outputs, bias), squares, grads):
                 grad /= len(at) ** 0.5
@@ -476,10 +528,12 @@ def class_normalisers(first: np.ndarray, second: np.ndarray, near: np.ndarray, f
     """
     pairs, pair = np.unique(first.astype(np.int64) << 16 | second, return_inverse=True)
     rows, tops, numbers = [], [], []
-    for ids, part in ((pairs >> 16, near @ outputs.T), (pairs & 0xFFFF, far @ outputs.T + bias)):
+    for ids, vectors, shift in ((pairs >> 16, near, 0), (pairs & 0xFFFF, far, bias)):
         used, number = np.unique(ids, return_inverse=True)
-        top = part[used].max(axis=1)
-        rows.append(np.exp(part[used] - top[:, None]))
+        part = vectors[used] @ outputs.T + shift
+        top = part.max(axis=1)
+        part -= top[:, None]
+        rows.append(np.exp(part, out=part))
         tops.append(top)
         numbers.append(number)
     norms = np.empty(len(pairs), np.float32)
@@ -489,7 +543,7 @@ def class_normalisers(first: np.ndarray, second: np.ndarray, near: np.ndarray, f
     return np.log(np.maximum(norms, 1e-30)) + tops[0][numbers[0]] + tops[1][numbers[1]], pair
 
 
-def class_gains(tokens: np.ndarray, model: LogBilinear, seed: int) -> np.ndarray:
+def class_gains(tokens: np.ndarray, model: LogBilinear, seed: int, turned: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """Log of each token's probability in its class over its smoothed share of it; 0 for words not seen in training."""
     keys, word = np.unique(tokens["key"], return_inverse=True)
     learnt = tokens["held"] == 0
@@ -501,7 +555,7 @@ def class_gains(tokens: np.ndarray, model: LogBilinear, seed: int) -> np.ndarray
         return np.zeros(len(tokens))
     shares = slots / slots.sum()
     slot = np.where(own, np.cumsum(own) - 1, int(own.sum()))[word]
-    near, far = model.inputs @ model.places[0], model.inputs @ model.places[1]
+    near, far = turned or model.turned()
     hidden = near[tokens["near"]] + far[tokens["far"]]
     outputs, bias = class_outputs(hidden[learnt], slot[learnt], shares, seed)
     norms, pair = class_normalisers(tokens["near"], tokens["far"], near, far, outputs, bias)
@@ -520,9 +574,9 @@ def bundle_gains(classes: int, model: Broadcast):
         tokens = tokens[np.argsort(tokens["row"], kind="stable")]  # the same order, however the rows came
         label = tokens["key"] % classes
         order = np.argsort(label, kind="stable")
-        gains = np.zeros(len(tokens))
+        gains, turned = np.zeros(len(tokens)), model.value.turned()
         for at in np.split(order, np.flatnonzero(np.diff(label[order])) + 1):
-            gains[at] = class_gains(tokens[at], model.value, int(label[at[0]]))
+            gains[at] = class_gains(tokens[at], model.value, int(label[at[0]]), turned)
         rows, owner = np.unique(tokens["row"], return_inverse=True)
         return pa.table({"row": rows, "gain": np.bincount(owner, weights=gains)})
     return run

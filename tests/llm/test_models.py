@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +58,57 @@ def test_scores_and_held_out_gain(spark, spoken, monkeypatch):
     assert (alone.train_tokens, alone.n_known, alone.base_score) == (0, 0, 0.0)
 
 
+def text_batch(texts):
+    n = len(texts)
+    return pa.record_batch({"row": pa.array(range(n), pa.int64()), "doc_id": pa.array(range(n), pa.int64()),
+                            "held_out": pa.array([False] * n), "text": pa.array(texts, pa.string())})
+
+
+ODD_TEXTS = [None, "", " ", "\x0b\x0c", "A b\tÉ\x1cx\xa0y  ", "a", "Ünï ẞ a\r\nA", *(f"w{i} W{i % 7} a " * 3 for i in range(60))]
+
+
+def test_totals_are_those_of_all_slices(monkeypatch):
+    monkeypatch.setattr(lm, "HELD_WORDS", 10)  # handed on between slices
+    batch = text_batch(ODD_TEXTS)
+    got = Counter()
+    for out in lm.token_totals(batch.slice(i, 9) for i in range(0, len(ODD_TEXTS), 9)):
+        for word, n in zip(*(c.to_pylist() for c in out.columns)):
+            got[word] += n
+    assert got == sum((Counter(tokens(t)) for t in ODD_TEXTS), Counter())
+    assert [*lm.token_totals(iter([]))] == []
+
+
+def test_words_of_a_slice_are_looked_up_once(monkeypatch):
+    looked = []
+
+    class Numbers(dict):
+        def get(self, word, default=None):
+            looked.append(word)
+            return super().get(word, default)
+
+    words = [b"", b"a", b"w1"]
+    known = lm.Vocabulary(words, np.array([9, 5, 2]), 16, 3, 2)
+    monkeypatch.setattr(lm, "_numbered", lambda *_: Numbers({w: i for i, w in enumerate(words)}))
+    batch = text_batch(ODD_TEXTS)
+    (out,) = lm.encoded("x", type("Shared", (), {"value": known}))(iter([batch.slice(4, 40)]))
+    for text, ids, rare, n in zip(ODD_TEXTS[4:44], out["ids"].to_pylist(), out["rare"].to_pylist(), out["n_tokens"].to_pylist()):
+        want = tokens(text)
+        assert np.frombuffer(ids, "<u4").tolist() == [words.index(w) + 1 if w in words else 0 for w in want]
+        assert (rare, n) == ([w for w in want if w not in words], len(want))
+    assert len(looked) == len(set(looked))
+
+
+def test_a_step_moves_only_the_rows_it_met():
+    unigram = np.full(40, 1 / 40)
+    model = lm.LogBilinear.fresh(unigram)
+    trainer, before = lm.Trainer(model, unigram, 1), model.copy()
+    for part, square, grad in zip(model.parts(), trainer.squares, trainer.grads):
+        assert square.shape == grad.shape == part.shape
+    trainer.step(np.array([3, 3]), np.array([1, 2]), np.array([2, 5]))
+    assert np.flatnonzero((model.inputs != before.inputs).any(axis=1)).tolist() == [1, 2, 5]
+    assert not any(g.any() for g in trainer.grads)
+
+
 def test_probabilities_add_up_to_one():
     unigram = np.array([0.3, 0.25, 0.2, 0.15, 0.1])
     model = lm.LogBilinear.fresh(unigram)
