@@ -30,19 +30,37 @@ def query(fn):
     return fn
 
 
+#: State in RocksDB on the executors' disks, within one bound of memory an executor; rows are not
+#: counted, which would look up each key again before it is put or removed.
+ROCKSDB = "spark.sql.streaming.stateStore.rocksdb"
+ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{ROCKSDB}.boundedMemoryUsage": "true",
+    f"{ROCKSDB}.trackTotalNumberOfRows": "false",
+}
+
+
 @contextmanager
-def state_partitions(spark: SparkSession) -> Iterator[None]:
-    """A stateful query keeps the partition count of its first run: here one for each core there is."""
-    name, old = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+def state_partitions(spark: SparkSession, on_disk: bool = False) -> Iterator[None]:
+    """A stateful query keeps the partition count of its first run: here one for each core there is.
+
+    ``on_disk``: its state is kept on disk.  A log drained in one micro-batch puts every row into the
+    state before the watermark moves, and the default store keeps all of it in the executors' heaps.
+    """
+    values = {"spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism), **(ON_DISK if on_disk else {})}
+    old = {name: spark.conf.get(name, None) for name in values}
     try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
         yield
     finally:
-        spark.conf.set(name, old)
+        for name, value in old.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _written(df: DataFrame, path: str) -> str:
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return path
 
 
@@ -63,7 +81,7 @@ def _unique_records(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
 def stream_history(spark, sf_dir):
     """All four stages (S1, S2, K1, K2, D1, J1, J2, K4, W9): the history table they deliver."""
     root = scratch_path(spark, "stream-history")
-    with state_partitions(spark):
+    with state_partitions(spark, on_disk=True):
         paths = jobs.run_pipeline(spark, _topic_files(spark, sf_dir, root), f"{root}/run")
     return hi.read(spark, paths.history).select(*st.HISTORY_COLUMNS)
 

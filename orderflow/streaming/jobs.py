@@ -39,7 +39,7 @@ def run_to_end(query: StreamingQuery) -> StreamingQuery:
 
 def log_target(path: str, partition_by: str | None = None) -> dict:
     """Where a stage's records go: a log of files under ``path``."""
-    return {"format": "parquet", "options": {"path": path}, "partition_by": partition_by}
+    return {"format": "parquet", "options": {"path": path, "compression": "zstd"}, "partition_by": partition_by}
 
 
 def kafka_target(bootstrap: str, topic: str) -> dict:
