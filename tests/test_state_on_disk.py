@@ -33,7 +33,7 @@ def _scratch(spark):
     return set(glob.glob(f"{checkpoint_root(spark).removeprefix('file:')}/orderflow/stream-*"))
 
 
-@pytest.mark.parametrize("name", ["stream_history"])
+@pytest.mark.parametrize("name", ["stream_history", "stream_unique_events"])
 def test_state_is_kept_on_disk(heap_session, tmp_root, name):
     before = _scratch(heap_session)
     assert REGISTRY[name](heap_session, _orders(heap_session, tmp_root)).count() > 40
@@ -50,3 +50,12 @@ def test_settings_are_put_back(heap_session):
         assert {name: heap_session.conf.get(name) for name in ON_DISK} == ON_DISK
         raise KeyError
     assert {name: heap_session.conf.get(name, None) for name in names} == old
+
+
+def test_logs_of_the_dedup_query_are_packed(spark, tmp_root):
+    before = _scratch(spark)
+    REGISTRY["stream_unique_events"](spark, _orders(spark, tmp_root))
+    (root,) = _scratch(spark) - before
+    for log in ("valid", "unique"):
+        files = glob.glob(f"{root}/{log}/*.parquet")
+        assert files and all(f.endswith(".zstd.parquet") for f in files), files
