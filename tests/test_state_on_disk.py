@@ -7,6 +7,7 @@ from datetime import datetime
 
 import pytest
 
+from orderflow.plans.flow import EventFlow
 from orderflow.plans.stream_queries import ON_DISK, REGISTRY, state_partitions
 from orderflow.session import checkpoint_root
 
@@ -33,7 +34,7 @@ def _scratch(spark):
     return set(glob.glob(f"{checkpoint_root(spark).removeprefix('file:')}/orderflow/stream-*"))
 
 
-@pytest.mark.parametrize("name", ["stream_history", "stream_unique_events"])
+@pytest.mark.parametrize("name", ["stream_history", "stream_unique_events", "stream_business_facts"])
 def test_state_is_kept_on_disk(heap_session, tmp_root, name):
     before = _scratch(heap_session)
     assert REGISTRY[name](heap_session, _orders(heap_session, tmp_root)).count() > 40
@@ -59,3 +60,10 @@ def test_logs_of_the_dedup_query_are_packed(spark, tmp_root):
     for log in ("valid", "unique"):
         files = glob.glob(f"{root}/{log}/*.parquet")
         assert files and all(f.endswith(".zstd.parquet") for f in files), files
+
+
+def test_valid_events_are_parsed_once(spark, tmp_root):
+    unique = EventFlow(spark, _orders(spark, tmp_root)).unique
+    assert unique.count() > 100
+    plan = unique._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1, plan

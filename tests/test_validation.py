@@ -5,7 +5,7 @@ import json
 import pytest
 
 from orderflow.operators.dedup import with_event_time
-from orderflow.operators.validate import envelope_rows, validate
+from orderflow.operators.validate import classify, envelope_rows, parse_events, valid_events, validate
 
 ENV = {
     "event_id": "E-1", "event_type": "order_created", "event_time": "2026-10-09T01:52:11.000Z",
@@ -109,3 +109,15 @@ def test_filters_on_records_do_not_parse_them_again(spark):
     assert [(r.key, r.event_id, r.payload) for r in rows.collect()] == [("k", "e1", None)]
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1, plan
+
+
+def test_records_parsed_once_give_the_same_rows(spark):
+    rows = [(key, topic, 0, i, raw) for i, (topic, key, raw, _) in enumerate(CASES)] + [("k", "orders", 0, 99, None)]
+    topic_rows = spark.createDataFrame(
+        rows, "kafka_key string, topic string, partition int, offset long, raw_json string").repartition(2)
+    plain, once = (classify(parse_events(topic_rows, once=o)) for o in (False, True))
+    assert plain.schema == once.schema
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, once.collect()))
+    fields = with_event_time(valid_events(once)).select("event_id", "order_id", "payload.amount", "event_timestamp")
+    plan = fields._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1, plan
